@@ -30,12 +30,11 @@ from wellgauge.operators import (  # noqa: E402
     preview,
     reject_counts,
 )
-from wellgauge.plans import backfill, dump_messages, enrich, land, rebuild, run_job  # noqa: E402
+from wellgauge.plans import backfill, dump_messages, land, rebuild, run_job  # noqa: E402
 from wellgauge.schemas import HOURLY  # noqa: E402
-from wellgauge.session import utc_session, workspace  # noqa: E402
+from wellgauge.session import job_session, workspace  # noqa: E402
 from wellgauge.sinks import append_table, overwrite_table, write_hourly  # noqa: E402
 from wellgauge.sources import (  # noqa: E402
-    ensure_hourly,
     read_backfill,
     read_curated,
     read_hourly,
@@ -45,7 +44,7 @@ from wellgauge.sources import (  # noqa: E402
     stream_messages,
 )
 from wellgauge.sources.replay import as_messages, events_as_messages  # noqa: E402
-from wellgauge.streaming import await_all, start_hourly, start_landing  # noqa: E402
+from wellgauge.streaming import await_all, start_curated, start_hourly, start_landing  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 EVENT_METRICS = ("signup", "purchase", "error", "view", "click")
@@ -61,7 +60,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return utc_session(spark).read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    return job_session(spark).read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +70,7 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The braces make the path a pattern, which a stream needs to follow a
     # table that is a single file; a folder of files is found as well.
-    events = utc_session(spark).readStream.schema(EVENTS_SCHEMA)
+    events = job_session(spark).readStream.schema(EVENTS_SCHEMA)
     return events_as_messages(events.parquet(f"{sf_dir}/{{events.parquet}}"))
 
 
@@ -110,7 +109,7 @@ def decode_nested_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decode_junk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that are no JSON at all: every message stays, as a row of NULLs."""
-    utc_session(spark)
+    job_session(spark)
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     now = F.lit("2024-01-01 00:00:00")
@@ -218,9 +217,10 @@ def hourly_readback_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_relation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows a database table of one metric gets, from the stored averages."""
+    """One metric as the job handles it: average, store, and read back the rows
+    that its database table gets."""
     path = workspace(spark, "hourly_relation")
-    write_hourly(hourly_avg(payload_value(_raw(spark, sf_dir)), EVENT_METRICS), path)
+    write_hourly(hourly_avg(payload_value(_raw(spark, sf_dir)), "error"), path)
     return _rounded(read_metric(spark, path, "error"))
 
 
@@ -242,10 +242,12 @@ def ingest_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """All messages in two parts that share wells, metrics and hours."""
+    """All messages in two parts: the second holds the last days and, late, the
+    low readings of all days before."""
     events = _events(spark, sf_dir)
-    high = F.coalesce(F.col("value") >= 50, F.lit(False))
-    return [events_as_messages(events.filter(high)), events_as_messages(events.filter(~high))]
+    second = (F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz")) | (F.col("value") < 1)
+    second = F.coalesce(second, F.lit(True))
+    return [events_as_messages(events.filter(~second)), events_as_messages(events.filter(second))]
 
 
 def ingest_resume_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,10 +262,9 @@ def ingest_resume_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_hourly_avg_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two arrivals; the second is late for nearly every hour of the first."""
+    """Two arrivals; the second brings new hours and late readings for old ones."""
     config, log = _config(spark, "stream_hourly_avg"), workspace(spark, "log")
     source = MessageSource("parquet", {"path": log})
-    ensure_hourly(spark, config.layout.hourly)
     for part in _arrivals(spark, sf_dir):
         append_table(part, log)
         messages = stream_messages(spark, source)
@@ -275,7 +276,7 @@ def stream_hourly_avg_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_curated_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _config(spark, "stream_curated")
     land(spark, config, _message_stream(spark, sf_dir))
-    enrich(spark, config)
+    await_all(start_curated(spark, config))
     curated = read_curated(spark, config.layout.curated)
     return curated.groupBy("name").agg(
         F.count(F.lit(1)).alias("messages"),

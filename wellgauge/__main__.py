@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from wellgauge.config import JobConfig
 from wellgauge.operators.curate import preview
 from wellgauge.plans import backfill, enrich, land, publish, report, run_job
-from wellgauge.session import utc_session
+from wellgauge.session import job_session
 from wellgauge.sources import read_curated, read_messages
 
 
@@ -41,7 +41,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="wellgauge", description=__doc__)
     parser.add_argument("stage", choices=STAGES)
     stage = parser.parse_args(arguments).stage
-    spark = utc_session(SparkSession.builder.appName(f"wellgauge-{stage}").getOrCreate())
+    spark = job_session(SparkSession.builder.appName(f"wellgauge-{stage}").getOrCreate())
     try:
         STAGES[stage](spark, JobConfig.from_spark(spark))
     finally:

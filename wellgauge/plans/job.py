@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wellgauge.config import JobConfig
 from wellgauge.operators.reports import partition_counts, reject_counts
-from wellgauge.session import utc_session
+from wellgauge.session import job_session
 from wellgauge.sinks.database import write_metrics
 from wellgauge.sinks.report import write_report
 from wellgauge.sources.messages import stream_messages
-from wellgauge.sources.tables import ensure_hourly, read_curated, read_hourly, read_raw
+from wellgauge.sources.tables import read_curated, read_hourly, read_raw
 from wellgauge.streaming.control import await_all
 from wellgauge.streaming.curated import start_curated
 from wellgauge.streaming.hourly import start_hourly
@@ -19,7 +19,7 @@ from wellgauge.streaming.landing import start_landing
 
 def land(spark: SparkSession, config: JobConfig, messages: DataFrame | None = None) -> None:
     """Step 1: append the messages that arrived since the last run to raw."""
-    utc_session(spark)
+    job_session(spark)
     if messages is None:
         if config.source is None:
             raise ValueError("landing needs a message source")
@@ -32,21 +32,20 @@ def enrich(spark: SparkSession, config: JobConfig) -> None:
 
     Both follow the raw table by themselves and run side by side.
     """
-    utc_session(spark)
-    ensure_hourly(spark, config.layout.hourly)
+    job_session(spark)
     await_all(start_curated(spark, config), start_hourly(spark, config))
 
 
 def publish(spark: SparkSession, config: JobConfig) -> None:
     """Send the stored averages to the database, if there is one."""
-    utc_session(spark)
+    job_session(spark)
     if config.jdbc is not None:
         write_metrics(spark, config.layout.hourly, config.jdbc, config.metrics)
 
 
 def report(spark: SparkSession, config: JobConfig) -> None:
     """Write row counts of both stages and payload rejects, if asked for."""
-    utc_session(spark)
+    job_session(spark)
     if config.report is None:
         return
     raw = read_raw(spark, config.layout.raw)

@@ -17,17 +17,21 @@ def overwrite_table(table: DataFrame, path: str) -> None:
     table.write.mode("overwrite").parquet(path)
 
 
-def write_hourly(hourly: DataFrame, path: str) -> None:
+def write_hourly(hourly: DataFrame, path: str, table_is_empty: bool = False) -> None:
     """Replace the hours that the rows belong to and leave all others alone.
 
-    The rebalance puts the rows of one metric and day side by side, so an hour
-    gets one file and not one from each task; adaptive execution splits a day
-    that is too big for a task.
+    Replacing hours moves them into place one by one, on the driver. For a table
+    that holds none yet, which may get all of history at once, the executors
+    write in place instead.
+
+    The rebalance brings the rows of a metric and hour together, so an hour gets
+    one file and not one from each task; adaptive execution splits an hour that
+    is too big for a task.
     """
     (
-        hourly.hint("rebalance", "name", "year", "month", "day")
+        hourly.hint("rebalance", *HOURLY_PARTITIONS)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if table_is_empty else "dynamic")
         .partitionBy(*HOURLY_PARTITIONS)
         .parquet(path)
     )

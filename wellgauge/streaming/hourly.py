@@ -22,7 +22,7 @@ from wellgauge.config import JobConfig
 from wellgauge.operators.averages import hour_readings, hourly_partials, merge_partials
 from wellgauge.operators.decode import payload_value
 from wellgauge.sinks.tables import write_hourly, write_partials
-from wellgauge.sources.tables import read_partials, stream_raw
+from wellgauge.sources.tables import ensure_hourly, read_hourly, read_partials, stream_raw
 from wellgauge.streaming.control import AVAILABLE_NOW
 
 # Dates opened by path; a batch that touches more of them lists the whole table.
@@ -32,6 +32,7 @@ DATES_BY_PATH = 366
 def start_hourly(
     spark: SparkSession, config: JobConfig, trigger: Mapping = AVAILABLE_NOW
 ) -> StreamingQuery:
+    ensure_hourly(spark, config.layout.hourly)
     # Filter and projection belong to the streaming plan: a batch is opaque to
     # the optimizer, so inside it nothing would be pushed down to the files.
     raw = stream_raw(spark, config.layout.raw, config.raw_options)
@@ -69,7 +70,11 @@ def refresh_hours(readings: DataFrame, batch_id: int, partials_path: str, hourly
         same_hour = (F.col("stored.name") == F.col("touched.name")) & F.col(
             "stored.event_hour"
         ).eqNullSafe(F.col("touched.event_hour"))
-        write_hourly(merge_partials(stored.join(touched, same_hour, "left_semi")), hourly_path)
+        merged = merge_partials(stored.join(touched, same_hour, "left_semi"))
+        # Only the first batch can find an empty table; if it is repeated after
+        # a failure, it replaces what is there like any other batch.
+        table_is_empty = batch_id == 0 and read_hourly(spark, hourly_path).isEmpty()
+        write_hourly(merged, hourly_path, table_is_empty)
     finally:
         partials.unpersist()
 
