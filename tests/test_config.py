@@ -1,0 +1,90 @@
+import pytest
+
+from wellgauge import METRICS, JdbcTarget, JobConfig, Layout, MessageSource
+from wellgauge.config import CONF_PREFIX, PASSWORD_VARIABLE
+from wellgauge.session import job_session, workspace
+
+
+def test_nine_metrics():
+    assert len(set(METRICS)) == 9
+
+
+def test_kafka_options():
+    source = MessageSource.kafka("b:9092", "wells", starting_offsets="latest", min_partitions=64)
+    assert source.format == "kafka"
+    assert source.options == {
+        "kafka.bootstrap.servers": "b:9092",
+        "subscribe": "wells",
+        "startingOffsets": "latest",
+        "failOnDataLoss": "true",
+        "minPartitions": "64",
+    }
+
+
+def test_tables_must_not_share_a_path():
+    paths = vars(Layout.under("/t"))
+    with pytest.raises(ValueError):
+        Layout(**{**paths, "backfill": paths["raw"]})
+    with pytest.raises(ValueError):
+        Layout(**{**paths, "curated": paths["raw"] + "/curated/"})
+
+
+def test_other_metrics_get_their_own_state():
+    layout = Layout.under("/t")
+    one, two = JobConfig(layout, metrics=("a", "b")), JobConfig(layout, metrics=("a",))
+    assert one.hourly_checkpoint != two.hourly_checkpoint
+    assert one.partials_path != two.partials_path
+    assert one.landing_checkpoint == two.landing_checkpoint
+    assert one.partials_path == JobConfig(layout, metrics=("b", "a")).partials_path
+
+
+def test_from_spark_conf(spark, monkeypatch):
+    settings = {
+        "root": "s3a://lake/wells/",
+        "source.option.subscribe": "wells",
+        "metrics": "a, b",
+        "raw.option.maxBytesPerTrigger": "1t",
+        "jdbc.url": "jdbc:some:db",
+        "jdbc.user": "u",
+        "report.format": "parquet",
+        "report.option.path": "s3a://lake/reports",
+    }
+    monkeypatch.setenv(PASSWORD_VARIABLE, "hidden")
+    for key, value in settings.items():
+        spark.conf.set(CONF_PREFIX + key, value)
+    try:
+        config = JobConfig.from_spark(spark)
+    finally:
+        for key in settings:
+            spark.conf.unset(CONF_PREFIX + key)
+    assert config.layout.raw == "s3a://lake/wells/raw"
+    assert config.source == MessageSource("kafka", {"subscribe": "wells"})
+    assert config.metrics == ("a", "b")
+    assert config.raw_options == {"maxBytesPerTrigger": "1t"}
+    assert config.jdbc.properties()["password"] == "hidden"
+    assert "hidden" not in repr(config)
+    assert config.report.options == {"path": "s3a://lake/reports"}
+
+
+def test_root_is_required(spark):
+    with pytest.raises(ValueError):
+        JobConfig.from_spark(spark)
+
+
+def test_unset_credentials_are_left_out():
+    assert set(JdbcTarget("jdbc:x").properties()) == {"numPartitions", "batchsize"}
+
+
+def test_workspace_is_below_the_shared_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    first, second = workspace(spark, "x"), workspace(spark, "x")
+    assert first.startswith(base) and first != second
+
+
+def test_session_keeps_the_users_task_size(spark):
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(key, "2MB")
+    try:
+        assert job_session(spark).conf.get(key) == "2MB"
+    finally:
+        spark.conf.unset(key)
