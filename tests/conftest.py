@@ -7,7 +7,10 @@ import pytest
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+HERE = Path(__file__).resolve().parent
+sys.path.insert(0, str(HERE.parent))
+# Spark's Python workers load the fake message log from here.
+os.environ["PYTHONPATH"] = os.pathsep.join([str(HERE), os.environ.get("PYTHONPATH", "")])
 
 from wellgauge import JobConfig, Layout  # noqa: E402
 from wellgauge.session import job_session  # noqa: E402

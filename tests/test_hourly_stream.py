@@ -1,0 +1,132 @@
+from random import Random
+
+import pytest
+
+from samples import message
+from test_averages import as_dict, expected_averages, sensor_messages
+from wellgauge import METRICS, JobConfig, MessageSource
+from wellgauge.operators import decode_envelope, hour_readings, payload_value
+from wellgauge.plans import land
+from wellgauge.sources import ensure_hourly, read_hourly, read_partials, stream_messages
+from wellgauge.streaming import await_all, refresh_hours, start_hourly
+
+
+def arrive(spark, config, path):
+    land(spark, config, stream_messages(spark, MessageSource("parquet", {"path": path})))
+    await_all(start_hourly(spark, config))
+    return as_dict(read_hourly_in_order(spark, config))
+
+
+def read_hourly_in_order(spark, config):
+    hourly = read_hourly(spark, config.layout.hourly)
+    return hourly.select("well_id", "name", "year", "month", "day", "hour", "hourly_avg_value")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_split_gives_the_full_result(spark, config, log, seed):
+    """Arrivals in random order: late rows, junk, bad stamps and NULL wells."""
+    texts = sensor_messages(seed, 400)
+    random = Random(seed)
+    random.shuffle(texts)
+    cuts = sorted(random.sample(range(1, len(texts)), 2))
+    seen = []
+    for a, b in zip([0, *cuts], [*cuts, len(texts)], strict=True):
+        seen += texts[a:b]
+        got = arrive(spark, config, log(texts[a:b]))
+        assert got == expected_averages(seen, METRICS)
+
+
+def test_nothing_new_changes_nothing(spark, config, log):
+    texts = sensor_messages(5, 50)
+    path = log(texts)
+    assert arrive(spark, config, path) == arrive(spark, config, path)
+
+
+def test_a_batch_of_junk_leaves_an_empty_table(spark, config, log):
+    assert arrive(spark, config, log(["junk", message(name="other")])) == {}
+
+
+def test_a_repeated_batch_replaces_itself(spark, config, messages):
+    paths = config.partials_path, config.layout.hourly
+    ensure_hourly(spark, config.layout.hourly)
+    batches = [sensor_messages(7, 120), sensor_messages(8, 120)]
+    # The numbers a restart would hand over: 0 twice, then 1 twice.
+    for batch_id in (0, 0, 1, 1):
+        raw = decode_envelope(messages(batches[batch_id]))
+        refresh_hours(hour_readings(payload_value(raw), METRICS), batch_id, *paths)
+    got = as_dict(read_hourly_in_order(spark, config))
+    assert got == expected_averages(batches[0] + batches[1], METRICS)
+
+
+def test_only_touched_hours_are_written(spark, config, messages):
+    from pathlib import Path
+
+    paths = config.partials_path, config.layout.hourly
+    ensure_hourly(spark, config.layout.hourly)
+
+    def refresh(batch_id, *texts):
+        raw = decode_envelope(messages(texts))
+        refresh_hours(hour_readings(payload_value(raw), METRICS), batch_id, *paths)
+        files = Path(config.layout.hourly).rglob("part-*.parquet")
+        return {f.parent.name: (f.name, f.stat().st_mtime_ns) for f in files}
+
+    first = refresh(
+        0,
+        message(stamp="2021-06-01T10:00:00Z", value=1.0),
+        message(stamp="2021-06-01T11:00:00Z", value=1.0),
+        message(stamp="garbage", value=5.0),
+    )
+    second = refresh(1, message(stamp="2021-06-01T11:59:00Z", value=2.0))
+    assert set(first) == set(second) == {"hour=10", "hour=11", "hour=__HIVE_DEFAULT_PARTITION__"}
+    assert {k for k in first if first[k] != second[k]} == {"hour=11"}
+    got = as_dict(read_hourly_in_order(spark, config))
+    assert got["7", "well_pump_rpm", 2021, 6, 1, 11] == 1.5
+
+
+def test_more_dates_than_fit_a_list_of_paths(spark, config, messages, monkeypatch):
+    from wellgauge.streaming import hourly
+
+    monkeypatch.setattr(hourly, "DATES_BY_PATH", 2)
+    ensure_hourly(spark, config.layout.hourly)
+    texts = [
+        message(stamp=f"2021-06-0{d}T10:00:00Z", value=float(d)) for d in (1, 2, 3, 4)
+    ] + [message(stamp="bad")]
+    for batch_id in (0, 1):
+        raw = decode_envelope(messages(texts))
+        readings = hour_readings(payload_value(raw), METRICS)
+        refresh_hours(readings, batch_id, config.partials_path, config.layout.hourly)
+    got = as_dict(read_hourly_in_order(spark, config))
+    assert got == expected_averages(texts, METRICS)
+
+
+def test_dates_beyond_four_digit_years(spark, config, messages):
+    ensure_hourly(spark, config.layout.hourly)
+    for batch_id, value in enumerate((1.0, 2.0)):
+        raw = decode_envelope(messages([message(stamp="160945", value=value)]))
+        readings = hour_readings(payload_value(raw), METRICS)
+        refresh_hours(readings, batch_id, config.partials_path, config.layout.hourly)
+    got = as_dict(read_hourly_in_order(spark, config))
+    assert got == {("7", "well_pump_rpm", 160945, 1, 1, 0): 1.5}
+
+
+def test_other_metrics_are_built_from_all_of_raw(spark, config, log):
+    texts = sensor_messages(3, 100)
+    one = JobConfig(config.layout, metrics=METRICS[:1])
+    assert arrive(spark, one, log(texts)) == expected_averages(texts, METRICS[:1])
+    more = JobConfig(config.layout, metrics=METRICS[:2])
+    assert arrive(spark, more, log([message(name="other")])) == expected_averages(
+        texts, METRICS[:2]
+    )
+
+
+def test_touched_dates_are_opened_by_path(spark, config, messages):
+    ensure_hourly(spark, config.layout.hourly)
+    texts = [message(stamp=f"2021-06-0{d}T10:00:00Z") for d in (1, 2, 3)]
+    raw = decode_envelope(messages(texts))
+    refresh_hours(
+        hour_readings(payload_value(raw), METRICS), 0, config.partials_path, config.layout.hourly
+    )
+    some = read_partials(spark, config.partials_path, ["2021-06-02"])
+    assert len(some.inputFiles()) == 1
+    assert [(r.event_date, r.batch_id) for r in some.collect()] == [("2021-06-02", 0)]
+    assert read_partials(spark, config.partials_path).count() == 3

@@ -1,0 +1,89 @@
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
+
+from fake_log import FakeLog
+from samples import message
+from test_averages import as_dict, expected_averages, sensor_messages
+from test_hourly_stream import read_hourly_in_order
+from wellgauge import METRICS, JdbcTarget, JobConfig, MessageSource, ReportSink
+from wellgauge.plans import rebuild, run_job
+from wellgauge.sources import read_curated, read_raw, stream_messages
+
+
+def test_job_end_to_end_and_again(spark, config, log, tmp_path, monkeypatch):
+    tables = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, **_: tables.append(table))
+    texts = [*sensor_messages(4, 150), message(payload="oops")]
+    config = JobConfig(
+        config.layout,
+        source=MessageSource("parquet", {"path": log(texts)}),
+        jdbc=JdbcTarget("jdbc:some:db"),
+        report=ReportSink("parquet", {"path": str(tmp_path / "reports")}),
+    )
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    for _ in range(2):
+        run_job(spark, config)
+        got = as_dict(read_hourly_in_order(spark, config))
+        assert got == expected_averages(texts, METRICS)
+        assert read_raw(spark, config.layout.raw).count() == len(texts)
+        assert read_curated(spark, config.layout.curated).count() == len(texts)
+    assert tables == [*METRICS, *METRICS]
+    for stage in ("read", "write"):
+        counts = spark.read.parquet(str(tmp_path / "reports" / f"spark-{stage}"))
+        assert counts.agg(F.sum("count")).first()[0] == len(texts)
+    rejects = spark.read.parquet(str(tmp_path / "reports" / "spark-rejects"))
+    assert rejects.agg(F.sum("messages")).first()[0] == len(texts)
+
+
+def test_an_empty_log_leaves_empty_tables(spark, config, log):
+    hourly = run_job(
+        spark, config, stream_messages(spark, MessageSource("parquet", {"path": log([])}))
+    )
+    assert hourly.isEmpty()
+
+
+def test_a_failed_landing_ends_the_job(spark, config, tmp_path):
+    spark.dataSource.register(FakeLog)
+    config = JobConfig(config.layout, source=MessageSource("fake_log", {"fail": "true"}))
+    with pytest.raises(StreamingQueryException):
+        run_job(spark, config)
+    assert not (tmp_path / "tables" / "hourly").exists()
+    assert not (tmp_path / "tables" / "curated").exists()
+
+
+def test_rebuild_equals_the_stream(spark, config, log, tmp_path):
+    texts = sensor_messages(6, 150)
+    run_job(spark, config, stream_messages(spark, MessageSource("parquet", {"path": log(texts)})))
+    streamed = as_dict(read_hourly_in_order(spark, config))
+    other = str(tmp_path / "curated-again")
+    rebuild(read_raw(spark, config.layout.raw), other, config.layout.hourly, METRICS)
+    assert as_dict(read_hourly_in_order(spark, config)) == streamed
+    assert read_curated(spark, other).count() == len(texts)
+
+
+def test_command_line_stages(spark, monkeypatch, tmp_path, log, capsys):
+    from pyspark.sql import SparkSession
+
+    from wellgauge import __main__ as cli
+    from wellgauge.config import CONF_PREFIX
+
+    monkeypatch.setattr(SparkSession, "stop", lambda self: None)
+    settings = {
+        "root": str(tmp_path / "tables"),
+        "source.format": "parquet",
+        "source.option.path": log([message(value=2.0)]),
+        "metrics": "well_pump_rpm",
+    }
+    for key, value in settings.items():
+        spark.conf.set(CONF_PREFIX + key, value)
+    try:
+        for stage in ("land", "enrich", "publish", "report", "backfill", "preview", "run"):
+            cli.main([stage])
+    finally:
+        for key in settings:
+            spark.conf.unset(CONF_PREFIX + key)
+    assert "well_pump_rpm" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "tables" / "hourly")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "tables" / "backfill")).count() == 1

@@ -1,0 +1,143 @@
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+from fake_log import FakeLog
+from samples import ENVELOPES, message
+from wellgauge import JobConfig, Layout, MessageSource
+from wellgauge.operators import decode_nested
+from wellgauge.plans import backfill, dump_messages, land
+from wellgauge.sources import read_backfill, read_messages, read_raw, stream_messages
+from wellgauge.streaming import await_all, every, run_for, start_console, start_landing
+
+
+def texts(n, start=0):
+    return [message(value=float(i)) for i in range(start, start + n)]
+
+
+def test_landing_takes_each_message_once(spark, config, log):
+    def run(values):
+        source = MessageSource("parquet", {"path": log(values) if values else log_path})
+        land(spark, config, stream_messages(spark, source))
+        return read_raw(spark, config.layout.raw).count()
+
+    log_path = log(texts(10))
+    assert run([]) == 10
+    assert run(texts(7, 10)) == 17
+    assert run([]) == 17
+
+
+def test_landing_keeps_junk(spark, config, log):
+    source = MessageSource("parquet", {"path": log([m for m, _ in ENVELOPES])})
+    land(spark, config, stream_messages(spark, source))
+    got = sorted((tuple(r) for r in read_raw(spark, config.layout.raw).collect()), key=repr)
+    assert got == sorted((row for _, row in ENVELOPES), key=repr)
+
+
+def test_a_backlog_is_cut_into_batches(spark, config, log):
+    for i in range(4):
+        path = log(texts(5, 5 * i))
+    source = MessageSource("parquet", {"path": path, "maxFilesPerTrigger": "1"})
+    land(spark, config, stream_messages(spark, source))
+    assert read_raw(spark, config.layout.raw).count() == 20
+    commits = Path(config.landing_checkpoint, "commits")
+    assert len([p for p in commits.iterdir() if p.name.isdigit()]) == 4
+
+
+def test_nested_stream_at_an_interval_for_a_limited_time(spark, config, log):
+    source = MessageSource("parquet", {"path": log(texts(3))})
+    query = start_landing(
+        stream_messages(spark, source),
+        config.layout.backfill,
+        config.landing_checkpoint,
+        trigger=every("1 second"),
+        decode=decode_nested,
+    )
+    assert run_for(query, 8) is False
+    assert not query.isActive
+    assert read_backfill(spark, config.layout.backfill).select("value.*").count() == 3
+
+
+def test_console(spark, log):
+    source = MessageSource("parquet", {"path": log(texts(3))})
+    query = start_console(decode_nested(stream_messages(spark, source)), every("1 second"))
+    try:
+        query.processAllAvailable()
+        assert query.lastProgress["numInputRows"] == 3
+    finally:
+        query.stop()
+
+
+def test_options_reach_the_reader(spark, config):
+    spark.dataSource.register(FakeLog)
+    options = MessageSource.kafka(
+        "broker:9092", "wells", starting_offsets="latest", fail_on_data_loss=False
+    ).options
+    source = MessageSource("fake_log", {**options, "maxOffsetsPerTrigger": "5"})
+
+    land(spark, JobConfig(config.layout, source=source))
+    (landed,) = read_raw(spark, config.layout.raw).collect()
+    seen = {k.lower(): v for k, v in json.loads(landed.payload).items()}
+    assert seen["startingoffsets"] == "latest"
+    assert seen["failondataloss"] == "false"
+    assert seen["subscribe"] == "wells"
+    assert seen["maxoffsetspertrigger"] == "5"
+
+    row = read_messages(spark, source).first()
+    seen = {k.lower() for k in json.loads(json.loads(row.value)["payload"])}
+    assert "subscribe" in seen and "maxoffsetspertrigger" not in seen
+
+
+def test_a_failed_query_reaches_the_caller(spark, config, tmp_path):
+    spark.dataSource.register(FakeLog)
+    source = MessageSource("fake_log", {"fail": "true"})
+    with pytest.raises(StreamingQueryException):
+        land(spark, JobConfig(config.layout, source=source))
+
+    query = start_landing(
+        stream_messages(spark, source), str(tmp_path / "a"), str(tmp_path / "b"), every("1 second")
+    )
+    with pytest.raises(StreamingQueryException):
+        run_for(query, 30)
+
+
+def test_a_failed_query_stops_the_others(spark, config, log, tmp_path):
+    spark.dataSource.register(FakeLog)
+    path = log(texts(1))
+    good = start_landing(
+        stream_messages(spark, MessageSource("parquet", {"path": path})),
+        str(tmp_path / "good"),
+        str(tmp_path / "good-checkpoint"),
+        every("1 second"),
+    )
+    bad = start_landing(
+        stream_messages(spark, MessageSource("fake_log", {"fail": "true"})),
+        str(tmp_path / "bad"),
+        str(tmp_path / "bad-checkpoint"),
+    )
+    with pytest.raises(StreamingQueryException):
+        await_all(bad, good)
+    assert not good.isActive
+
+
+def test_landing_without_a_source(spark):
+    with pytest.raises(ValueError):
+        land(spark, JobConfig(Layout.under("/nowhere")))
+
+
+def test_backfill_can_be_repeated(spark, config, messages):
+    rows = messages(texts(5))
+    for _ in range(2):
+        backfill(rows, config.layout.backfill)
+    assert read_backfill(spark, config.layout.backfill).count() == 5
+    backfill(rows, config.layout.backfill, mode="append")
+    assert read_backfill(spark, config.layout.backfill).count() == 10
+
+
+def test_dump_replaces_itself(spark, tmp_path, messages):
+    path = str(tmp_path / "dump")
+    for _ in range(2):
+        dump_messages(messages(["x", "y"]), path)
+    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {("k", "x"), ("k", "y")}

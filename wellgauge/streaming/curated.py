@@ -20,7 +20,7 @@ def start_curated(
     raw = stream_raw(spark, config.layout.raw, config.raw_options)
     return (
         curate(raw)
-        .writeStream.queryName("curated")
+        .writeStream.queryName(f"curated to {config.layout.curated}")
         .format("parquet")
         .outputMode("append")
         .option("path", config.layout.curated)

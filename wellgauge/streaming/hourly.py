@@ -42,7 +42,7 @@ def start_hourly(
         refresh_hours(batch, batch_id, config.partials_path, config.layout.hourly)
 
     return (
-        readings.writeStream.queryName("hourly")
+        readings.writeStream.queryName(f"hourly to {config.layout.hourly}")
         .foreachBatch(refresh)
         .option("checkpointLocation", config.hourly_checkpoint)
         .trigger(**trigger)

@@ -28,7 +28,7 @@ def start_landing(
     """
     return (
         decode(messages)
-        .writeStream.queryName("landing")
+        .writeStream.queryName(f"landing to {path}")
         .format("parquet")
         .outputMode("append")
         .option("path", path)
