@@ -35,11 +35,11 @@ from wellgauge.schemas import HOURLY  # noqa: E402
 from wellgauge.session import job_session, workspace  # noqa: E402
 from wellgauge.sinks import append_table, overwrite_table, write_hourly  # noqa: E402
 from wellgauge.sources import (  # noqa: E402
+    of_metric,
     read_backfill,
     read_curated,
     read_hourly,
     read_messages,
-    read_metric,
     read_raw,
     stream_messages,
 )
@@ -221,7 +221,7 @@ def hourly_relation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     that its database table gets."""
     path = workspace(spark, "hourly_relation")
     write_hourly(hourly_avg(payload_value(_raw(spark, sf_dir)), "error"), path)
-    return _rounded(read_metric(spark, path, "error"))
+    return _rounded(of_metric(read_hourly(spark, path), "error"))
 
 
 def rebuild_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,7 +288,8 @@ def stream_curated_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_then_enrich_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job: land the log as a stream, then curate and average."""
     config = _config(spark, "land_then_enrich")
-    return _rounded(run_job(spark, config, _message_stream(spark, sf_dir)))
+    run_job(spark, config, _message_stream(spark, sf_dir))
+    return _rounded(read_hourly(spark, config.layout.hourly))
 
 
 # --- contract ---------------------------------------------------------------

@@ -9,7 +9,7 @@ from test_averages import as_dict, expected_averages, sensor_messages
 from test_hourly_stream import read_hourly_in_order
 from wellgauge import METRICS, JdbcTarget, JobConfig, MessageSource, ReportSink
 from wellgauge.plans import rebuild, run_job
-from wellgauge.sources import read_curated, read_raw, stream_messages
+from wellgauge.sources import read_curated, read_hourly, read_raw, stream_messages
 
 
 def test_job_end_to_end_and_again(spark, config, log, tmp_path, monkeypatch):
@@ -38,10 +38,8 @@ def test_job_end_to_end_and_again(spark, config, log, tmp_path, monkeypatch):
 
 
 def test_an_empty_log_leaves_empty_tables(spark, config, log):
-    hourly = run_job(
-        spark, config, stream_messages(spark, MessageSource("parquet", {"path": log([])}))
-    )
-    assert hourly.isEmpty()
+    run_job(spark, config, stream_messages(spark, MessageSource("parquet", {"path": log([])})))
+    assert read_hourly(spark, config.layout.hourly).isEmpty()
 
 
 def test_a_failed_landing_ends_the_job(spark, config, tmp_path):

@@ -6,7 +6,7 @@ from wellgauge import JdbcTarget, ReportSink
 from wellgauge.operators import curate, partition_counts, preview
 from wellgauge.schemas import CURATED, HOURLY, RAW
 from wellgauge.sinks import overwrite_table, write_hourly, write_metrics, write_report
-from wellgauge.sources import ensure_hourly, read_curated, read_hourly, read_metric
+from wellgauge.sources import ensure_hourly, of_metric, read_curated, read_hourly
 
 
 def hourly_rows(spark, *rows):
@@ -50,7 +50,7 @@ def test_reading_a_metric_prunes_folders(spark, tmp_path):
     path = str(tmp_path / "hourly")
     a, b = ("1", "a", 2021, 6, 1, 10, 1.0), ("1", "b", 2021, 6, 1, 10, 2.0)
     write_hourly(hourly_rows(spark, a, b), path)
-    metric = read_metric(spark, path, "a")
+    metric = of_metric(read_hourly(spark, path), "a")
     assert metric.columns == HOURLY.names
     assert [tuple(r) for r in metric.collect()] == [a]
     assert "name#" in (plan := metric._jdf.queryExecution().toString())
@@ -85,7 +85,7 @@ def test_one_database_table_per_metric(spark, tmp_path, jdbc_calls, mode):
     a, b = ("1", "a", 2021, 6, 1, 10, 1.0), ("1", "b", 2021, 6, 1, 10, 2.0)
     write_hourly(hourly_rows(spark, a, b), path)
     target = JdbcTarget("jdbc:some:db", user="u", password="p", table_prefix="t_", connections=4)
-    write_metrics(spark, path, target, ["a", "b", "none"], mode)
+    write_metrics(read_hourly(spark, path), target, ["a", "b", "none"], mode)
     assert [(u, t, m) for u, t, m, _, _ in jdbc_calls] == [
         ("jdbc:some:db", t, mode) for t in ("t_a", "t_b", "t_none")
     ]

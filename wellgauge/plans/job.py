@@ -40,7 +40,7 @@ def publish(spark: SparkSession, config: JobConfig) -> None:
     """Send the stored averages to the database, if there is one."""
     job_session(spark)
     if config.jdbc is not None:
-        write_metrics(spark, config.layout.hourly, config.jdbc, config.metrics)
+        write_metrics(read_hourly(spark, config.layout.hourly), config.jdbc, config.metrics)
 
 
 def report(spark: SparkSession, config: JobConfig) -> None:
@@ -55,10 +55,9 @@ def report(spark: SparkSession, config: JobConfig) -> None:
     write_report(reject_counts(raw), config.report, "spark-rejects")
 
 
-def run_job(spark: SparkSession, config: JobConfig, messages: DataFrame | None = None) -> DataFrame:
-    """Both steps in order; a failed one ends the job. Returns the hourly table."""
+def run_job(spark: SparkSession, config: JobConfig, messages: DataFrame | None = None) -> None:
+    """Both steps in order; a failed one ends the job."""
     land(spark, config, messages)
     enrich(spark, config)
     publish(spark, config)
     report(spark, config)
-    return read_hourly(spark, config.layout.hourly)

@@ -1,10 +1,10 @@
 from wellgauge.sources.messages import read_messages, stream_messages
 from wellgauge.sources.tables import (
     ensure_hourly,
+    of_metric,
     read_backfill,
     read_curated,
     read_hourly,
-    read_metric,
     read_partials,
     read_raw,
     stream_raw,
@@ -12,11 +12,11 @@ from wellgauge.sources.tables import (
 
 __all__ = [
     "ensure_hourly",
+    "of_metric",
     "read_backfill",
     "read_curated",
     "read_hourly",
     "read_messages",
-    "read_metric",
     "read_partials",
     "read_raw",
     "stream_messages",

@@ -27,7 +27,10 @@ def as_messages(
         F.lit(0),
     ]
     return table.select(
-        *[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, MESSAGE_LOG.fields, strict=True)]
+        *[
+            c.cast(f.dataType).alias(f.name)
+            for c, f in zip(columns, MESSAGE_LOG.fields, strict=True)
+        ]
     )
 
 

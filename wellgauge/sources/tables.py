@@ -46,10 +46,10 @@ def read_hourly(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(HOURLY).parquet(path)
 
 
-def read_metric(spark: SparkSession, path: str, metric: str) -> DataFrame:
-    """Hourly averages of one metric, columns in relation order. Only the
+def of_metric(hourly: DataFrame, metric: str) -> DataFrame:
+    """Stored averages of one metric, columns in relation order. Only the
     folders of that metric are read."""
-    return read_hourly(spark, path).filter(F.col("name") == metric).select(*HOURLY.names)
+    return hourly.filter(F.col("name") == metric).select(*HOURLY.names)
 
 
 def read_partials(
@@ -69,5 +69,6 @@ def read_partials(
 def ensure_hourly(spark: SparkSession, path: str) -> None:
     """Create the hourly table where it is missing, so that a run without any
     message leaves an empty table and not a missing one."""
-    empty = spark.createDataFrame([], HOURLY)
-    empty.write.mode("append").partitionBy(*HOURLY_PARTITIONS).parquet(path)
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in HOURLY.fields]
+    empty = spark.range(0, 0, 1, 1).select(*columns)
+    empty.write.mode("ignore").partitionBy(*HOURLY_PARTITIONS).parquet(path)
