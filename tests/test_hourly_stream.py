@@ -83,10 +83,11 @@ def test_only_touched_hours_are_written(spark, config, messages):
     assert got["7", "well_pump_rpm", 2021, 6, 1, 11] == 1.5
 
 
-def test_more_dates_than_fit_a_list_of_paths(spark, config, messages, monkeypatch):
+@pytest.mark.parametrize("limit", ["DATES_BY_PATH", "HOURS_TO_BROADCAST"])
+def test_more_hours_than_fit_the_short_way(spark, config, messages, monkeypatch, limit):
     from wellgauge.streaming import hourly
 
-    monkeypatch.setattr(hourly, "DATES_BY_PATH", 2)
+    monkeypatch.setattr(hourly, limit, 2)
     ensure_hourly(spark, config.layout.hourly)
     texts = [
         message(stamp=f"2021-06-0{d}T10:00:00Z", value=float(d)) for d in (1, 2, 3, 4)

@@ -27,6 +27,8 @@ from wellgauge.streaming.control import AVAILABLE_NOW
 
 # Dates opened by path; a batch that touches more of them lists the whole table.
 DATES_BY_PATH = 366
+# Touched hours sent to all executors; more of them are joined by a shuffle.
+HOURS_TO_BROADCAST = 200_000
 
 
 def start_hourly(
@@ -53,7 +55,7 @@ def start_hourly(
 def refresh_hours(readings: DataFrame, batch_id: int, partials_path: str, hourly_path: str) -> None:
     """Bring the hourly table up to date with one batch of readings."""
     spark = readings.sparkSession
-    # One row per group: written and looked at three times, read from raw once.
+    # One row per group: used several times below, computed from raw once.
     # A lost executor costs a recomputation of its part, not the batch.
     partials = (
         hourly_partials(readings)
@@ -62,15 +64,18 @@ def refresh_hours(readings: DataFrame, batch_id: int, partials_path: str, hourly
     )
     try:
         write_partials(partials, batch_id, partials_path)
-        dates = _touched_dates(partials)
-        if dates == []:
+        hours = partials.select("event_date", "name", "event_hour").distinct()
+        per_date = _hours_per_date(hours)
+        if not per_date:
             return
-        touched = partials.select("name", "event_hour").distinct().alias("touched")
-        stored = read_partials(spark, partials_path, dates).alias("stored")
-        same_hour = (F.col("stored.name") == F.col("touched.name")) & F.col(
-            "stored.event_hour"
-        ).eqNullSafe(F.col("touched.event_hour"))
-        merged = merge_partials(stored.join(touched, same_hour, "left_semi"))
+        touched = hours.select("name", "event_hour")
+        if len(per_date) > DATES_BY_PATH:
+            stored = read_partials(spark, partials_path)
+        else:
+            stored = read_partials(spark, partials_path, per_date)
+            if sum(per_date.values()) <= HOURS_TO_BROADCAST:
+                touched = F.broadcast(touched)
+        merged = merge_partials(_in_hours(stored, touched))
         # Only the first batch can find an empty table; if it is repeated after
         # a failure, it replaces what is there like any other batch.
         table_is_empty = batch_id == 0 and read_hourly(spark, hourly_path).isEmpty()
@@ -79,7 +84,17 @@ def refresh_hours(readings: DataFrame, batch_id: int, partials_path: str, hourly
         partials.unpersist()
 
 
-def _touched_dates(partials: DataFrame) -> list[str | None] | None:
-    """Dates of a batch, or None where they are too many for a list of paths."""
-    rows = partials.select("event_date").distinct().limit(DATES_BY_PATH + 1).collect()
-    return None if len(rows) > DATES_BY_PATH else [row.event_date for row in rows]
+def _hours_per_date(hours: DataFrame) -> dict[str | None, int]:
+    """How many hours are touched on each date, for one date more than can be
+    opened by path at most."""
+    counts = hours.groupBy("event_date").agg(F.count(F.lit(1)).alias("hours"))
+    rows = counts.limit(DATES_BY_PATH + 1).collect()
+    return {row.event_date: row.hours for row in rows}
+
+
+def _in_hours(stored: DataFrame, touched: DataFrame) -> DataFrame:
+    """Stored rows of the touched hours, the NULL hour included."""
+    stored, touched = stored.alias("stored"), touched.alias("touched")
+    same_name = F.col("stored.name") == F.col("touched.name")
+    same_hour = F.col("stored.event_hour").eqNullSafe(F.col("touched.event_hour"))
+    return stored.join(touched, same_name & same_hour, "left_semi")
