@@ -243,9 +243,9 @@ def ingest_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """All messages in two parts: the second holds the last days and, late, the
-    low readings of all days before."""
+    lowest readings of all days before."""
     events = _events(spark, sf_dir)
-    second = (F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz")) | (F.col("value") < 1)
+    second = (F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz")) | (F.col("value") < 0.25)
     second = F.coalesce(second, F.lit(True))
     return [events_as_messages(events.filter(~second)), events_as_messages(events.filter(second))]
 

@@ -27,6 +27,8 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
+        # No checksum files: each costs a process here, see bench.py.
+        .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="wellgauge-tests-"))
         .getOrCreate()
     )

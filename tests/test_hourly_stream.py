@@ -131,3 +131,33 @@ def test_touched_dates_are_opened_by_path(spark, config, messages):
     assert len(some.inputFiles()) == 1
     assert [(r.event_date, r.batch_id) for r in some.collect()] == [("2021-06-02", 0)]
     assert read_partials(spark, config.partials_path).count() == 3
+
+
+def test_the_stream_reads_only_what_it_needs(spark, config, log, capsys):
+    arrive(spark, config, log(sensor_messages(9, 20)))
+    land(spark, config, stream_messages(spark, MessageSource("parquet", {"path": log(["{}"])})))
+    query = start_hourly(spark, config)
+    await_all(query)
+    query.explain()
+    plan = capsys.readouterr().out
+    assert "PushedFilters: [In(name," in plan
+    (schema,) = {line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema" in line}
+    assert schema == "struct<@timestamp:string,name:string,payload:string,well_id:string>"
+
+
+def test_few_touched_hours_need_no_shuffle_of_the_stored_sums(spark, config, messages, capsys):
+    from pyspark.sql import functions as F
+
+    from wellgauge.streaming.hourly import _in_hours
+
+    ensure_hourly(spark, config.layout.hourly)
+    raw = decode_envelope(messages([message(), message(stamp="bad"), message(name=METRICS[0])]))
+    readings = hour_readings(payload_value(raw), METRICS)
+    refresh_hours(readings, 0, config.partials_path, config.layout.hourly)
+    stored = read_partials(spark, config.partials_path)
+    touched = stored.filter("event_hour IS NULL").select("name", "event_hour")
+    joined = _in_hours(stored, F.broadcast(touched))
+    assert [r.event_hour for r in joined.collect()] == [None]
+    joined.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

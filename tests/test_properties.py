@@ -1,0 +1,37 @@
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from wellgauge.operators import decode_envelope, event_time_parts, payload_value
+
+SETTINGS = settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+
+json_values = st.recursive(
+    st.none() | st.booleans() | st.integers() | st.floats() | st.text(max_size=20),
+    lambda inner: st.lists(inner, max_size=3)
+    | st.dictionaries(st.sampled_from(["name", "payload", "value", "@timestamp"]), inner),
+    max_leaves=6,
+)
+
+
+def as_json(value):
+    import json
+
+    return json.dumps(value).encode()
+
+
+anything = st.none() | st.binary(max_size=60) | json_values.map(as_json)
+
+
+@SETTINGS
+@given(st.lists(anything, min_size=20, max_size=60))
+def test_rows_out_equal_messages_in(messages, values):
+    decoded = event_time_parts(payload_value(decode_envelope(messages(values))))
+    row = decoded.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.isnan("value") | (F.abs("value") == float("inf"))).alias("not_finite"),
+        F.count_if(F.col("year").isNull() != F.col("hour").isNull()).alias("torn"),
+    ).first()
+    assert (row["rows"], row.not_finite, row.torn) == (len(values), 0, 0)

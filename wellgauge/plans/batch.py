@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from wellgauge.operators import as_text, curate, decode_nested, hourly_avg, payload_value
 from wellgauge.sinks.tables import append_table, overwrite_table, write_hourly
+from wellgauge.sources.tables import ensure_hourly, read_hourly
 
 
 def backfill(messages: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -28,4 +29,6 @@ def dump_messages(messages: DataFrame, path: str) -> None:
 def rebuild(raw: DataFrame, curated_path: str, hourly_path: str, metrics: Iterable[str]) -> None:
     """Curated copy and hourly averages from a whole raw table: one pass each."""
     overwrite_table(curate(raw), curated_path)
-    write_hourly(hourly_avg(payload_value(raw), metrics), hourly_path)
+    ensure_hourly(raw.sparkSession, hourly_path)
+    table_is_empty = read_hourly(raw.sparkSession, hourly_path).isEmpty()
+    write_hourly(hourly_avg(payload_value(raw), metrics), hourly_path, table_is_empty)
