@@ -3,6 +3,7 @@ import pytest
 from wellgauge import METRICS, JdbcTarget, JobConfig, Layout, MessageSource
 from wellgauge.config import CONF_PREFIX, PASSWORD_VARIABLE
 from wellgauge.session import job_session, workspace
+from wellgauge.sources.messages import reader_options
 
 
 def test_nine_metrics():
@@ -21,6 +22,20 @@ def test_kafka_options():
     }
 
 
+def test_no_task_reads_a_whole_big_partition():
+    source = MessageSource.kafka("b:9092", "wells", max_offsets_per_trigger=10**9)
+    stream, batch = (reader_options(source, streaming=s) for s in (True, False))
+    assert stream == {
+        **source.options,
+        "maxRecordsPerPartition": "5000000",
+        "maxOffsetsPerTrigger": "1000000000",
+    }
+    assert batch.keys() == stream.keys() - {"maxOffsetsPerTrigger"}
+    chosen = MessageSource("kafka", {"maxRecordsPerPartition": "7"})
+    assert reader_options(chosen, streaming=True) == {"maxRecordsPerPartition": "7"}
+    assert reader_options(MessageSource("parquet"), streaming=True) == {}
+
+
 def test_tables_must_not_share_a_path():
     paths = vars(Layout.under("/t"))
     with pytest.raises(ValueError):

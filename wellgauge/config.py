@@ -54,8 +54,9 @@ class MessageSource:
 
         ``starting_offsets`` counts on the first run only; later runs go on from
         the checkpoint. ``max_offsets_per_trigger`` cuts a long backlog into
-        several batches. ``min_partitions`` lets Spark split a topic partition
-        that holds far more than its share over several tasks.
+        several batches. ``min_partitions`` asks for at least so many tasks; a
+        topic partition with very many messages is split over several in any
+        case, see ``sources.messages``.
         """
         options = {
             "kafka.bootstrap.servers": servers,

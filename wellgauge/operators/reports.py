@@ -41,12 +41,17 @@ def payload_profile(raw: DataFrame) -> DataFrame:
     """
     values = raw.select(
         F.explode_outer(F.from_json("payload", "map<string, variant>")).alias("field", "value")
-    ).select("field", F.schema_of_variant("value").alias("type"))
+    ).select("field", _outer_type(F.schema_of_variant("value")).alias("type"))
 
-    kinds = values.select("field", _kind(F.col("type")).alias("kind"))
+    # Types are few: count them first, then look at each only once.
+    types = values.groupBy("field", "type").agg(F.count(F.lit(1)).alias("n"))
+    kinds = types.select("field", "n", _kind(F.col("type")).alias("kind"))
     counted = kinds.groupBy("field").agg(
-        F.count(F.lit(1)).alias("messages"),
-        *[F.count_if(F.col("kind") == kind).alias(column) for kind, column in _KINDS.items()],
+        F.sum("n").alias("messages"),
+        *[
+            F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).alias(column)
+            for kind, column in _KINDS.items()
+        ],
     )
     return counted.withColumn("inferred_type", _settled_type())
 
@@ -62,6 +67,11 @@ _KINDS = {
 }
 
 
+def _outer_type(variant_type: Column) -> Column:
+    """The type without what is nested in it."""
+    return F.substring_index(variant_type, "<", 1)
+
+
 def _kind(variant_type: Column) -> Column:
     """JSON kind of a value; NULL for JSON null and for a missing field."""
     decimal = r"^DECIMAL\((\d+),(\d+)\)$"
@@ -73,8 +83,7 @@ def _kind(variant_type: Column) -> Column:
         # a BIGINT was written as an integer.
         .when((scale == 0) & (digits > 18), "DECIMAL")
         .when(variant_type.startswith("DECIMAL"), "DOUBLE")
-        .when(variant_type.startswith("OBJECT"), "STRUCT")
-        .when(variant_type.startswith("ARRAY"), "ARRAY")
+        .when(variant_type == "OBJECT", "STRUCT")
         .otherwise(variant_type)
     )
 

@@ -7,25 +7,33 @@ from pyspark.sql import DataFrame, SparkSession
 from wellgauge.config import MessageSource
 from wellgauge.schemas import MESSAGE_LOG
 
+# Without a limit one task reads a whole topic partition, whatever share of the
+# log that is. Spark splits a partition that holds more; nothing is left out.
+_DEFAULTS = {"kafka": {"maxRecordsPerPartition": "5000000"}}
 # Options that only a streaming read of the log understands.
 _STREAM_ONLY = ("maxOffsetsPerTrigger",)
-# Formats that bring their own fixed schema refuse another one.
+# Formats that need to be told the schema; others bring their own.
 _FILE_FORMATS = ("parquet", "orc", "avro")
 
 
+def reader_options(source: MessageSource, streaming: bool) -> dict[str, str]:
+    """Options of the source over those it gets by default."""
+    options = {**_DEFAULTS.get(source.format, {}), **source.options}
+    return {k: v for k, v in options.items() if streaming or k not in _STREAM_ONLY}
+
+
 def stream_messages(spark: SparkSession, source: MessageSource) -> DataFrame:
     """The log as a stream. Where to start counts on the first run only; after
     that the checkpoint of the query decides."""
-    reader = spark.readStream.format(source.format).options(**source.options)
-    if source.format in _FILE_FORMATS:
-        reader = reader.schema(MESSAGE_LOG)
-    return reader.load()
+    return _load(spark.readStream, source, reader_options(source, streaming=True))
 
 
 def read_messages(spark: SparkSession, source: MessageSource) -> DataFrame:
     """Everything the log holds now."""
-    options = {k: v for k, v in source.options.items() if k not in _STREAM_ONLY}
-    reader = spark.read.format(source.format).options(**options)
+    return _load(spark.read, source, reader_options(source, streaming=False))
+
+
+def _load(reader, source: MessageSource, options: dict[str, str]) -> DataFrame:
     if source.format in _FILE_FORMATS:
         reader = reader.schema(MESSAGE_LOG)
-    return reader.load()
+    return reader.format(source.format).options(**options).load()
