@@ -8,8 +8,9 @@ from collections.abc import Callable, Iterator
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wellgauge.llm import bpe
+from wellgauge.llm import bpe, simhash, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -49,12 +50,41 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- toxicity -------------------------------------------------------------------
+
+
+def toxicity_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Scores of ``docs`` by a model fitted on the labelled documents."""
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.train(documents, labels, "toxic", split_yes=True)
+    scored = toxicity.score(docs, model)
+    return scored.withColumn("toxic", F.col("p_toxic") > 0.5)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document, in three grades."""
+    return toxicity_scores(spark, _table(spark, sf_dir, "documents"), sf_dir)
+
+
+# --- near-duplicates ------------------------------------------------------------
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of three-word shingles, linked at two bits or fewer."""
+    docs = _table(spark, sf_dir, "documents")
+    found = simhash.near_duplicates(docs, shingle=3, radius=2)
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 # --- registry -----------------------------------------------------------------
 
 
 def queries() -> dict[str, Query]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
+        "op3_toxicity": op3_toxicity,
+        "op5_simhash": op5_simhash,
     }
 
 
