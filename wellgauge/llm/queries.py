@@ -7,10 +7,10 @@ from collections.abc import Callable, Iterator
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellgauge.llm import bpe, simhash, toxicity
+from wellgauge.llm import bpe, decontaminate, secrets, simhash, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -77,6 +77,57 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+# --- benchmark decontamination --------------------------------------------------
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, with their best window."""
+    benchmark = _table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminations(_table(spark, sf_dir, "documents"), benchmark)
+
+
+# --- secrets --------------------------------------------------------------------
+
+
+def _joined(spans: Column) -> Column:
+    return F.concat_ws(
+        ",",
+        F.transform(
+            spans,
+            lambda s: F.concat_ws(
+                ":", s["kind"], s["start"].cast("string"), s["end"].cast("string")
+            ),
+        ),
+    )
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain and structurally confirmed secrets of every document."""
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    order = F.array(*map(F.lit, secrets.KINDS))
+    every = F.array_sort(
+        F.transform(
+            F.concat("base", "structural"),
+            lambda s: F.struct(
+                s["start"], F.array_position(order, s["kind"]).alias("rank"), s["end"], s["kind"]
+            ),
+        )
+    )
+
+    def count(kind: str) -> Column:
+        of_kind = F.filter("base", lambda s: s["kind"] == kind)
+        return F.size(of_kind).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
+        _joined(every).alias("spans"),
+    )
+
+
 # --- registry -----------------------------------------------------------------
 
 
@@ -85,6 +136,8 @@ def queries() -> dict[str, Query]:
         "op2_byte_bpe": op2_byte_bpe,
         "op3_toxicity": op3_toxicity,
         "op5_simhash": op5_simhash,
+        "op7_decontaminate": op7_decontaminate,
+        "op9_secrets": op9_secrets,
     }
 
 

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellgauge.llm.common import staged, text_slices, texts_of
@@ -150,3 +150,26 @@ def near_duplicates(
     lowest = rooted.groupBy("root").agg(F.min("lowest").alias("component_id"))
     labels = rooted.join(lowest, "root").select("fp", "component_id")
     return prints.join(labels, "fp").select(id_column, "fp", "component_id")
+
+
+def representatives(
+    docs: DataFrame,
+    shingle: int = 3,
+    radius: int = 2,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns: the one of the
+    smallest id, NULL last; of rows with that id, the one whose text hashes lowest."""
+    row = F.struct(F.col(id_column).isNull(), id_column, F.xxhash64(text_column)).alias("_row")
+    labels = near_duplicates(docs.select(row, text_column), shingle, radius, "_row", text_column)
+    kept = labels.select(F.col("component_id").alias("_row")).distinct()
+    # Repeated rows agree in id and text: the first will do.
+    repeats = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
+    return (
+        docs.select("*", row)
+        .join(kept, "_row")
+        .withColumn("_repeat", repeats)
+        .filter("_repeat = 1")
+        .select(*docs.columns)
+    )

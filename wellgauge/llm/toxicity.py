@@ -250,6 +250,22 @@ class _Known(dict):
         return found
 
 
+class _Scorer:
+    def __init__(self, model: OrdinalModel):
+        self.model = model
+        self.weights = list(model.weights.values())
+        self.known = _Known({f: i for i, f in enumerate(model.weights)})
+
+    def exceed(self, texts: list[bytes]) -> np.ndarray:
+        totals = []
+        for text in texts:
+            held: set[int] = set()
+            for word in set(words(text.decode("utf-8", "replace"))):
+                held.update(self.known[word])
+            totals.append(sum(self.weights[i] for i in sorted(held)))
+        return self.model.exceed(np.array(totals, np.float64))
+
+
 def score(
     docs: DataFrame, model: OrdinalModel, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -259,16 +275,9 @@ def score(
     kind = docs.schema[id_column].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = list(model.weights.values())
-        known = _Known({f: i for i, f in enumerate(model.weights)})
+        scorer = _Scorer(model)
         for batch in text_slices(batches, text_column):
-            totals = []
-            for text in texts_of(batch, text_column):
-                held: set[int] = set()
-                for word in set(words(text.decode("utf-8", "replace"))):
-                    held.update(known[word])
-                totals.append(sum(weights[i] for i in sorted(held)))
-            exceed = model.exceed(np.array(totals, np.float64))
+            exceed = scorer.exceed(texts_of(batch, text_column))
             each = -np.diff(exceed, axis=1, prepend=1.0, append=0.0)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -283,3 +292,18 @@ def score(
     return docs.select(id_column, text_column).mapInArrow(
         rows, f"`{id_column}` {kind}, expected_severity double, grade int, p_toxic double"
     )
+
+
+def without_toxic(
+    docs: DataFrame, model: OrdinalModel, threshold: float = 0.5, text_column: str = "text"
+) -> DataFrame:
+    """The rows, with all their columns, whose probability of a grade above 0 is
+    ``threshold`` at most."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(model)
+        for batch in text_slices(batches, text_column):
+            toxic = scorer.exceed(texts_of(batch, text_column))[:, 0]
+            yield batch.filter(pa.array(toxic <= threshold))
+
+    return docs.mapInArrow(rows, docs.schema)
