@@ -60,14 +60,9 @@ def numbered(
     meet in one task. The running totals are ``buckets`` rows, a fixed bound. Rows
     that agree in everything are numbered in any order among themselves.
     """
-    spark = table.sparkSession
     rows = table.withColumn("_bucket", bucket.cast("int"))
     counts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    every = spark.range(0, buckets, 1, 1).select(F.col("id").cast("int").alias("_bucket"))
-    running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = every.join(counts, "_bucket", "left").select(
-        "_bucket", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_base")
-    )
+    bases = running_totals(counts, "_bucket", "_n", "_base")
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
     return (
         rows.withColumn("_within", within)
@@ -75,3 +70,10 @@ def numbered(
         .withColumn(name, F.col("_base") + F.col("_within") - 1)
         .drop("_bucket", "_within", "_base")
     )
+
+
+def running_totals(counts: DataFrame, key: str, count: str, name: str) -> DataFrame:
+    """Key and the total of the counts of all smaller keys. For a table of few rows:
+    one task orders them."""
+    before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(key, F.coalesce(F.sum(count).over(before), F.lit(0)).alias(name))

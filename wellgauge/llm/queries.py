@@ -10,8 +10,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellgauge.llm import bpe, decontaminate, secrets, simhash, toxicity
-
+from wellgauge.llm import (
+    bpe,
+    decontaminate,
+    secrets,
+    sharding,
+    simhash,
+    token_shards,
+    toxicity,
+)
+from wellgauge.session import workspace
+
+SEED = 20_240_501
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +76,23 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(spark, _table(spark, sf_dir, "documents"), sf_dir)
 
 
+# --- token shards ---------------------------------------------------------------
+
+
+def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as shards in training order, read back record by record."""
+    docs = _table(spark, sf_dir, "documents")
+    shards = token_shards.write_shards(docs, workspace(spark, "token-shards"), seed=SEED)
+    return token_shards.read_shards(spark, shards).select(
+        "slot",
+        "shard",
+        "position",
+        "sequence",
+        F.octet_length("ids").cast("long").alias("n_ids"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+    )
+
+
 # --- near-duplicates ------------------------------------------------------------
 
 
@@ -77,6 +104,28 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+# --- sharding -------------------------------------------------------------------
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards whose row counts differ by one at most."""
+    text = F.coalesce("text", F.lit(""))
+    rows = _table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    return sharding.shard_rows(rows, ["doc_id", "size", "text_crc32"], 8, SEED).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 # --- benchmark decontamination --------------------------------------------------
 
 
@@ -135,7 +184,9 @@ def queries() -> dict[str, Query]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
         "op3_toxicity": op3_toxicity,
+        "op4_token_shards": op4_token_shards,
         "op5_simhash": op5_simhash,
+        "op6_sharding": op6_sharding,
         "op7_decontaminate": op7_decontaminate,
         "op9_secrets": op9_secrets,
     }
