@@ -14,6 +14,7 @@ from wellgauge.llm import (
     bpe,
     chat,
     decontaminate,
+    neighbours,
     secrets,
     sharding,
     simhash,
@@ -214,6 +215,20 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminations(_table(spark, sf_dir, "documents"), benchmark)
 
 
+# --- nearest neighbours ---------------------------------------------------------
+
+
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest rows found for each hundredth vector."""
+    found = neighbours.nearest(_table(spark, sf_dir, "embeddings"), "id % 100 = 0", k=10)
+    return found.select(
+        "query_id",
+        "rank",
+        F.col("neighbour_id").alias("vec_id"),
+        F.col("distance").alias("score"),
+    )
+
+
 # --- secrets --------------------------------------------------------------------
 
 
@@ -284,6 +299,7 @@ def queries() -> dict[str, Query]:
         "op5_simhash": op5_simhash,
         "op6_sharding": op6_sharding,
         "op7_decontaminate": op7_decontaminate,
+        "op8_neighbours": op8_neighbours,
         "op9_secrets": op9_secrets,
         "op10_warc": op10_warc,
     }
