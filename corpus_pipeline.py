@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellgauge.llm import bpe, decontaminate, secrets, simhash, toxicity
-from wellgauge.llm.common import staged
+from wellgauge.llm.common import columns_of, free_name, staged
 from wellgauge.llm.queries import RANKS
 
 
@@ -36,10 +36,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by marks, and ``n_chars`` follows the text."""
-    marked = secrets.redact(docs.withColumn("_before", F.xxhash64("text")))
-    changed = F.xxhash64("text") != F.col("_before")
+    before = free_name(docs, "before")
+    marked = secrets.redact(docs.withColumn(before, F.xxhash64("text")))
+    changed = F.xxhash64("text") != F.col(before)
     n_chars = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return marked.withColumn("n_chars", n_chars).select(*docs.columns)
+    return marked.withColumn("n_chars", n_chars).select(*columns_of(docs))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

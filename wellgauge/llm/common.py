@@ -50,25 +50,46 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [v or b"" for v in values.to_pylist()]
 
 
+def columns_of(table: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names hold."""
+    return [F.col(quoted(name)) for name in table.columns]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_name(table: DataFrame, name: str) -> str:
+    """A name that no column of the table has."""
+    taken = {c.lower() for c in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def numbered(
-    table: DataFrame, bucket: Column, order: Sequence[Column], buckets: int, name: str
+    table: DataFrame, bucket: Column, order: Sequence[Column], buckets: int
 ) -> DataFrame:
-    """Add a global row number from 0 without gaps, ordered by bucket, then ``order``.
+    """``row``, a struct of all columns, and ``number``: its place from 0 without gaps,
+    ordered by bucket, then ``order`` (NULL first).
 
     Buckets (0 to ``buckets - 1``) are counted first and numbered from the running
     total of those before, so rows are sorted within their bucket only and never
     meet in one task. The running totals are ``buckets`` rows, a fixed bound. Rows
     that agree in everything are numbered in any order among themselves.
     """
-    rows = table.withColumn("_bucket", bucket.cast("int"))
-    counts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    bases = running_totals(counts, "_bucket", "_n", "_base")
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
+    rows = table.select(
+        F.struct("*").alias("row"),
+        bucket.cast("int").alias("bucket"),
+        F.struct(*order).alias("key"),
+    )
+    counts = table.groupBy(bucket.cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    bases = running_totals(counts, "bucket", "n", "base")
+    within = F.row_number().over(Window.partitionBy("bucket").orderBy("key"))
     return (
-        rows.withColumn("_within", within)
-        .join(F.broadcast(bases), "_bucket")
-        .withColumn(name, F.col("_base") + F.col("_within") - 1)
-        .drop("_bucket", "_within", "_base")
+        rows.select("row", "bucket", within.alias("within"))
+        .join(F.broadcast(bases), "bucket")
+        .select("row", (F.col("base") + F.col("within") - 1).alias("number"))
     )
 
 

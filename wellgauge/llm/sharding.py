@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellgauge.llm.common import numbered
+from wellgauge.llm.common import numbered, quoted
 from wellgauge.llm.feistel import invert, permute, permuted
 
 # Rows are sorted within so many groups; more than a cluster has cores.
@@ -29,17 +29,17 @@ def shard_rows(
 ) -> DataFrame:
     """Add ``shard`` and ``slot``. The shuffle moves all columns of ``rows``: pass
     what is needed."""
-    rows = rows.drop("shard", "slot", "_number")
+    rows = rows.drop("shard", "slot")
     n = rows.count()
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
-    order = [F.col(k).asc_nulls_first() for k in keys]
-    placed = numbered(rows, bucket, order, buckets, "_number").withColumn(
-        "_place", permuted(F.col("_number"), max(n, 1), seed)
+    order = [F.col(quoted(k)) for k in keys]
+    bucket = F.pmod(F.xxhash64(*order), F.lit(buckets))
+    placed = numbered(rows, bucket, order, buckets).select(
+        "row", permuted(F.col("number"), max(n, 1), seed).alias("place")
     )
     return placed.select(
-        *rows.columns,
-        F.pmod("_place", F.lit(shards)).cast("int").alias("shard"),
-        F.call_function("div", F.col("_place"), F.lit(shards)).alias("slot"),
+        "row.*",
+        F.pmod("place", F.lit(shards)).cast("int").alias("shard"),
+        F.call_function("div", F.col("place"), F.lit(shards)).alias("slot"),
     )
 
 

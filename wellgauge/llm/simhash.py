@@ -161,15 +161,20 @@ def representatives(
 ) -> DataFrame:
     """One row of each group of near-duplicates, with all its columns: the one of the
     smallest id, NULL last; of rows with that id, the one whose text hashes lowest."""
-    row = F.struct(F.col(id_column).isNull(), id_column, F.xxhash64(text_column)).alias("_row")
-    labels = near_duplicates(docs.select(row, text_column), shingle, radius, "_row", text_column)
-    kept = labels.select(F.col("component_id").alias("_row")).distinct()
+    row = F.struct(
+        F.col(id_column).isNull().alias("no_id"),
+        F.col(id_column).alias("id"),
+        F.xxhash64(text_column).alias("text_hash"),
+    )
+    keyed = docs.select(row.alias("row"), F.col(text_column).alias("text"))
+    labels = near_duplicates(keyed, shingle, radius, "row", "text")
+    kept = labels.select(F.col("component_id").alias("row")).distinct()
     # Repeated rows agree in id and text: the first will do.
-    repeats = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
+    repeats = F.row_number().over(Window.partitionBy("row").orderBy("row"))
     return (
-        docs.select("*", row)
-        .join(kept, "_row")
-        .withColumn("_repeat", repeats)
-        .filter("_repeat = 1")
-        .select(*docs.columns)
+        docs.select(row.alias("row"), F.struct("*").alias("whole"))
+        .join(kept, "row")
+        .withColumn("repeat", repeats)
+        .filter("repeat = 1")
+        .select("whole.*")
     )

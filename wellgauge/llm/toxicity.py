@@ -10,7 +10,8 @@ first by a hash of their id, and ``max_features`` features, those that tell grad
 apart best. Everything else covers all rows and whole texts. NULL and empty texts
 have no feature and get the score of an empty text. Labels without a grade, and ids
 without a document, take no part; an id that is labelled twice keeps its highest
-grade, and repeated documents are scored row by row. Without labels of two grades
+grade, one that several documents have is learnt from the first of their texts in
+order, and repeated documents are scored row by row. Without labels of two grades
 every text is scored as the lowest.
 """
 
@@ -172,7 +173,11 @@ def train(
         .limit(max_labelled)
     )
     texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
-    sample = texts.join(F.broadcast(graded), "_id")  # max_labelled rows at most
+    sample = (
+        texts.join(F.broadcast(graded), "_id")  # max_labelled rows at most
+        .groupBy("_id")
+        .agg(F.min("_text").alias("_text"), F.max("_grade").alias("_grade"))
+    )
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "_text"):
