@@ -1,0 +1,87 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from wellgauge.llm import chat
+
+MESSAGES = f"conv_id long, turn long, role string, content {chat.PARTS}"
+MARKS = ["<|im_end|>", "<|im_start|>", "assistant", "\n", "<", "|", "\\", "<\\|", "<|", "a", "é", "<|line|>", "|>"]
+
+
+def part(kind, text=None, uri=None, units=None):
+    return (kind, text, uri, units)
+
+
+def strange(n):
+    rnd = random.Random(1)
+    return ["".join(rnd.choices(MARKS, k=rnd.randint(0, 12))) for _ in range(n)]
+
+
+def test_escapes_can_be_undone(spark):
+    texts = strange(2000)
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = rows.select("t", chat.escaped(F.col("t")).alias("e"))
+    rows = rows.select("*", chat.unescaped(F.col("e")).alias("u")).collect()
+    assert all(r.u == r.t and "<|" not in r.e and r.e == chat.escape(r.t) for r in rows)
+    assert all(chat.unescape(chat.escape(t)) == t for t in texts)
+
+
+def test_turns_come_back(spark):
+    texts = strange(600)
+    rows = [(i // 7, i % 7, texts[-i - 1], [part("text", t)]) for i, t in enumerate(texts)]
+    table = chat.with_offsets(chat.format_turns(spark.createDataFrame(rows, MESSAGES)))
+    by_conversation = {}
+    for r in table.orderBy("conv_id", "offset").collect():
+        whole = by_conversation.setdefault(r.conv_id, [])
+        assert r.offset == sum(map(len, whole))
+        whole.append(r.formatted)
+    for conv, pieces in by_conversation.items():
+        reader = chat.TurnReader()
+        whole = "".join(pieces)
+        found = [t for i in range(0, len(whole), 5) for t in reader.feed(whole[i : i + 5])]
+        reader.done()
+        assert found == [(role, parts[0][1]) for c, _, role, parts in rows if c == conv]
+
+
+def test_parts_in_order(spark):
+    content = [
+        part("text", "see <|image|> "), part("image", uri="i1", units=3), part("text", " and "),
+        part("audio", uri="a1"), part("strange", "ignored", "s1", -4), part("document", None, None, 2),
+        part("text"), part(None, uri="n1"),
+    ]
+    row = chat.format_turns(spark.createDataFrame([(1, 0, "user", content)], MESSAGES)).first()
+    body = "see <\\|image|> <|image|> and <|audio|><|document|><|document|><|document|>"
+    assert row.formatted == f"<|im_start|>user\n{body}<|im_end|>\n"
+    assert [tuple(a) for a in row.attachments] == [
+        ("image", "i1", 0), ("audio", "a1", 1), ("document", "s1", 2), ("document", None, 3),
+        ("document", "n1", 4),
+    ]
+    assert row.expanded_tokens == 3 * 256 + 25 + 512 * (1 + 2 + 1)
+    assert row.loss_start is None and row.loss_end is None
+
+
+def test_loss_mask(spark):
+    content = [part("text", "yes <|im_end|>"), part("image", uri="x")]
+    row = chat.format_turns(spark.createDataFrame([(1, 0, "assistant", content)], MESSAGES)).first()
+    assert row.formatted[row.loss_start : row.loss_end] == "yes <\\|im_end|><|image|>"
+
+
+def test_awkward_rows(spark):
+    rows = [
+        (None, None, None, None), (1, 1, "user", []), (1, None, "a\nb", [None, part("text", None)]),
+        (1, 1, "user", []), (1, 0, "user", [part("text", "x" * 300_000)]),
+    ]
+    table = spark.createDataFrame(rows, MESSAGES).withColumn("formatted", F.lit("own"))
+    found = chat.with_offsets(chat.format_turns(table)).orderBy("conv_id", "offset").collect()
+    assert [len(r.formatted) for r in found] == [24, 34, 300_028, 28, 28]
+    reader = chat.TurnReader()
+    assert list(reader.feed(found[1].formatted)) == [("a\nb", "")]
+    assert chat.format_turns(table.limit(0)).collect() == []
+
+
+def test_text_that_is_no_turn():
+    reader = chat.TurnReader()
+    assert list(reader.feed("<|im_start|>user\nhalf")) == []
+    with pytest.raises(ValueError):
+        reader.done()

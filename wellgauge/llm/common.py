@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from wellgauge.session import workspace
 
@@ -44,6 +45,22 @@ def text_slices(
             yield batch.slice(start)
 
 
+def changed_rows(
+    docs: DataFrame,
+    change: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+) -> DataFrame:
+    """The rows that ``change`` makes of those it is given, with the same columns.
+    Rows travel as one struct, so columns may have any name."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = (pa.RecordBatch.from_struct_array(batch.column(0)) for batch in batches)
+        for batch in change(whole):
+            yield pa.RecordBatch.from_arrays([batch.to_struct_array()], names=["row"])
+
+    schema = StructType([StructField("row", docs.schema, False)])
+    return docs.select(F.struct("*").alias("row")).mapInArrow(run, schema).select("row.*")
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """UTF-8 of each text; NULL counts as empty."""
     values = batch.column(column).cast(pa.large_binary())

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellgauge.llm.common import text_slices, texts_of
+from wellgauge.llm.common import changed_rows, text_slices, texts_of
 
 _WORD = re.compile(r"[^\W_]+")
 _BLOCKS, _BLOCK_BITS = 8, 8
@@ -293,9 +293,7 @@ def without_contaminated(
     """The documents in which no item is found, with all their columns."""
     kept = docs
     for items in item_blocks(benchmark, item_id_column, item_text_column, block_bytes):
-        kept = kept.mapInArrow(
-            _keeper(items, shingle, similarity, radius, text_column), docs.schema
-        )
+        kept = changed_rows(kept, _keeper(items, shingle, similarity, radius, text_column))
     return kept
 
 

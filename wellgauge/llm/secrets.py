@@ -23,7 +23,7 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from wellgauge.llm.common import text_slices, texts_of
+from wellgauge.llm.common import changed_rows, text_slices, texts_of
 
 # Patterns of plain secrets and the least length that counts.
 ASSIGN = re.compile(
@@ -268,4 +268,4 @@ def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
             at = batch.schema.get_field_index(text_column)
             yield batch.set_column(at, text_column, pa.array(texts, column.type))
 
-    return docs.mapInArrow(rows, docs.schema)
+    return changed_rows(docs, rows)

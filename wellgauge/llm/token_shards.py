@@ -1,18 +1,19 @@
 """Token ids as binary shards in training order.
 
-Each text becomes sequences of ``length`` ids, the last one padded. Sequences are
-numbered over the whole table, a keyed Feistel permutation gives each number its global
-slot, and slots are cut into ranges, one file each. A record is the ids of one
+The texts of an input split, one after another, are packed into sequences of
+``length`` ids; the split's last one is padded. Sequences are numbered over the whole
+table, a keyed Feistel permutation gives each number its global slot, and slots are cut
+into ranges, one file each. A record is the ids of one
 sequence and a line feed, so every record has the same stride: the sequence at a slot is
 found by arithmetic, and reading can go on at any slot.
 
-Ids are bytes: those of the text in UTF-8, then END. How many sequences a text gives is
-therefore known from its size, and the ids are made once, on the way to the shards. Ids
-of a larger vocabulary are given as bytes, ``width`` of them for each id.
+Ids are bytes: those of the text in UTF-8, then END. How many sequences a split gives is
+therefore known from the sizes of its texts, and the ids are made once, on the way to
+the shards.
 
-NULL and empty texts give one sequence, END and padding. Repeated rows give sequences
-of their own. A text of any length is cut into as many sequences as it takes. A table
-without rows gives no file.
+NULL and empty texts give END alone. Repeated rows are packed each by itself. A text of
+any length runs through as many sequences as it takes. A table without rows gives no
+file.
 
 Numbers follow the order of the table's files, so the table must be read from files
 or be staged: a query may deal its rows out differently when it runs again, which is
@@ -45,13 +46,12 @@ class Shards:
     path: str
     sequences: int
     length: int  # ids of a sequence
-    width: int  # bytes of an id
     per_shard: int
     seed: int
 
     @property
     def stride(self) -> int:
-        return self.length * self.width + len(_SEPARATOR)
+        return self.length + len(_SEPARATOR)
 
     @property
     def shards(self) -> int:
@@ -77,7 +77,7 @@ def write_shards(
     ids = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
     per_partition = (
         rows.groupBy(F.spark_partition_id().alias("part"))
-        .agg(F.sum(F.ceil(ids / length)).alias("n"))
+        .agg(F.ceil(F.sum(ids) / length).alias("n"))
         .collect()  # one row per input split
     )
     bases, total = {}, 0
@@ -85,7 +85,7 @@ def write_shards(
         bases[row.part] = (total, row.n)
         total += row.n
     per_shard = max(1, shard_bytes // (length + len(_SEPARATOR)))
-    shards = Shards(path, total, length, 1, per_shard, seed)
+    shards = Shards(path, total, length, per_shard, seed)
     slot = permuted(F.col("number"), max(total, 1), seed)
     shard = F.call_function("div", F.col("slot"), F.lit(per_shard)).cast("int")
     (
@@ -104,26 +104,27 @@ def write_shards(
 def _sequences(bases: dict[int, tuple[int, int]], length: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, expected = bases.get(TaskContext.get().partitionId(), (0, 0))
-        done = 0
-        for batch in text_slices(batches):
-            texts = texts_of(batch)
-            sizes = np.array([-(-(len(t) + 1) // length) for t in texts], np.int64)
-            count = int(sizes.sum())
-            block = np.full(count * length, PAD, np.uint8)
-            starts = (np.cumsum(sizes) - sizes) * length
-            for start, text in zip(starts.tolist(), texts, strict=True):
-                block[start : start + len(text)] = np.frombuffer(text, np.uint8)
-                block[start + len(text)] = END
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(first + done, first + done + count)),
-                    pa.FixedSizeBinaryArray.from_buffers(
-                        pa.binary(length), count, [None, pa.py_buffer(block)]
-                    ).cast(pa.binary()),
-                ],
-                names=["number", "record"],
-            )
+        done, rest = 0, b""
+
+        def records(ids: bytes) -> pa.RecordBatch:
+            nonlocal done
+            count = len(ids) // length
+            numbers = np.arange(first + done, first + done + count)
             done += count
+            fixed = pa.FixedSizeBinaryArray.from_buffers(
+                pa.binary(length), count, [None, pa.py_buffer(ids)]
+            )
+            return pa.RecordBatch.from_arrays(
+                [pa.array(numbers), fixed.cast(pa.binary())], names=["number", "record"]
+            )
+
+        for batch in text_slices(batches):
+            ids = rest + b"".join(t + bytes([END]) for t in texts_of(batch))
+            cut = len(ids) - len(ids) % length
+            rest = ids[cut:]
+            yield records(ids[:cut])
+        if rest:
+            yield records(rest.ljust(length, bytes([PAD])))
         if done != expected:
             raise RuntimeError("rows were dealt out differently: stage the table first")
 
@@ -146,7 +147,7 @@ def read_shards(spark: SparkSession, shards: Shards, first_slot: int = 0) -> Dat
         .filter(F.col("shard") >= first_shard)
         .select("shard", "content")
     )
-    per_shard, stride, length = shards.per_shard, shards.stride, shards.length * shards.width
+    per_shard, stride, length = shards.per_shard, shards.stride, shards.length
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

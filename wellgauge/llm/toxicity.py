@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellgauge.llm.common import staged, text_slices, texts_of
+from wellgauge.llm.common import changed_rows, staged, text_slices, texts_of
 
 _WORD = re.compile(r"[^\W\d_]+")
 _BEGINNINGS = (4, 5, 6)
@@ -311,4 +311,4 @@ def without_toxic(
             toxic = scorer.exceed(texts_of(batch, text_column))[:, 0]
             yield batch.filter(pa.array(toxic <= threshold))
 
-    return docs.mapInArrow(rows, docs.schema)
+    return changed_rows(docs, rows)
