@@ -84,6 +84,11 @@ def _segments(radius: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def _without(bit: int) -> int:
+    """A signed long with all bits set but one."""
+    return ~(1 << bit) if bit < BITS - 1 else (1 << bit) - 1
+
+
 def _segment(fp: Column, start: int, width: int) -> Column:
     return F.shiftrightunsigned(fp, start).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1))
 
@@ -100,7 +105,7 @@ def fingerprint_links(fps: DataFrame, radius: int) -> DataFrame:
                 F.struct(
                     F.lit(start + i).cast("byte").alias("bit"),
                     _segment(F.col("fp"), start, width)
-                    .bitwiseAND(F.lit(~(1 << i)))
+                    .bitwiseAND(F.lit(_without(i)))
                     .alias("rest"),
                 )
                 for start, width in segments
@@ -117,8 +122,10 @@ def fingerprint_links(fps: DataFrame, radius: int) -> DataFrame:
     first_bit, settled = F.lit(None).cast("int"), []
     for start, width in reversed(segments):
         part = _segment(differing, start, width)
-        bit = F.when(part == 0, F.lit(start)).otherwise(
-            F.lit(start) + F.bit_count(part - 1)  # ones below the single one
+        bit = (
+            F.when(part == 0, F.lit(start))
+            .when(part < 0, F.lit(BITS - 1))  # the sign, of which 1 cannot be taken
+            .otherwise(F.lit(start) + F.bit_count(part - 1))  # ones below the single one
         )
         first_bit = F.when(F.bit_count(part) <= 1, bit).otherwise(first_bit)
         settled.append(part)
