@@ -32,8 +32,20 @@ def test_no_task_reads_a_whole_big_partition():
     }
     assert batch.keys() == stream.keys() - {"maxOffsetsPerTrigger"}
     chosen = MessageSource("kafka", {"maxRecordsPerPartition": "7"})
-    assert reader_options(chosen, streaming=True) == {"maxRecordsPerPartition": "7"}
-    assert reader_options(MessageSource("parquet"), streaming=True) == {}
+    assert reader_options(chosen, streaming=True)["maxRecordsPerPartition"] == "7"
+
+
+def test_no_message_is_left_out_by_default():
+    plain = reader_options(MessageSource("kafka", {"subscribe": "w"}), streaming=True)
+    assert (plain["startingOffsets"], plain["failOnDataLoss"]) == ("earliest", "true")
+    helper = reader_options(MessageSource.kafka("b:9092", "w"), streaming=True)
+    assert helper == {**plain, "kafka.bootstrap.servers": "b:9092"}
+    late = MessageSource("kafka", {"startingoffsets": "latest"})
+    assert reader_options(late, streaming=True)["startingoffsets"] == "latest"
+    assert "startingOffsets" not in reader_options(late, streaming=True)
+    assert reader_options(late, streaming=False)["startingoffsets"] == "earliest"
+    assert "maxFileAge" in reader_options(MessageSource("parquet"), streaming=True)
+    assert reader_options(MessageSource("parquet"), streaming=False) == {}
 
 
 def test_tables_must_not_share_a_path():

@@ -116,6 +116,14 @@ def test_profile_counts_all_fields(spark):
     assert (rows["unit"]["texts"], rows["unit"]["messages"]) == (1, 2)
 
 
+def test_profile_takes_the_last_of_a_repeated_field(spark):
+    raw = raw_payloads(spark, ['{"value":1,"value":"x"}', '{"value":2}', "{}", None])
+    rows = {r.field: r.asDict() for r in payload_profile(raw).collect()}
+    value = rows["value"]
+    assert (value["messages"], value["texts"], value["integers"]) == (2, 1, 1)
+    assert rows[None]["messages"] == 2
+
+
 def test_decoding_a_megabyte_text_whole(messages):
     text = "x" * 1_000_000
     row = decode_envelope(messages(['{"name":"%s"}' % text])).select(F.length("name")).first()

@@ -83,11 +83,10 @@ def test_only_touched_hours_are_written(spark, config, messages):
     assert got["7", "well_pump_rpm", 2021, 6, 1, 11] == 1.5
 
 
-@pytest.mark.parametrize("limit", ["DATES_BY_PATH", "HOURS_TO_BROADCAST"])
-def test_more_hours_than_fit_the_short_way(spark, config, messages, monkeypatch, limit):
+def test_more_dates_than_one_chunk(spark, config, messages, monkeypatch):
     from wellgauge.streaming import hourly
 
-    monkeypatch.setattr(hourly, limit, 2)
+    monkeypatch.setattr(hourly, "DATES_AT_A_TIME", 2)
     ensure_hourly(spark, config.layout.hourly)
     texts = [
         message(stamp=f"2021-06-0{d}T10:00:00Z", value=float(d)) for d in (1, 2, 3, 4)
@@ -120,6 +119,19 @@ def test_other_metrics_are_built_from_all_of_raw(spark, config, log):
     )
 
 
+def test_a_new_checkpoint_starts_with_no_sums(spark, config, log):
+    from pathlib import Path
+
+    one, two = message(value=2.0), message(value=3.0)
+    arrive(spark, config, log([one]))
+    assert list(arrive(spark, config, log([two])).values()) == [2.5]
+    checkpoint = Path(config.hourly_checkpoint)
+    checkpoint.rename(checkpoint.with_name("lost"))
+    await_all(start_hourly(spark, config))
+    assert list(as_dict(read_hourly_in_order(spark, config)).values()) == [2.5]
+    assert list(arrive(spark, config, log([message(value=7.0)])).values()) == [4.0]
+
+
 def test_touched_dates_are_opened_by_path(spark, config, messages):
     ensure_hourly(spark, config.layout.hourly)
     texts = [message(stamp=f"2021-06-0{d}T10:00:00Z") for d in (1, 2, 3)]

@@ -8,6 +8,7 @@ from samples import message
 from test_averages import as_dict, expected_averages, sensor_messages
 from test_hourly_stream import read_hourly_in_order
 from wellgauge import METRICS, JdbcTarget, JobConfig, MessageSource, ReportSink
+from wellgauge.operators import decode_envelope
 from wellgauge.plans import rebuild, run_job
 from wellgauge.sources import read_curated, read_hourly, read_raw, stream_messages
 
@@ -85,3 +86,18 @@ def test_command_line_stages(spark, monkeypatch, tmp_path, log, capsys):
     assert "well_pump_rpm" in capsys.readouterr().out
     assert spark.read.parquet(str(tmp_path / "tables" / "hourly")).count() == 1
     assert spark.read.parquet(str(tmp_path / "tables" / "backfill")).count() == 1
+
+
+def test_rebuild_leaves_no_older_hours(spark, tmp_path, messages):
+    curated, hourly = str(tmp_path / "curated"), str(tmp_path / "hourly")
+    stamps = "2021-06-01T10:00:00Z", "2021-06-01T11:00:00Z"
+    for texts in ([message(stamp=s) for s in stamps], [message(stamp=stamps[0])]):
+        rebuild(decode_envelope(messages(texts)), curated, hourly, METRICS)
+    assert [r.hour for r in read_hourly(spark, hourly).collect()] == [10]
+
+
+def test_rebuild_refuses_a_table_of_a_stream(spark, config, log, tmp_path):
+    run_job(spark, config, stream_messages(spark, MessageSource("parquet", {"path": log(["{}"])})))
+    raw = read_raw(spark, config.layout.raw)
+    with pytest.raises(ValueError):
+        rebuild(raw, config.layout.curated, str(tmp_path / "hourly"), METRICS)

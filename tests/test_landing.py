@@ -1,4 +1,6 @@
 import json
+import os
+import time
 from pathlib import Path
 
 import pytest
@@ -29,6 +31,22 @@ def test_landing_takes_each_message_once(spark, config, log):
     assert run([]) == 17
 
 
+def test_landing_takes_files_however_old(spark, config, log, messages):
+    path = log(texts(10))
+
+    def land_all():
+        land(spark, config, stream_messages(spark, MessageSource("parquet", {"path": path})))
+        return read_raw(spark, config.layout.raw).count()
+
+    assert land_all() == 10
+    before = set(Path(path).rglob("*.parquet"))
+    messages(texts(7, 10)).coalesce(1).write.mode("append").parquet(path)
+    ten_days_ago = time.time() - 10 * 86_400
+    for file in set(Path(path).rglob("*.parquet")) - before:
+        os.utime(file, (ten_days_ago, ten_days_ago))
+    assert land_all() == 17
+
+
 def test_landing_keeps_junk(spark, config, log):
     source = MessageSource("parquet", {"path": log([m for m, _ in ENVELOPES])})
     land(spark, config, stream_messages(spark, source))
@@ -103,7 +121,8 @@ def test_a_failed_query_reaches_the_caller(spark, config, tmp_path):
         run_for(query, 30)
 
 
-def test_a_failed_query_stops_the_others(spark, config, log, tmp_path):
+@pytest.mark.parametrize("good_first", [True, False])
+def test_a_failed_query_stops_the_others(spark, config, log, tmp_path, good_first):
     spark.dataSource.register(FakeLog)
     path = log(texts(1))
     good = start_landing(
@@ -118,7 +137,7 @@ def test_a_failed_query_stops_the_others(spark, config, log, tmp_path):
         str(tmp_path / "bad-checkpoint"),
     )
     with pytest.raises(StreamingQueryException):
-        await_all(bad, good)
+        await_all(*((good, bad) if good_first else (bad, good)))
     assert not good.isActive
 
 

@@ -34,7 +34,7 @@ def test_only_given_hours_are_replaced(spark, tmp_path):
 def test_one_file_per_hour(spark, tmp_path):
     path = str(tmp_path / "hourly")
     rows = [(str(w), "a", 2021, 6, 1, h, 1.0) for w in range(200) for h in range(5)]
-    write_hourly(hourly_rows(spark, *rows).repartition(8), path, table_is_empty=True)
+    write_hourly(hourly_rows(spark, *rows).repartition(8), path, whole_table=True)
     assert len(read_hourly(spark, path).inputFiles()) == 5
     assert stored(spark, path) == set(rows)
 

@@ -36,12 +36,15 @@ def payload_profile(raw: DataFrame) -> DataFrame:
     """Which fields the payloads hold, and the type their values agree on.
 
     One row per field: how many values are of each JSON kind, and the type that
-    JSON schema inference would settle on. A row with a NULL field counts the
+    JSON schema inference would settle on. A field that a payload repeats counts
+    once, with its last value, as decoding takes it. A row with a NULL field counts the
     payloads that hold no field at all: missing, malformed, empty or no object.
     """
-    values = raw.select(
-        F.explode_outer(F.from_json("payload", "map<string, variant>")).alias("field", "value")
-    ).select("field", _outer_type(F.schema_of_variant("value")).alias("type"))
+    entries = F.map_entries(F.from_json("payload", "map<string, variant>"))
+    values = raw.select(F.explode_outer(_last_of_each_key(entries)).alias("entry")).select(
+        F.col("entry.key").alias("field"),
+        _outer_type(F.schema_of_variant("entry.value")).alias("type"),
+    )
 
     # Types are few: count them first, then look at each only once.
     types = values.groupBy("field", "type").agg(F.count(F.lit(1)).alias("n"))
@@ -67,6 +70,14 @@ _KINDS = {
 }
 
 
+def _last_of_each_key(entries: Column) -> Column:
+    """Entries that no later one repeats; NULL stays NULL."""
+    from_the_end = F.reverse(F.transform(entries, lambda e: e["key"]))
+    return F.filter(
+        entries, lambda e, i: F.array_position(from_the_end, e["key"]) == F.size(entries) - i
+    )
+
+
 def _outer_type(variant_type: Column) -> Column:
     """The type without what is nested in it."""
     return F.substring_index(variant_type, "<", 1)

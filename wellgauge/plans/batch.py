@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from wellgauge.operators import as_text, curate, decode_nested, hourly_avg, payload_value
 from wellgauge.sinks.tables import append_table, overwrite_table, write_hourly
-from wellgauge.sources.tables import ensure_hourly, read_hourly
+from wellgauge.sources.tables import ensure_hourly
 
 
 def backfill(messages: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -27,8 +27,20 @@ def dump_messages(messages: DataFrame, path: str) -> None:
 
 
 def rebuild(raw: DataFrame, curated_path: str, hourly_path: str, metrics: Iterable[str]) -> None:
-    """Curated copy and hourly averages from a whole raw table: one pass each."""
+    """Curated copy and hourly averages from a whole raw table: one pass each.
+
+    Both tables are replaced as a whole; hours that raw no longer has go. Neither
+    path may be one that a stream writes; the sink log of a stream is looked for.
+    """
+    for path in (curated_path, hourly_path):
+        if _has_sink_log(raw.sparkSession, path):
+            raise ValueError(f"a stream writes {path}: rebuild to another path")
     overwrite_table(curate(raw), curated_path)
+    write_hourly(hourly_avg(payload_value(raw), metrics), hourly_path, whole_table=True)
     ensure_hourly(raw.sparkSession, hourly_path)
-    table_is_empty = read_hourly(raw.sparkSession, hourly_path).isEmpty()
-    write_hourly(hourly_avg(payload_value(raw), metrics), hourly_path, table_is_empty)
+
+
+def _has_sink_log(spark: SparkSession, path: str) -> bool:
+    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")
+    files = log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(log)

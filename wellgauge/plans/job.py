@@ -16,6 +16,11 @@ from wellgauge.streaming.curated import start_curated
 from wellgauge.streaming.hourly import start_hourly
 from wellgauge.streaming.landing import start_landing
 
+# The names that the reports have in the sink.
+READ_REPORT = "spark-read"
+WRITE_REPORT = "spark-write"
+REJECT_REPORT = "spark-rejects"
+
 
 def land(spark: SparkSession, config: JobConfig, messages: DataFrame | None = None) -> None:
     """Step 1: append the messages that arrived since the last run to raw."""
@@ -50,9 +55,9 @@ def report(spark: SparkSession, config: JobConfig) -> None:
         return
     raw = read_raw(spark, config.layout.raw)
     curated = read_curated(spark, config.layout.curated)
-    write_report(partition_counts(raw, "read"), config.report, "spark-read")
-    write_report(partition_counts(curated, "write"), config.report, "spark-write")
-    write_report(reject_counts(raw), config.report, "spark-rejects")
+    write_report(partition_counts(raw, "read"), config.report, READ_REPORT)
+    write_report(partition_counts(curated, "write"), config.report, WRITE_REPORT)
+    write_report(reject_counts(raw), config.report, REJECT_REPORT)
 
 
 def run_job(spark: SparkSession, config: JobConfig, messages: DataFrame | None = None) -> None:

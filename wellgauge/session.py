@@ -31,7 +31,8 @@ def workspace(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared one that the cluster names."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="wellgauge-")
     return f"{base.rstrip('/')}/wellgauge/{purpose}-{uuid.uuid4().hex}"

@@ -17,12 +17,12 @@ def overwrite_table(table: DataFrame, path: str) -> None:
     table.write.mode("overwrite").parquet(path)
 
 
-def write_hourly(hourly: DataFrame, path: str, table_is_empty: bool = False) -> None:
-    """Replace the hours that the rows belong to and leave all others alone.
+def write_hourly(hourly: DataFrame, path: str, whole_table: bool = False) -> None:
+    """Replace the hours that the rows belong to and leave all others alone, or
+    with ``whole_table`` replace all hours the table has.
 
-    Replacing hours moves them into place one by one, on the driver. For a table
-    that holds none yet, which may get all of history at once, the executors
-    write in place instead.
+    Replacing single hours moves them into place one by one, on the driver; a
+    whole table is written in place by the executors.
 
     The rebalance brings the rows of a metric and hour together, so an hour gets
     one file and not one from each task; adaptive execution splits an hour that
@@ -31,7 +31,7 @@ def write_hourly(hourly: DataFrame, path: str, table_is_empty: bool = False) ->
     (
         hourly.hint("rebalance", *HOURLY_PARTITIONS)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if table_is_empty else "dynamic")
+        .option("partitionOverwriteMode", "static" if whole_table else "dynamic")
         .partitionBy(*HOURLY_PARTITIONS)
         .parquet(path)
     )

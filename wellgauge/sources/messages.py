@@ -6,20 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wellgauge.config import MessageSource
 from wellgauge.schemas import MESSAGE_LOG
+from wellgauge.sources.tables import ALL_FILES
 
+# A first run takes the log from its start, and offsets that are gone are an error.
 # Without a limit one task reads a whole topic partition, whatever share of the
 # log that is. Spark splits a partition that holds more; nothing is left out.
-_DEFAULTS = {"kafka": {"maxRecordsPerPartition": "5000000"}}
+_KAFKA = {
+    "startingOffsets": "earliest",
+    "failOnDataLoss": "true",
+    "maxRecordsPerPartition": "5000000",
+}
 # Options that only a streaming read of the log understands.
-_STREAM_ONLY = ("maxOffsetsPerTrigger",)
+_STREAM_ONLY = ("maxoffsetspertrigger", "maxfileage")
 # Formats that need to be told the schema; others bring their own.
 _FILE_FORMATS = ("parquet", "orc", "avro")
+_DEFAULTS = {"kafka": _KAFKA, **{name: ALL_FILES for name in _FILE_FORMATS}}
 
 
 def reader_options(source: MessageSource, streaming: bool) -> dict[str, str]:
-    """Options of the source over those it gets by default."""
-    options = {**_DEFAULTS.get(source.format, {}), **source.options}
-    return {k: v for k, v in options.items() if streaming or k not in _STREAM_ONLY}
+    """Options of the source over those it gets by default; case does not count in
+    their names. A batch read takes the log from its start, wherever the stream
+    was told to begin."""
+    given = {k.lower() for k in source.options}
+    defaults = {k: v for k, v in _DEFAULTS.get(source.format, {}).items() if k.lower() not in given}
+    options = {**defaults, **source.options}
+    if streaming:
+        return options
+    start = {"startingoffsets": "earliest"} if source.format == "kafka" else {}
+    return {k: start.get(k.lower(), v) for k, v in options.items() if k.lower() not in _STREAM_ONLY}
 
 
 def stream_messages(spark: SparkSession, source: MessageSource) -> DataFrame:

@@ -20,6 +20,11 @@ from wellgauge.schemas import (
     RAW_NESTED,
 )
 
+# A file stream ignores files much older than the newest it has seen, a week by
+# default. No file may be left out, so the age is set beyond any; the price is that
+# the driver remembers the path of every file.
+ALL_FILES = {"maxFileAge": "36500d"}
+
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW).parquet(path)
@@ -29,7 +34,7 @@ def stream_raw(
     spark: SparkSession, path: str, options: Mapping[str, str] | None = None
 ) -> DataFrame:
     """The raw table as a stream of what each landing added."""
-    return spark.readStream.schema(RAW).options(**(options or {})).parquet(path)
+    return spark.readStream.schema(RAW).options(**{**ALL_FILES, **(options or {})}).parquet(path)
 
 
 def read_backfill(spark: SparkSession, path: str) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 # Take what is there, in as many batches as the source options ask for, and stop.
 AVAILABLE_NOW: Mapping[str, bool] = {"availableNow": True}
 
+# How long each query is looked at before the next, in seconds.
+_LOOK = 0.5
+
 
 def every(interval: str) -> Mapping[str, str]:
     """A new batch at a fixed interval, such as ``"5 seconds"``."""
@@ -17,10 +20,12 @@ def every(interval: str) -> Mapping[str, str]:
 
 def await_all(*queries: StreamingQuery) -> None:
     """Wait until all queries have ended. The error of a failed one is raised
-    and stops the others, so nothing that comes after runs on half a result."""
+    within seconds, whichever it is, and stops the others, so nothing that comes
+    after runs on half a result."""
+    running = list(queries)
     try:
-        for query in queries:
-            query.awaitTermination()
+        while running:
+            running = [query for query in running if not query.awaitTermination(_LOOK)]
     finally:
         for query in queries:
             if query.isActive:

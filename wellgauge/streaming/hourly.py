@@ -13,6 +13,7 @@ can be repeated after a failure.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +23,12 @@ from wellgauge.config import JobConfig
 from wellgauge.operators.averages import hour_readings, hourly_partials, merge_partials
 from wellgauge.operators.decode import payload_value
 from wellgauge.sinks.tables import write_hourly, write_partials
-from wellgauge.sources.tables import ensure_hourly, read_hourly, read_partials, stream_raw
+from wellgauge.sources.tables import ensure_hourly, read_partials, stream_raw
 from wellgauge.streaming.control import AVAILABLE_NOW
 
-# Dates opened by path; a batch that touches more of them lists the whole table.
-DATES_BY_PATH = 366
-# Touched hours sent to all executors; more of them are joined by a shuffle.
-HOURS_TO_BROADCAST = 200_000
+# Touched dates that are merged and written together. It bounds how many paths one
+# read is given; all touched dates have their turn.
+DATES_AT_A_TIME = 366
 
 
 def start_hourly(
@@ -41,7 +41,11 @@ def start_hourly(
     readings = hour_readings(payload_value(raw), config.metrics)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        refresh_hours(batch, batch_id, config.partials_path, config.layout.hourly)
+        # Batch numbers belong to a checkpoint, and so do the sums stored under them:
+        # the id of the query lives in the checkpoint and goes with it.
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        partials_path = f"{config.partials_path}/query-{query_id}"
+        refresh_hours(batch, batch_id, partials_path, config.layout.hourly)
 
     return (
         readings.writeStream.queryName(f"hourly to {config.layout.hourly}")
@@ -65,33 +69,16 @@ def refresh_hours(readings: DataFrame, batch_id: int, partials_path: str, hourly
     try:
         write_partials(partials, batch_id, partials_path)
         hours = partials.select("event_date", "name", "event_hour").distinct()
-        per_date = _hours_per_date(hours)
-        if not per_date:
-            return
-        touched = hours.select("name", "event_hour")
-        if len(per_date) > DATES_BY_PATH:
-            stored = read_partials(spark, partials_path)
-        else:
-            stored = read_partials(spark, partials_path, per_date)
-            if sum(per_date.values()) <= HOURS_TO_BROADCAST:
-                touched = F.broadcast(touched)
-        merged = merge_partials(_in_hours(stored, touched))
-        # Only the first batch can find an empty table; if it is repeated after
-        # a failure, it replaces what is there like any other batch.
-        table_is_empty = batch_id == 0 and read_hourly(spark, hourly_path).isEmpty()
-        write_hourly(merged, hourly_path, table_is_empty)
+        # Dates come to the driver chunk by chunk, however many there are.
+        dates = (r.event_date for r in hours.select("event_date").distinct().toLocalIterator())
+        while chunk := list(islice(dates, DATES_AT_A_TIME)):
+            stored = read_partials(spark, partials_path, chunk)
+            merged = merge_partials(_in_hours(stored, hours.select("name", "event_hour")))
+            write_hourly(merged, hourly_path)
     finally:
         partials.unpersist()
 
 
-def _hours_per_date(hours: DataFrame) -> dict[str | None, int]:
-    """How many hours are touched on each date, for one date more than can be
-    opened by path at most."""
-    counts = hours.groupBy("event_date").agg(F.count(F.lit(1)).alias("hours"))
-    rows = counts.limit(DATES_BY_PATH + 1).collect()
-    return {row.event_date: row.hours for row in rows}
-
-
 def _in_hours(stored: DataFrame, touched: DataFrame) -> DataFrame:
     """Stored rows of the touched hours, the NULL hour included."""
     stored, touched = stored.alias("stored"), touched.alias("touched")
