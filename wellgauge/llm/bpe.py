@@ -184,7 +184,7 @@ def pretoken_offsets(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
 class Codec:
     """Ranks of a vocabulary, with cached merges. Ids are ranks."""
 
-    def __init__(self, rank_file: str, cached: int = 1 << 19):
+    def __init__(self, rank_file: str, cached: int = 1 << 18):
         with open(rank_file, "rb") as lines:
             pairs = (line.split() for line in lines if line.strip())
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
@@ -301,13 +301,16 @@ def codec(rank_file: str) -> Codec:
 
 # --- Spark --------------------------------------------------------------------
 
+# Text encoded at a time. Arrays and slices of it take some fifty times its size, so
+# this, and the longest text, bounds what a Python worker holds.
+ENCODED_BYTES = 1 << 19
 
 def encode_batches(
     batches: Iterator[pa.RecordBatch], rank_file: str, id_column: str, text_column: str
 ) -> Iterator[pa.RecordBatch]:
     """Ids and end offsets per row, in slices of bounded size."""
     bpe = codec(rank_file)
-    for batch in text_slices(batches, text_column):
+    for batch in text_slices(batches, text_column, ENCODED_BYTES):
         texts = texts_of(batch, text_column)
         ids, ends, upto = bpe.encode(texts)
         base = np.cumsum([0, *map(len, texts)])
