@@ -173,3 +173,21 @@ def test_few_touched_hours_need_no_shuffle_of_the_stored_sums(spark, config, mes
     joined.explain()
     plan = capsys.readouterr().out
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_sums_of_a_date_do_not_pile_up(spark, config, messages):
+    """Many batches touch the same dates, the missing one too; some are repeated."""
+    from pathlib import Path
+
+    ensure_hourly(spark, config.layout.hourly)
+    texts = []
+    for batch_id in (0, 1, 1, 2, 3, 4, 4, 5):
+        batch = [message(stamp="bad", value=float(batch_id)), message(value=float(batch_id))]
+        raw = decode_envelope(messages(batch))
+        readings = hour_readings(payload_value(raw), METRICS)
+        refresh_hours(readings, batch_id, config.partials_path, config.layout.hourly)
+        texts += batch if len(texts) == 2 * batch_id else []
+        got = as_dict(read_hourly_in_order(spark, config))
+        assert got == expected_averages(texts, METRICS)
+    for date in Path(config.partials_path).glob("event_date=*"):
+        assert len(list(date.rglob("part-*.parquet"))) == 2

@@ -9,7 +9,7 @@ from test_averages import as_dict, expected_averages, sensor_messages
 from test_hourly_stream import read_hourly_in_order
 from wellgauge import METRICS, JdbcTarget, JobConfig, MessageSource, ReportSink
 from wellgauge.operators import decode_envelope
-from wellgauge.plans import rebuild, run_job
+from wellgauge.plans import enrich, land, publish, publish_all, rebuild, run_job
 from wellgauge.sources import read_curated, read_hourly, read_raw, stream_messages
 
 
@@ -30,7 +30,8 @@ def test_job_end_to_end_and_again(spark, config, log, tmp_path, monkeypatch):
         assert got == expected_averages(texts, METRICS)
         assert read_raw(spark, config.layout.raw).count() == len(texts)
         assert read_curated(spark, config.layout.curated).count() == len(texts)
-    assert tables == [*METRICS, *METRICS]
+    averaged = {name for _, name, *_ in expected_averages(texts, METRICS)}
+    assert tables == [m for m in METRICS if m in averaged]  # the second run changed none
     for stage in ("read", "write"):
         counts = spark.read.parquet(str(tmp_path / "reports" / f"spark-{stage}"))
         assert counts.agg(F.sum("count")).first()[0] == len(texts)
@@ -101,3 +102,73 @@ def test_rebuild_refuses_a_table_of_a_stream(spark, config, log, tmp_path):
     raw = read_raw(spark, config.layout.raw)
     with pytest.raises(ValueError):
         rebuild(raw, config.layout.curated, str(tmp_path / "hourly"), METRICS)
+
+
+def test_publish_sends_what_changed(spark, config, log, monkeypatch):
+    tables = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, **_: tables.append(table))
+    config = JobConfig(config.layout, jdbc=JdbcTarget("jdbc:some:db"))
+
+    def arrive(*texts):
+        source = MessageSource("parquet", {"path": log(texts)})
+        run_job(spark, config, stream_messages(spark, source))
+
+    arrive(message(name=METRICS[0]), message(name=METRICS[1]))
+    arrive(message(name="other"))
+    arrive(message(name=METRICS[1]))
+    assert tables == [METRICS[0], METRICS[1], METRICS[1]]
+    publish_all(spark, config)
+    assert tables[3:] == list(METRICS)
+
+
+def test_a_failed_publish_is_made_up_for(spark, config, log, monkeypatch):
+    config = JobConfig(config.layout, jdbc=JdbcTarget("jdbc:some:db"))
+    tables, broken = [], [True]
+
+    def jdbc(self, url, table, **_):
+        if broken[0]:
+            raise OSError("no database")
+        tables.append(table)
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", jdbc)
+    messages = stream_messages(spark, MessageSource("parquet", {"path": log([message()])}))
+    with pytest.raises(OSError):
+        run_job(spark, config, messages)
+    broken[0] = False
+    publish(spark, config)
+    publish(spark, config)
+    assert tables == ["well_pump_rpm"]
+
+
+def test_a_backlog_writes_each_hour_once(spark, config, log, monkeypatch):
+    from wellgauge.streaming import hourly
+
+    written = []
+    write = hourly.write_hourly
+    monkeypatch.setattr(hourly, "write_hourly", lambda *a: written.append(a) or write(*a))
+    config = JobConfig(config.layout, raw_options={"maxFilesPerTrigger": "1"})
+    texts = []
+    for value in (1.0, 2.0, 6.0):
+        texts.append(message(value=value))
+        land(spark, config, stream_messages(spark, MessageSource("parquet", {"path": log(texts[-1:])})))
+    enrich(spark, config)
+    assert len(written) == 1
+    assert list(as_dict(read_hourly_in_order(spark, config)).values()) == [3.0]
+    enrich(spark, config)
+    assert len(written) == 1
+
+
+def test_hours_that_a_failed_run_left_are_written_by_the_next(spark, config, log, monkeypatch):
+    from wellgauge.streaming import hourly
+
+    def fail(*_):
+        raise OSError("no space")
+
+    texts = [message(value=1.0), message(value=2.0), message(stamp="bad")]
+    land(spark, config, stream_messages(spark, MessageSource("parquet", {"path": log(texts)})))
+    with monkeypatch.context() as patch:
+        patch.setattr(hourly, "write_hourly", fail)
+        with pytest.raises(OSError):
+            enrich(spark, config)
+    enrich(spark, config)
+    assert as_dict(read_hourly_in_order(spark, config)) == expected_averages(texts, METRICS)

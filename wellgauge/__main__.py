@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from wellgauge.config import JobConfig
 from wellgauge.operators.curate import preview
-from wellgauge.plans import backfill, enrich, land, publish, report, run_job
+from wellgauge.plans import backfill, enrich, land, publish, publish_all, report, run_job
 from wellgauge.session import job_session
 from wellgauge.sources import read_curated, read_messages
 
@@ -30,6 +30,7 @@ STAGES = {
     "land": land,
     "enrich": enrich,
     "publish": publish,
+    "publish-all": publish_all,
     "report": report,
     "run": run_job,
     "backfill": _backfill,

@@ -127,11 +127,12 @@ class JdbcTarget:
 
 @dataclass(frozen=True)
 class ReportSink:
-    """Any Spark format that takes the count reports, such as a search index."""
+    """Any Spark format that takes the count reports, such as a search index. Each
+    landing adds its rows, unless the mode is another."""
 
     format: str
     options: Mapping[str, str] = field(default_factory=dict)
-    mode: str = "overwrite"
+    mode: str = "append"
 
 
 @dataclass(frozen=True)
@@ -155,12 +156,19 @@ class JobConfig:
     def hourly_checkpoint(self) -> str:
         # The partial averages only hold the configured metrics. Another list
         # therefore gets its own state and is built from the whole raw table.
-        return f"{self.layout.checkpoints}/hourly-{self._metrics_key()}"
+        return f"{self.layout.checkpoints}/hourly-sums-{self._metrics_key()}"
 
     @property
     def partials_path(self) -> str:
         return f"{self.layout.partials}/metrics-{self._metrics_key()}"
 
+    @property
+    def changes_path(self) -> str:
+        return f"{self.layout.partials}/changes-{self._metrics_key()}"
+
+    def report_checkpoint(self, stage: str) -> str:
+        return f"{self.layout.checkpoints}/{stage}-report"
+
     @property
     def landing_checkpoint(self) -> str:
         return f"{self.layout.checkpoints}/landing"
@@ -202,7 +210,7 @@ class JobConfig:
             report = ReportSink(
                 conf["report.format"],
                 options("report.option."),
-                conf.get("report.mode", "overwrite"),
+                conf.get("report.mode", "append"),
             )
         metrics = tuple(m.strip() for m in conf.get("metrics", "").split(",") if m.strip())
         return cls(

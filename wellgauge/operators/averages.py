@@ -51,10 +51,20 @@ def hourly_partials(readings: DataFrame) -> DataFrame:
 
 def merge_partials(partials: DataFrame) -> DataFrame:
     """Averages from any number of partial rows per group."""
-    merged = partials.groupBy(*GROUP).agg(
-        F.try_divide(F.sum("value_sum"), F.sum("value_count")).alias("hourly_avg_value")
+    return averages_of(sum_partials(partials))
+
+
+def sum_partials(partials: DataFrame) -> DataFrame:
+    """One row per group and date, from any number of partial rows."""
+    return partials.groupBy(*GROUP, "event_date").agg(
+        F.sum("value_sum").alias("value_sum"), F.sum("value_count").alias("value_count")
     )
-    return _as_hourly(merged)
+
+
+def averages_of(sums: DataFrame) -> DataFrame:
+    """Averages from sums and counts that are one row per group."""
+    average = F.try_divide("value_sum", "value_count").alias("hourly_avg_value")
+    return _as_hourly(sums.select(*GROUP, average))
 
 
 def _as_hourly(grouped: DataFrame) -> DataFrame:

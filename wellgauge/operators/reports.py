@@ -20,15 +20,20 @@ def partition_counts(table: DataFrame, stage: str) -> DataFrame:
 
 def reject_counts(raw: DataFrame) -> DataFrame:
     """Messages per name, and how many carry a payload that gives no number."""
+    return count_rejected(rejections(raw))
+
+
+def rejections(raw: DataFrame) -> DataFrame:
+    """Name of each message, and whether its payload gives no number."""
     kept = raw.withColumn("raw_payload", F.col("payload"))
     rejected = F.col("raw_payload").isNotNull() & F.col("value").isNull()
-    return (
-        payload_value(kept)
-        .groupBy("name")
-        .agg(
-            F.count(F.lit(1)).alias("messages"),
-            F.count_if(rejected).alias("rejected"),
-        )
+    return payload_value(kept).select("name", rejected.alias("is_rejected"))
+
+
+def count_rejected(marked: DataFrame) -> DataFrame:
+    return marked.groupBy("name").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if("is_rejected").alias("rejected"),
     )
 
 

@@ -1,4 +1,14 @@
 from wellgauge.plans.batch import backfill, dump_messages, rebuild
-from wellgauge.plans.job import enrich, land, publish, report, run_job
+from wellgauge.plans.job import enrich, land, publish, publish_all, report, run_job
 
-__all__ = ["backfill", "dump_messages", "enrich", "land", "publish", "rebuild", "report", "run_job"]
+__all__ = [
+    "backfill",
+    "dump_messages",
+    "enrich",
+    "land",
+    "publish",
+    "publish_all",
+    "rebuild",
+    "report",
+    "run_job",
+]

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from wellgauge.operators import as_text, curate, decode_nested, hourly_avg, payload_value
+from wellgauge.sinks.folders import exists
 from wellgauge.sinks.tables import append_table, overwrite_table, write_hourly
 from wellgauge.sources.tables import ensure_hourly
 
@@ -33,14 +34,8 @@ def rebuild(raw: DataFrame, curated_path: str, hourly_path: str, metrics: Iterab
     path may be one that a stream writes; the sink log of a stream is looked for.
     """
     for path in (curated_path, hourly_path):
-        if _has_sink_log(raw.sparkSession, path):
+        if exists(raw.sparkSession, f"{path}/_spark_metadata"):
             raise ValueError(f"a stream writes {path}: rebuild to another path")
     overwrite_table(curate(raw), curated_path)
     write_hourly(hourly_avg(payload_value(raw), metrics), hourly_path, whole_table=True)
     ensure_hourly(raw.sparkSession, hourly_path)
-
-
-def _has_sink_log(spark: SparkSession, path: str) -> bool:
-    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")
-    files = log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.exists(log)

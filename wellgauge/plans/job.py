@@ -5,21 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wellgauge.config import JobConfig
-from wellgauge.operators.reports import partition_counts, reject_counts
 from wellgauge.session import job_session
 from wellgauge.sinks.database import write_metrics
-from wellgauge.sinks.report import write_report
+from wellgauge.sinks.folders import delete, exists
 from wellgauge.sources.messages import stream_messages
-from wellgauge.sources.tables import read_curated, read_hourly, read_raw
+from wellgauge.sources.tables import read_changes, read_hourly
 from wellgauge.streaming.control import await_all
 from wellgauge.streaming.curated import start_curated
-from wellgauge.streaming.hourly import start_hourly
+from wellgauge.streaming.hourly import start_hourly, write_pending_hours
 from wellgauge.streaming.landing import start_landing
-
-# The names that the reports have in the sink.
-READ_REPORT = "spark-read"
-WRITE_REPORT = "spark-write"
-REJECT_REPORT = "spark-rejects"
+from wellgauge.streaming.reporting import start_read_report, start_write_report
 
 
 def land(spark: SparkSession, config: JobConfig, messages: DataFrame | None = None) -> None:
@@ -35,29 +30,42 @@ def land(spark: SparkSession, config: JobConfig, messages: DataFrame | None = No
 def enrich(spark: SparkSession, config: JobConfig) -> None:
     """Step 2: bring the curated copy and the hourly averages up to date.
 
-    Both follow the raw table by themselves and run side by side.
+    Both follow the raw table by themselves and run side by side. An hour is written
+    once, however many batches of the run touched it.
     """
     job_session(spark)
-    await_all(start_curated(spark, config), start_hourly(spark, config))
+    hourly = start_hourly(spark, config, hours_each_batch=False)
+    await_all(start_curated(spark, config), hourly)
+    write_pending_hours(spark, config, hourly)
 
 
 def publish(spark: SparkSession, config: JobConfig) -> None:
-    """Send the stored averages to the database, if there is one."""
+    """Send the metrics whose averages changed since the last call to the database,
+    if there is one. A call that fails leaves them to the next."""
+    job_session(spark)
+    if config.jdbc is None or not exists(spark, config.changes_path):
+        return
+    changes = read_changes(spark, config.changes_path)
+    noted = changes.inputFiles()
+    names = {r.name for r in changes.distinct().collect()}  # the metrics, at most
+    changed = [metric for metric in config.metrics if metric in names]
+    write_metrics(read_hourly(spark, config.layout.hourly), config.jdbc, changed)
+    delete(spark, noted)
+
+
+def publish_all(spark: SparkSession, config: JobConfig) -> None:
+    """Send all stored averages to the database, changed or not."""
     job_session(spark)
     if config.jdbc is not None:
         write_metrics(read_hourly(spark, config.layout.hourly), config.jdbc, config.metrics)
 
 
 def report(spark: SparkSession, config: JobConfig) -> None:
-    """Write row counts of both stages and payload rejects, if asked for."""
+    """Write row counts of both stages and payload rejects of what is new, if asked
+    for."""
     job_session(spark)
-    if config.report is None:
-        return
-    raw = read_raw(spark, config.layout.raw)
-    curated = read_curated(spark, config.layout.curated)
-    write_report(partition_counts(raw, "read"), config.report, READ_REPORT)
-    write_report(partition_counts(curated, "write"), config.report, WRITE_REPORT)
-    write_report(reject_counts(raw), config.report, REJECT_REPORT)
+    if config.report is not None:
+        await_all(start_read_report(spark, config), start_write_report(spark, config))
 
 
 def run_job(spark: SparkSession, config: JobConfig, messages: DataFrame | None = None) -> None:

@@ -40,7 +40,8 @@ CURATED = T.StructType(
     ]
 )
 
-# Per batch and group: what is needed to merge averages across batches.
+# Per group: what is needed to merge averages across batches. A batch stores its own
+# version of each date that it touched.
 PARTIALS = T.StructType(
     [
         T.StructField("well_id", T.StringType()),
@@ -54,6 +55,19 @@ PARTIALS = T.StructType(
 )
 PARTIALS_PARTITIONS = ["event_date", "batch_id"]
 
+# Hours that a batch touched and that the hourly table has yet to take over.
+TOUCHED = T.StructType(
+    [
+        T.StructField("event_date", T.StringType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("event_hour", T.TimestampType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+# Metrics whose averages changed and that a database has yet to take over.
+CHANGES = T.StructType([T.StructField("name", T.StringType())])
+
 HOURLY = T.StructType(
     [
         T.StructField("well_id", T.StringType()),

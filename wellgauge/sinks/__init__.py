@@ -5,6 +5,7 @@ from wellgauge.sinks.tables import (
     overwrite_table,
     write_hourly,
     write_partials,
+    write_touched,
 )
 
 __all__ = [
@@ -14,4 +15,5 @@ __all__ = [
     "write_metrics",
     "write_partials",
     "write_report",
+    "write_touched",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellgauge.schemas import HOURLY_PARTITIONS, PARTIALS, PARTIALS_PARTITIONS
+from wellgauge.schemas import HOURLY_PARTITIONS, PARTIALS, PARTIALS_PARTITIONS, TOUCHED
 
 
 def append_table(table: DataFrame, path: str) -> None:
@@ -38,7 +38,7 @@ def write_hourly(hourly: DataFrame, path: str, whole_table: bool = False) -> Non
 
 
 def write_partials(partials: DataFrame, batch_id: int, path: str) -> None:
-    """Store the partial averages of one batch under its number.
+    """Store sums and counts of whole dates under the number of a batch.
 
     A batch that is repeated after a failure replaces what it wrote before.
     """
@@ -51,3 +51,15 @@ def write_partials(partials: DataFrame, batch_id: int, path: str) -> None:
         .partitionBy(*PARTIALS_PARTITIONS)
         .parquet(path)
     )
+
+
+def write_touched(touched: DataFrame, batch_id: int, path: str) -> None:
+    """Note the hours that a batch touched; a repeated batch replaces its note."""
+    (
+        touched.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .select(*TOUCHED.names)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )

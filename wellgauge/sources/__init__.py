@@ -7,6 +7,7 @@ from wellgauge.sources.tables import (
     read_hourly,
     read_partials,
     read_raw,
+    stream_curated,
     stream_raw,
 )
 
@@ -19,6 +20,7 @@ __all__ = [
     "read_messages",
     "read_partials",
     "read_raw",
+    "stream_curated",
     "stream_messages",
     "stream_raw",
 ]

@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellgauge.schemas import (
+    CHANGES,
     CURATED,
     HOURLY,
     HOURLY_PARTITIONS,
     PARTIALS,
     RAW,
     RAW_NESTED,
+    TOUCHED,
 )
 
 # A file stream ignores files much older than the newest it has seen, a week by
@@ -37,6 +39,13 @@ def stream_raw(
     return spark.readStream.schema(RAW).options(**{**ALL_FILES, **(options or {})}).parquet(path)
 
 
+def stream_curated(
+    spark: SparkSession, path: str, options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The curated table as a stream of what each batch added."""
+    return spark.readStream.schema(CURATED).options(**{**ALL_FILES, **(options or {})}).parquet(path)
+
+
 def read_backfill(spark: SparkSession, path: str) -> DataFrame:
     """The table of a batch backfill: one struct column, ``value``."""
     return spark.read.schema(RAW_NESTED).parquet(path)
@@ -60,15 +69,33 @@ def of_metric(hourly: DataFrame, metric: str) -> DataFrame:
 def read_partials(
     spark: SparkSession, path: str, dates: Iterable[str | None] | None = None
 ) -> DataFrame:
-    """Partial averages of all dates, or of some.
+    """All stored versions of the sums of all dates, or of some.
 
     Given dates are opened by path: listing them does not grow with the history.
     """
     reader = spark.read.schema(PARTIALS)
     if dates is None:
         return reader.parquet(path)
-    folders = [f"{path}/event_date={d or '__HIVE_DEFAULT_PARTITION__'}" for d in dates]
-    return reader.option("basePath", path).parquet(*folders)
+    return read_partials_at(spark, path, [date_folder(path, d) for d in dates])
+
+
+def date_folder(path: str, date: str | None) -> str:
+    return f"{path}/event_date={date or '__HIVE_DEFAULT_PARTITION__'}"
+
+
+def read_partials_at(spark: SparkSession, path: str, folders: Iterable[str]) -> DataFrame:
+    """The sums in some folders of the table at ``path``."""
+    return spark.read.schema(PARTIALS).option("basePath", path).parquet(*folders)
+
+
+def read_touched(spark: SparkSession, path: str, folders: Iterable[str]) -> DataFrame:
+    """Hours that the batches of some folders touched."""
+    return spark.read.schema(TOUCHED).option("basePath", path).parquet(*folders)
+
+
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """Metrics that changed since changes were last taken over."""
+    return spark.read.schema(CHANGES).parquet(path)
 
 
 def ensure_hourly(spark: SparkSession, path: str) -> None:

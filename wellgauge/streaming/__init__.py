@@ -1,10 +1,20 @@
 from wellgauge.streaming.control import AVAILABLE_NOW, await_all, every, run_for
 from wellgauge.streaming.curated import start_curated
-from wellgauge.streaming.hourly import refresh_hours, start_hourly
+from wellgauge.streaming.hourly import refresh_hours, start_hourly, write_pending_hours
 from wellgauge.streaming.landing import start_console, start_landing
+from wellgauge.streaming.reporting import (
+    READ_REPORT,
+    REJECT_REPORT,
+    WRITE_REPORT,
+    start_read_report,
+    start_write_report,
+)
 
 __all__ = [
     "AVAILABLE_NOW",
+    "READ_REPORT",
+    "REJECT_REPORT",
+    "WRITE_REPORT",
     "await_all",
     "every",
     "refresh_hours",
@@ -13,4 +23,7 @@ __all__ = [
     "start_curated",
     "start_hourly",
     "start_landing",
+    "start_read_report",
+    "start_write_report",
+    "write_pending_hours",
 ]

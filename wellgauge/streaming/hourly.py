@@ -1,29 +1,42 @@
 """Hourly averages, kept up to date with what lands.
 
-Raw rows are read once, in the batch that brings them. A batch is reduced to
-sums and counts per well, metric and hour, which are stored under the number of
-the batch. The hours the batch touched are then merged from the stored sums and
-counts, however old they are, and replaced in the hourly table. Late readings
-therefore never get lost, and history is not read again for them.
-
-Every write replaces what an earlier attempt of the same batch wrote, so a batch
-can be repeated after a failure.
+Raw rows are read once, in the batch that brings them. A batch is reduced to sums and
+counts per well, metric and hour. These are added to the newest sums of the dates they
+belong to and stored as the batch's version of those dates, so a date has a few versions
+on disk however many batches touch it. The hours that batches touched are noted and
+replaced in the hourly table later: after each batch, or once for all batches of a run.
+Late readings therefore never get lost, and history is not read again for them.
+
+Every step can be repeated after a failure. A batch adds to versions older than itself
+and replaces its own; notes of touched hours are taken back only when these are written.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wellgauge.config import JobConfig
-from wellgauge.operators.averages import hour_readings, hourly_partials, merge_partials
+from wellgauge.operators.averages import (
+    averages_of,
+    hour_readings,
+    hourly_partials,
+    sum_partials,
+)
 from wellgauge.operators.decode import payload_value
-from wellgauge.sinks.tables import write_hourly, write_partials
-from wellgauge.sources.tables import ensure_hourly, read_partials, stream_raw
+from wellgauge.sinks.folders import delete, subfolders
+from wellgauge.sinks.tables import append_table, write_hourly, write_partials, write_touched
+from wellgauge.sources.tables import (
+    date_folder,
+    ensure_hourly,
+    read_partials_at,
+    read_touched,
+    stream_raw,
+)
 from wellgauge.streaming.control import AVAILABLE_NOW
 
 # Touched dates that are merged and written together. It bounds how many paths one
@@ -32,32 +45,63 @@ DATES_AT_A_TIME = 366
 
 
 def start_hourly(
-    spark: SparkSession, config: JobConfig, trigger: Mapping = AVAILABLE_NOW
+    spark: SparkSession,
+    config: JobConfig,
+    trigger: Mapping = AVAILABLE_NOW,
+    hours_each_batch: bool = True,
 ) -> StreamingQuery:
+    """Follow the raw table. Unless ``hours_each_batch``, the caller brings the hourly
+    table up to date by ``write_pending_hours`` once the query has ended."""
     ensure_hourly(spark, config.layout.hourly)
     # Filter and projection belong to the streaming plan: a batch is opaque to
     # the optimizer, so inside it nothing would be pushed down to the files.
     raw = stream_raw(spark, config.layout.raw, config.raw_options)
     readings = hour_readings(payload_value(raw), config.metrics)
 
-    def refresh(batch: DataFrame, batch_id: int) -> None:
+    def take(batch: DataFrame, batch_id: int) -> None:
         # Batch numbers belong to a checkpoint, and so do the sums stored under them:
         # the id of the query lives in the checkpoint and goes with it.
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        partials_path = f"{config.partials_path}/query-{query_id}"
-        refresh_hours(batch, batch_id, partials_path, config.layout.hourly)
+        add_batch(batch, batch_id, _sums_path(config, query_id))
+        if hours_each_batch:
+            _write_pending(batch.sparkSession, config, query_id)
 
     return (
         readings.writeStream.queryName(f"hourly to {config.layout.hourly}")
-        .foreachBatch(refresh)
+        .foreachBatch(take)
         .option("checkpointLocation", config.hourly_checkpoint)
         .trigger(**trigger)
         .start()
     )
 
 
+def write_pending_hours(spark: SparkSession, config: JobConfig, query: StreamingQuery) -> None:
+    """Replace, once, the hours that the batches of ``query`` have touched since hours
+    were last written, by earlier runs that failed as well."""
+    _write_pending(spark, config, query.id)
+
+
+def _write_pending(spark: SparkSession, config: JobConfig, query_id: str) -> None:
+    sums_path = _sums_path(config, query_id)
+    write_touched_hours(spark, sums_path, config.layout.hourly, config.changes_path)
+
+
+def _sums_path(config: JobConfig, query_id: str) -> str:
+    return f"{config.partials_path}/query-{query_id}"
+
+
+def _touched_path(sums_path: str) -> str:
+    return f"{sums_path}-touched"
+
+
 def refresh_hours(readings: DataFrame, batch_id: int, partials_path: str, hourly_path: str) -> None:
     """Bring the hourly table up to date with one batch of readings."""
+    add_batch(readings, batch_id, partials_path)
+    write_touched_hours(readings.sparkSession, partials_path, hourly_path)
+
+
+def add_batch(readings: DataFrame, batch_id: int, sums_path: str) -> None:
+    """Add one batch of readings to the stored sums, and note the hours it touched."""
     spark = readings.sparkSession
     # One row per group: used several times below, computed from raw once.
     # A lost executor costs a recomputation of its part, not the batch.
@@ -67,18 +111,66 @@ def refresh_hours(readings: DataFrame, batch_id: int, partials_path: str, hourly
         .persist()
     )
     try:
-        write_partials(partials, batch_id, partials_path)
-        hours = partials.select("event_date", "name", "event_hour").distinct()
-        # Dates come to the driver chunk by chunk, however many there are.
-        dates = (r.event_date for r in hours.select("event_date").distinct().toLocalIterator())
-        while chunk := list(islice(dates, DATES_AT_A_TIME)):
-            stored = read_partials(spark, partials_path, chunk)
-            merged = merge_partials(_in_hours(stored, hours.select("name", "event_hour")))
-            write_hourly(merged, hourly_path)
+        for dates in _dates_in_chunks(partials):
+            earlier, outdated = [], []
+            for date in dates:
+                versions = [v for v in _versions(spark, sums_path, date) if v < batch_id]
+                folder = date_folder(sums_path, date)
+                earlier += [f"{folder}/batch_id={v}" for v in versions[-1:]]
+                outdated += [f"{folder}/batch_id={v}" for v in versions[:-1]]
+            added = partials.filter(_on_dates(dates))
+            if earlier:
+                stored = read_partials_at(spark, sums_path, earlier).select(added.columns)
+                added = sum_partials(added.unionAll(stored))
+            write_partials(added, batch_id, sums_path)
+            # A repeated batch needs the version before it, and none before that.
+            delete(spark, outdated)
+        touched = partials.select("event_date", "name", "event_hour").distinct()
+        write_touched(touched, batch_id, _touched_path(sums_path))
     finally:
         partials.unpersist()
 
 
+def write_touched_hours(
+    spark: SparkSession, sums_path: str, hourly_path: str, changes_path: str | None = None
+) -> None:
+    """Replace the hours that are noted as touched. The metrics they belong to are
+    noted under ``changes_path``, for those who follow the hourly table."""
+    notes = [f"{_touched_path(sums_path)}/{n}" for n in subfolders(spark, _touched_path(sums_path))]
+    if not notes:
+        return
+    touched = read_touched(spark, _touched_path(sums_path), notes)
+    for dates in _dates_in_chunks(touched):
+        newest = [
+            f"{date_folder(sums_path, date)}/batch_id={_versions(spark, sums_path, date)[-1]}"
+            for date in dates
+        ]
+        hours = touched.filter(_on_dates(dates)).select("name", "event_hour").distinct()
+        stored = read_partials_at(spark, sums_path, newest)
+        write_hourly(averages_of(_in_hours(stored, hours)), hourly_path)
+    if changes_path is not None:
+        append_table(touched.select("name").distinct().coalesce(1), changes_path)
+    delete(spark, notes)
+
+
+def _dates_in_chunks(table: DataFrame) -> Iterator[list[str | None]]:
+    """The dates of a table. They come to the driver chunk by chunk, however many."""
+    dates = (r.event_date for r in table.select("event_date").distinct().toLocalIterator())
+    while chunk := list(islice(dates, DATES_AT_A_TIME)):
+        yield chunk
+
+
+def _on_dates(dates: list[str | None]) -> Column:
+    """Rows of the dates; readings without a usable time have none."""
+    return F.coalesce("event_date", F.lit("")).isin([d or "" for d in dates])
+
+
+def _versions(spark: SparkSession, sums_path: str, date: str | None) -> list[int]:
+    """Numbers of the batches that have a version of the date, oldest first."""
+    names = subfolders(spark, date_folder(sums_path, date))
+    return sorted(int(name.removeprefix("batch_id=")) for name in names)
+
+
 def _in_hours(stored: DataFrame, touched: DataFrame) -> DataFrame:
     """Stored rows of the touched hours, the NULL hour included."""
     stored, touched = stored.alias("stored"), touched.alias("touched")
