@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -16,7 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from wellgauge import JobConfig, Layout, MessageSource  # noqa: E402
+from wellgauge import JobConfig, Layout, MessageSource, ReportSink  # noqa: E402
 from wellgauge.operators import (  # noqa: E402
     as_text,
     curate,
@@ -30,7 +31,15 @@ from wellgauge.operators import (  # noqa: E402
     preview,
     reject_counts,
 )
-from wellgauge.plans import backfill, dump_messages, land, rebuild, run_job  # noqa: E402
+from wellgauge.plans import (  # noqa: E402
+    backfill,
+    dump_messages,
+    enrich,
+    land,
+    rebuild,
+    report,
+    run_job,
+)
 from wellgauge.schemas import HOURLY  # noqa: E402
 from wellgauge.session import job_session, workspace  # noqa: E402
 from wellgauge.sinks import append_table, overwrite_table, write_hourly  # noqa: E402
@@ -44,7 +53,17 @@ from wellgauge.sources import (  # noqa: E402
     stream_messages,
 )
 from wellgauge.sources.replay import as_messages, events_as_messages  # noqa: E402
-from wellgauge.streaming import await_all, start_curated, start_hourly, start_landing  # noqa: E402
+from wellgauge.streaming import (  # noqa: E402
+    READ_REPORT,
+    REJECT_REPORT,
+    WRITE_REPORT,
+    await_all,
+    every,
+    run_for,
+    start_curated,
+    start_hourly,
+    start_landing,
+)
 
 # The corpus operators are registered where they are installed.
 try:
@@ -117,7 +136,8 @@ def decode_nested_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_junk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts that are no JSON at all: every message stays, as a row of NULLs."""
+    """Texts that are no JSON at all among messages: every one stays, those as rows of
+    NULLs."""
     job_session(spark)
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
@@ -125,7 +145,7 @@ def decode_junk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = as_messages(documents, F.col("doc_id"), F.col("text"), F.col("doc_id"), now).unionAll(
         as_messages(pages, F.col("page_id"), F.col("html"), F.col("page_id"), now)
     )
-    return decode_envelope(texts)
+    return decode_envelope(texts.unionByName(_messages(spark, sf_dir)))
 
 
 def payload_value_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +161,12 @@ def event_time_parts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payload_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payload_profile(_raw_both_payloads(spark, sf_dir))
+    """Both payloads, and a third that repeats a key and holds a great integer."""
+    repeated = F.concat(
+        F.lit('{"user":"x","big":123456789012345678901234,"user":'), F.col("user_id"), F.lit("}")
+    )
+    third = decode_envelope(events_as_messages(_events(spark, sf_dir), repeated))
+    return payload_profile(_raw_both_payloads(spark, sf_dir).unionAll(third))
 
 
 def reject_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,10 +218,10 @@ def _stored_copy(spark: SparkSession, sf_dir: str, purpose: str) -> DataFrame:
     return read_curated(spark, path)
 
 
-def curate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _without_run(curated: DataFrame) -> DataFrame:
     """Partition ids and load times differ from run to run; that they are there
     does not."""
-    return _stored_copy(spark, sf_dir, "curate").select(
+    return curated.select(
         "@metadata",
         "@timestamp",
         "name",
@@ -207,8 +232,26 @@ def curate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def curate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _without_run(_stored_copy(spark, sf_dir, "curate"))
+
+
 def preview_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preview(_stored_copy(spark, sf_dir, "preview"))
+    """Any ten rows may be shown: how many there are, and how many different ones of
+    them the table holds."""
+    stored, path = _stored_copy(spark, sf_dir, "preview"), workspace(spark, "previewed")
+    overwrite_table(preview(stored), path)
+    shown = read_curated(spark, path).select(F.struct("*").alias("shown"))  # ten rows
+    known = (
+        stored.select(F.struct("*").alias("row"))
+        .join(F.broadcast(shown.distinct()), F.col("row").eqNullSafe(F.col("shown")), "left_semi")
+        .distinct()
+    )
+    return (
+        shown.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("shown").alias("different"))
+        .join(F.broadcast(known.agg(F.count(F.lit(1)).alias("known"))))
+        .select("rows", (F.col("known") == F.col("different")).alias("all_known"))
+    )
 
 
 def ingest_batch_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,16 +325,64 @@ def stream_hourly_avg_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(read_hourly(spark, config.layout.hourly))
 
 
+def stream_hourly_reset_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checkpoint of the averages is lost after the first arrival: a new one starts
+    with no sums and builds the hours from raw again."""
+    config, log = _config(spark, "stream_hourly_reset"), workspace(spark, "log")
+    source = MessageSource("parquet", {"path": log})
+    other = replace(config.layout, checkpoints=workspace(spark, "other-checkpoints"))
+    for part, layout in zip(_arrivals(spark, sf_dir), (config.layout, other), strict=True):
+        append_table(part, log)
+        land(spark, config, stream_messages(spark, source))
+        await_all(start_hourly(spark, replace(config, layout=layout)))
+    return _rounded(read_hourly(spark, config.layout.hourly))
+
+
+def ingest_interval_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing at an interval, stopped after a limited time."""
+    config = _config(spark, "ingest_interval")
+    query = start_landing(
+        _message_stream(spark, sf_dir),
+        config.layout.raw,
+        config.landing_checkpoint,
+        every("1 second"),
+    )
+    query.processAllAvailable()
+    if run_for(query, 2):
+        raise RuntimeError("a stream at an interval does not end by itself")
+    return read_raw(spark, config.layout.raw)
+
+
+def report_readback_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of two landings, and of a run that brings nothing, summed up."""
+    config, log = _config(spark, "report"), workspace(spark, "log")
+    reports = workspace(spark, "reports")
+    config = replace(config, report=ReportSink("parquet", {"path": reports}))
+    source = MessageSource("parquet", {"path": log})
+    for part in [*_arrivals(spark, sf_dir), None]:
+        if part is not None:
+            append_table(part, log)
+        land(spark, config, stream_messages(spark, source))
+        enrich(spark, config)
+        report(spark, config)
+    counts = spark.read.parquet(f"{reports}/{READ_REPORT}").unionByName(
+        spark.read.parquet(f"{reports}/{WRITE_REPORT}")
+    )
+    rejects = spark.read.parquet(f"{reports}/{REJECT_REPORT}")
+    by_stage = counts.groupBy("stage", F.lit("").alias("name")).agg(
+        F.sum("count").alias("messages"), F.lit(0).cast("long").alias("rejected")
+    )
+    by_name = rejects.groupBy(F.lit("rejects").alias("stage"), "name").agg(
+        F.sum("messages").alias("messages"), F.sum("rejected").alias("rejected")
+    )
+    return by_stage.unionByName(by_name)
+
+
 def stream_curated_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _config(spark, "stream_curated")
     land(spark, config, _message_stream(spark, sf_dir))
     await_all(start_curated(spark, config))
-    curated = read_curated(spark, config.layout.curated)
-    return curated.groupBy("name").agg(
-        F.count(F.lit(1)).alias("messages"),
-        F.count("partition_id").alias("tagged"),
-        F.count("timestamp").alias("stamped"),
-    )
+    return _without_run(read_curated(spark, config.layout.curated))
 
 
 def land_then_enrich_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,15 +427,17 @@ def queries() -> dict[str, Query]:
         "rebuild": rebuild_query,
         "ingest_stream": ingest_stream_query,
         "ingest_resume": ingest_resume_query,
+        "ingest_interval": ingest_interval_query,
+        "report_readback": report_readback_query,
         "stream_hourly_avg": stream_hourly_avg_query,
+        "stream_hourly_reset": stream_hourly_reset_query,
         "stream_curated": stream_curated_query,
         "land_then_enrich": land_then_enrich_query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same results in SQL. ``preview`` has none: which rows it shows is
-    left open."""
+    """The same results in SQL."""
     stamp = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')"
     payload = "CAST(to_json({'value': value}) AS VARCHAR)"
     envelope = f"""
@@ -378,7 +471,8 @@ def oracle_sql() -> dict[str, str]:
         "message_text": message,
         "decode_envelope": envelope,
         "decode_nested": f"SELECT {nested} AS value_json FROM events",
-        "decode_junk": """
+        "decode_junk": f"""
+            {envelope} UNION ALL
             SELECT CAST(NULL AS VARCHAR) AS "@metadata", CAST(NULL AS VARCHAR) AS "@timestamp",
                    CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS payload,
                    CAST(NULL AS VARCHAR) AS well_id
@@ -396,6 +490,14 @@ def oracle_sql() -> dict[str, str]:
                    CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour
             FROM events""",
         "payload_profile": f"""
+            SELECT 'big' AS field, count(*) AS messages, CAST(0 AS BIGINT) AS integers,
+                   count(*) AS big_integers, CAST(0 AS BIGINT) AS fractions,
+                   CAST(0 AS BIGINT) AS booleans, CAST(0 AS BIGINT) AS texts,
+                   CAST(0 AS BIGINT) AS objects, CAST(0 AS BIGINT) AS arrays,
+                   'DECIMAL' AS inferred_type FROM events
+            UNION ALL
+            SELECT 'user', count(*), count(*), 0, 0, 0, 0, 0, 0, 'BIGINT' FROM events
+            UNION ALL
             SELECT field, messages, integers, CAST(0 AS BIGINT) AS big_integers, fractions,
                    booleans, texts, objects, arrays,
                    CASE WHEN fractions > 0 AND integers + fractions = messages THEN 'DOUBLE'
@@ -426,16 +528,25 @@ def oracle_sql() -> dict[str, str]:
             FROM (VALUES ('read'), ('write')) AS s(stage)""",
         "curate": f"""
             SELECT *, TRUE AS has_partition_id, TRUE AS has_load_time FROM ({envelope})""",
+        "preview": """
+            SELECT least(count(*), 10) AS rows, TRUE AS all_known FROM events""",
         "ingest_batch": envelope,
         "hourly_readback": hourly(),
         "hourly_relation": hourly("event_type = 'error'"),
         "rebuild": hourly(),
         "ingest_stream": envelope,
         "ingest_resume": envelope,
-        "stream_hourly_avg": hourly(),
-        "stream_curated": """
-            SELECT event_type AS name, count(*) AS messages, count(*) AS tagged,
-                   count(*) AS stamped
+        "ingest_interval": envelope,
+        "report_readback": f"""
+            SELECT stage, '' AS name, count(*) AS messages, CAST(0 AS BIGINT) AS rejected
+            FROM events, (VALUES ('read'), ('write')) AS s(stage) GROUP BY stage
+            UNION ALL
+            SELECT 'rejects', event_type, count(*),
+                   count(*) FILTER (json_extract({payload}, '$.value') IS NULL)
             FROM events GROUP BY event_type""",
+        "stream_hourly_avg": hourly(),
+        "stream_hourly_reset": hourly(),
+        "stream_curated": f"""
+            SELECT *, TRUE AS has_partition_id, TRUE AS has_load_time FROM ({envelope})""",
         "land_then_enrich": hourly(),
     }

@@ -38,14 +38,9 @@ def test_query_equals_sql(spark, oracle, name):
     assert got == in_order(want.select(*[f'"{c}"' for c in columns]).fetchall())
 
 
-def test_preview_shows_rows_of_the_table(spark):
-    shown = entries.queries()["preview"](spark, str(TABLES)).collect()
-    known = {tuple(r) for r in entries._raw(spark, str(TABLES)).collect()}
-    assert len(shown) == 10 and {tuple(r)[:5] for r in shown} <= known
-
-
-def test_only_the_preview_has_no_sql():
-    assert set(entries.queries()) - set(entries.oracle_sql()) == {"preview"}
+def test_every_query_but_those_beyond_sql_has_sql():
+    corpus = {} if entries.corpus_queries is None else {*entries.corpus_queries.queries(), "pipeline"}
+    assert set(entries.queries()) - set(entries.oracle_sql()) <= set(corpus)
 
 
 def test_flagship(spark):
