@@ -116,11 +116,13 @@ def test_partition_counts(spark):
 
 
 def test_report_in_any_format(spark, tmp_path):
-    sink = ReportSink("parquet", {"path": str(tmp_path)})
-    for _ in range(2):
-        write_report(partition_counts(raw_rows(spark, 10), "read"), sink, "spark-read")
-    back = spark.read.parquet(str(tmp_path / "spark-read"))
-    assert back.agg(F.sum("count")).first()[0] == 10
+    """Landings add their rows by default; a sink can be told to keep the last ones."""
+    path = {"path": str(tmp_path)}
+    for sink, rows in ((ReportSink("parquet", path), 20), (ReportSink("parquet", path, "overwrite"), 10)):
+        for _ in range(2):
+            write_report(partition_counts(raw_rows(spark, 10), "read"), sink, "spark-read")
+        back = spark.read.parquet(str(tmp_path / "spark-read"))
+        assert back.agg(F.sum("count")).first()[0] == rows
 
 
 def test_curated_copy_and_preview(spark, tmp_path):

@@ -54,9 +54,10 @@ def merge_partials(partials: DataFrame) -> DataFrame:
     return averages_of(sum_partials(partials))
 
 
-def sum_partials(partials: DataFrame) -> DataFrame:
-    """One row per group and date, from any number of partial rows."""
-    return partials.groupBy(*GROUP, "event_date").agg(
+def sum_partials(partials: DataFrame, *further: str) -> DataFrame:
+    """One row per group, from any number of partial rows; ``further`` columns are
+    the same in all rows of a group and stay."""
+    return partials.groupBy(*GROUP, *further).agg(
         F.sum("value_sum").alias("value_sum"), F.sum("value_count").alias("value_count")
     )
 

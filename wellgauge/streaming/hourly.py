@@ -121,7 +121,7 @@ def add_batch(readings: DataFrame, batch_id: int, sums_path: str) -> None:
             added = partials.filter(_on_dates(dates))
             if earlier:
                 stored = read_partials_at(spark, sums_path, earlier).select(added.columns)
-                added = sum_partials(added.unionAll(stored))
+                added = sum_partials(added.unionAll(stored), "event_date")
             write_partials(added, batch_id, sums_path)
             # A repeated batch needs the version before it, and none before that.
             delete(spark, outdated)
