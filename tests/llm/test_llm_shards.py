@@ -124,3 +124,29 @@ def test_registered_token_shards(spark):
     found = op4_token_shards(spark, d).collect()
     want = [hashlib.sha256(ids[i : i + 512]).hexdigest() for i in range(0, len(ids), 512)]
     assert [r.ids_sha256 for r in sorted(found, key=lambda r: r.sequence)] == want
+
+
+def test_the_order_does_not_depend_on_files_or_splits(spark):
+    """The same rows in one file or many, read in one split or many."""
+    rows = documents(spark).unionAll(
+        spark.range(500).select(
+            (F.col("id") % 200).alias("doc_id"),  # repeated ids, some with the same text
+            F.repeat(F.lit("some text "), (F.col("id") % 40).cast("int")).alias("text"),
+            *[F.lit(None).alias(c) for c in documents(spark).columns[2:]],
+        )
+    )
+    few = staged(rows.coalesce(1), "one-file")
+    many = staged(rows.repartition(5, F.xxhash64("text")), "five-files")
+    by_key, by_place = [], []
+    for table, split in ((few, "128m"), (many, "128m"), (many, "2k")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            by_key.append(read_back(spark, table, length=64, by_id=True)[1])
+            by_place.append(read_back(spark, table, length=64)[1])
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert by_key[0] == by_key[1] == by_key[2]
+    assert by_place[1] == by_place[2]
+    want = sorted((r.text or "").encode() for r in rows.collect())
+    for ids in (by_key[0], *by_place):
+        assert sorted(ids.split(b"\xff")[:-1]) == want

@@ -162,7 +162,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as shards in training order, read back record by record."""
     docs = _table(spark, sf_dir, "documents")
-    shards = token_shards.write_shards(docs, workspace(spark, "token-shards"), seed=SEED)
+    path = workspace(spark, "token-shards")
+    shards = token_shards.write_shards(docs, path, seed=SEED, by_id=True)
     return token_shards.read_shards(spark, shards).select(
         "slot",
         "shard",

@@ -1,23 +1,24 @@
 """Token ids as binary shards in training order.
 
-The texts of an input split, one after another, are packed into sequences of
-``length`` ids; the split's last one is padded. Sequences are numbered over the whole
-table, a keyed Feistel permutation gives each number its global slot, and slots are cut
-into ranges, one file each. A record is the ids of one
+The texts of a table, one after another, are packed into sequences of ``length`` ids;
+the last one is padded. A keyed Feistel permutation gives each sequence's number its
+global slot, and slots are cut into ranges, one file each. A record is the ids of one
 sequence and a line feed, so every record has the same stride: the sequence at a slot is
 found by arithmetic, and reading can go on at any slot.
 
-Ids are bytes: those of the text in UTF-8, then END. How many sequences a split gives is
-therefore known from the sizes of its texts, and the ids are made once, on the way to
-the shards.
+The order of the texts is a matter of data alone: with ``by_id`` that of id and text
+(by hash), whatever files and partitions hold them; else that of the files' paths and of
+the rows in them, for which the table must be read from files. Sizes are summed up in
+this order into a staged table, where each text has the number of its first id. Texts
+are joined to it and cut where sequences begin, so neither the result nor a repeated
+task depends on how rows are dealt out.
+
+Ids are bytes: those of the text in UTF-8, then END. How many ids a text gives is
+therefore known from its size, and the ids are made once, on the way to the shards.
 
 NULL and empty texts give END alone. Repeated rows are packed each by itself. A text of
 any length runs through as many sequences as it takes. A table without rows gives no
 file.
-
-Numbers follow the order of the table's files, so the table must be read from files
-or be staged: a query may deal its rows out differently when it runs again, which is
-noticed and ends the job.
 """
 
 from __future__ import annotations
@@ -27,11 +28,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wellgauge.llm.common import text_slices, texts_of
+from wellgauge.llm.common import quoted, running_totals, staged, text_slices, texts_of
 from wellgauge.llm.feistel import inverted, permute, permuted
 
 # No byte of UTF-8 has these values.
@@ -70,29 +70,38 @@ def write_shards(
     length: int = 512,
     text_column: str = "text",
     shard_bytes: int = 32 << 20,
+    id_column: str = "doc_id",
+    by_id: bool = False,
 ) -> Shards:
-    """Write the sequences of all texts. One shuffle brings each range of slots to
-    the task that writes its file, in order."""
-    rows = texts.select(F.col(text_column).alias("text"))
-    ids = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
-    per_partition = (
-        rows.groupBy(F.spark_partition_id().alias("part"))
-        .agg(F.ceil(F.sum(ids) / length).alias("n"))
-        .collect()  # one row per input split
-    )
-    bases, total = {}, 0
-    for row in sorted(per_partition):
-        bases[row.part] = (total, row.n)
-        total += row.n
+    """Write the sequences of all texts. One shuffle brings texts to the numbers of
+    their first ids, another one each range of slots to the task that writes its file,
+    in order."""
+    text = F.col(quoted(text_column))
+    n = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
+    if by_id:
+        key = [F.col(quoted(id_column)).alias("id"), F.xxhash64(text).alias("hash")]
+    else:
+        key = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+    rows = texts.select(F.struct(*key, n.alias("n")).alias("place"), text.alias("text"))
+    starts = staged(_starts(rows.select("place")), "sequence-starts")
+    ids, most = starts.agg(F.sum(F.col("n") * F.col("copies")), F.max("copies")).first()
+    ids, total = ids or 0, -(-(ids or 0) // length)
     per_shard = max(1, shard_bytes // (length + len(_SEPARATOR)))
     shards = Shards(path, total, length, per_shard, seed)
+    placed = rows.join(starts, "place")
+    if (most or 1) > 1:  # texts of one place are the same: any may be the first
+        copy = F.row_number().over(Window.partitionBy("place").orderBy("first")) - 1
+        placed = placed.withColumn("first", F.col("first") + copy * F.col("n"))
     slot = permuted(F.col("number"), max(total, 1), seed)
     shard = F.call_function("div", F.col("slot"), F.lit(per_shard)).cast("int")
     (
-        rows.mapInArrow(_sequences(bases, length), "number long, record binary")
-        .select(slot.alias("slot"), "record")
+        placed.select("first", "text")
+        .mapInArrow(_pieces(ids, length), "number long, at int, piece binary")
+        .select(slot.alias("slot"), "at", "piece")
         .repartitionById(max(shards.shards, 1), shard)
-        .sortWithinPartitions("slot")
+        .sortWithinPartitions("slot", "at")
+        .select("piece")
+        .mapInArrow(_records(length), "record binary")
         # The text writer passes bytes on as they are and ends each by the separator.
         .select(F.col("record").cast("string").alias("value"))
         .write.option("lineSep", _SEPARATOR.decode())
@@ -101,32 +110,80 @@ def write_shards(
     return shards
 
 
-def _sequences(bases: dict[int, tuple[int, int]], length: int):
+def _starts(rows: DataFrame) -> DataFrame:
+    """Each place once, with the ids ``n`` of a text there, how many ``copies`` there
+    are, and the number of the ``first`` id of the first of them.
+
+    Places are sorted in ranges, whose totals are summed up first: ranges may be cut
+    anywhere, and are staged so that they are cut once."""
+    places = rows.groupBy("place").agg(F.count(F.lit(1)).alias("copies"))
+    places = places.select("place", F.col("place.n").alias("n"), "copies")
+    ranges = places.repartitionByRange("place").withColumn("part", F.spark_partition_id())
+    ranges = staged(ranges, "sequence-ranges")
+    size = F.col("n") * F.col("copies")
+    totals = ranges.groupBy("part").agg(F.sum(size).alias("size"))
+    bases = running_totals(totals, "part", "size", "base")  # one row per range
+    before = (
+        Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        ranges.withColumn("before", F.coalesce(F.sum(size).over(before), F.lit(0)))
+        .join(F.broadcast(bases), "part")
+        .select("place", "n", "copies", (F.col("base") + F.col("before")).alias("first"))
+    )
+
+
+def _pieces(total: int, length: int):
+    """Ids of the texts, cut where sequences begin, and the padding of the last one."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, expected = bases.get(TaskContext.get().partitionId(), (0, 0))
-        done, rest = 0, b""
-
-        def records(ids: bytes) -> pa.RecordBatch:
-            nonlocal done
-            count = len(ids) // length
-            numbers = np.arange(first + done, first + done + count)
-            done += count
-            fixed = pa.FixedSizeBinaryArray.from_buffers(
-                pa.binary(length), count, [None, pa.py_buffer(ids)]
-            )
-            return pa.RecordBatch.from_arrays(
-                [pa.array(numbers), fixed.cast(pa.binary())], names=["number", "record"]
+        for batch in text_slices(batches):
+            texts = texts_of(batch)
+            first = batch.column("first").to_numpy()
+            sizes = np.array([len(t) + 1 for t in texts], np.int64)
+            stops = first + sizes
+            # Each text is cut at its start and at every multiple of the length in it.
+            counts = (stops - 1) // length - first // length + 1
+            of = np.repeat(np.arange(len(texts)), counts)
+            within = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+            number = first[of] // length + within
+            start = np.maximum(number * length, first[of])
+            base = np.cumsum(sizes) - sizes
+            cuts = np.append(base[of] + start - first[of], sizes.sum())
+            ids = b"".join(t + bytes([END]) for t in texts)
+            pieces = pa.Array.from_buffers(
+                pa.large_binary(), len(of), [None, pa.py_buffer(cuts), pa.py_buffer(ids)]
             )
+            yield _piece_batch(number, start - number * length, pieces.cast(pa.binary()))
+            if (stops == total).any() and total % length:
+                padding = bytes([PAD]) * (-total % length)
+                yield _piece_batch([total // length], [total % length], pa.array([padding]))
 
-        for batch in text_slices(batches):
-            ids = rest + b"".join(t + bytes([END]) for t in texts_of(batch))
-            cut = len(ids) - len(ids) % length
-            rest = ids[cut:]
-            yield records(ids[:cut])
+    return rows
+
+
+def _piece_batch(number, at, pieces: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(number, pa.int64()), pa.array(at, pa.int32()), pieces],
+        names=["number", "at", "piece"],
+    )
+
+
+def _records(size: int):
+    """Records of ``size`` bytes from their pieces in order."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = b""
+        for batch in batches:
+            data = rest + b"".join(batch.column(0).to_pylist())
+            count = len(data) // size
+            rest = data[count * size :]
+            fixed = pa.FixedSizeBinaryArray.from_buffers(
+                pa.binary(size), count, [None, pa.py_buffer(data)]
+            )
+            yield pa.RecordBatch.from_arrays([fixed.cast(pa.binary())], names=["record"])
         if rest:
-            yield records(rest.ljust(length, bytes([PAD])))
-        if done != expected:
-            raise RuntimeError("rows were dealt out differently: stage the table first")
+            raise ValueError("a shard ends within a record")
 
     return rows
 
