@@ -150,3 +150,55 @@ def test_the_order_does_not_depend_on_files_or_splits(spark):
     want = sorted((r.text or "").encode() for r in rows.collect())
     for ids in (by_key[0], *by_place):
         assert sorted(ids.split(b"\xff")[:-1]) == want
+
+
+@pytest.mark.parametrize(("width", "greatest"), [(1, 253), (2, 65_533), (4, (1 << 31) - 1)])
+def test_ids_of_a_vocabulary_come_back(spark, width, greatest):
+    rows = [(1, [0, 10, greatest]), (2, None), (3, []), (0, list(range(200))), (3, [7] * 90), (3, [7] * 90)]
+    table = staged(spark.createDataFrame(rows, "doc_id long, ids array<int>").repartition(2), "ids")
+    shards, data = read_back(
+        spark, table, length=16, shard_bytes=200, by_id=True, ids_column="ids", width=width
+    )
+    ids = [int.from_bytes(data[i : i + width], "little") for i in range(0, len(data), width)]
+    end = token_shards.end_of(width)
+    assert ids[:201] == [*range(200), end] and ids[201:205] == [0, 10, greatest, end]
+    assert Counter(ids[205:]) == {7: 180, end: 4} and len(data) // width == 389
+    held = token_shards.documents_of(spark, shards).orderBy("sequence").collect()
+    assert [r.sequence for r in held] == list(range(shards.sequences))
+    docs = [d for i, t in sorted(rows, key=lambda r: r[0]) for d in [i] * (len(t or []) + 1)]
+    for r in held:
+        assert list(dict.fromkeys(r.doc_ids)) == list(dict.fromkeys(docs[r.sequence * 16 :][:16]))
+
+
+@pytest.mark.parametrize("bad", [254, 255, 256, -1, None])
+def test_ids_that_do_not_fit_are_refused(spark, bad):
+    table = staged(spark.createDataFrame([(1, [1, bad])], "doc_id long, ids array<int>"), "ids")
+    with pytest.raises(Exception, match="does not fit 1 bytes"):
+        token_shards.write_shards(table, workspace(spark, "shards"), 9, ids_column="ids")
+
+
+def test_registered_bpe_shards(spark):
+    import hashlib
+
+    import numpy as np
+
+    from wellgauge.llm import bpe
+    from wellgauge.llm.queries import RANKS, op4_bpe_shards
+
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet").collect()
+    docs.sort(key=lambda r: r.doc_id)
+    ids, owners = [], []
+    for doc in docs:
+        made = bpe.codec(RANKS).encode([doc.text.encode()])[0].tolist() + [0xFFFF]
+        ids += made
+        owners += [doc.doc_id] * len(made)
+    assert max(i for i in ids if i != 0xFFFF) > 255
+    data = np.array(ids, "<u2").tobytes()
+    want = [
+        (hashlib.sha256(data[2 * i : 2 * i + 1024]).hexdigest(), list(dict.fromkeys(owners[i : i + 512])))
+        for i in range(0, len(ids), 512)
+    ]
+    found = sorted(op4_bpe_shards(spark, d).collect(), key=lambda r: r.sequence)
+    assert [(r.ids_sha256, r.doc_ids) for r in found] == want
+    assert sum(r.n_ids for r in found) == len(ids)

@@ -22,6 +22,7 @@ from wellgauge.llm import (
     toxicity,
     warc,
 )
+from wellgauge.llm.common import staged
 from wellgauge.session import workspace
 
 SEED = 20_240_501
@@ -160,18 +161,44 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as shards in training order, read back record by record."""
+    """The bytes of all documents as shards in training order, read back record by
+    record."""
     docs = _table(spark, sf_dir, "documents")
     path = workspace(spark, "token-shards")
     shards = token_shards.write_shards(docs, path, seed=SEED, by_id=True)
-    return token_shards.read_shards(spark, shards).select(
+    return _records_of(spark, shards)
+
+
+def op4_bpe_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the ids of the 50k vocabulary, two bytes each. They are made once
+    and staged."""
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), RANKS).select("doc_id", "ids")
+    shards = token_shards.write_shards(
+        staged(encoded, "token-ids"),
+        workspace(spark, "token-shards"),
+        seed=SEED,
+        by_id=True,
+        ids_column="ids",
+        width=2,
+    )
+    return _records_of(spark, shards)
+
+
+def _records_of(spark: SparkSession, shards: token_shards.Shards) -> DataFrame:
+    """All records with digests of their ids and the documents they hold parts of."""
+    records = token_shards.read_shards(spark, shards).select(
         "slot",
         "shard",
         "position",
         "sequence",
-        F.octet_length("ids").cast("long").alias("n_ids"),
+        F.call_function("div", F.octet_length("ids"), F.lit(shards.width))
+        .cast("long")
+        .alias("n_ids"),
         F.sha2("ids", 256).alias("ids_sha256"),
     )
+    return records.join(token_shards.documents_of(spark, shards), "sequence", "left").select(
+        *records.columns, "doc_ids"
+    )
 
 
 # --- near-duplicates ------------------------------------------------------------
@@ -297,6 +324,7 @@ def queries() -> dict[str, Query]:
         "op2_byte_bpe": op2_byte_bpe,
         "op3_toxicity": op3_toxicity,
         "op4_token_shards": op4_token_shards,
+        "op4_bpe_shards": op4_bpe_shards,
         "op5_simhash": op5_simhash,
         "op6_sharding": op6_sharding,
         "op7_decontaminate": op7_decontaminate,
