@@ -138,3 +138,53 @@ def test_awkward_rows(spark):
     expected = table.withColumn("text", marked).collect()
     assert sorted(map(str, sc.redact(table).collect())) == sorted(map(str, expected))
     assert sc.scan(no_documents(spark)).collect() == [] == sc.redact(no_documents(spark)).collect()
+
+
+def found(text):
+    return [(s.kind, text[s.start : s.end]) for s in sc.structural_spans(text)]
+
+
+def sized(data, rest):
+    """A key of the same kind whose size leaves ``rest`` when divided by three."""
+    if data == SSH:
+        return SSH[:-67] + string(b"p" * (63 + (rest - len(SSH)) % 3))
+    if data == RSA:
+        more = (rest - len(RSA)) % 3
+        numbers = b"".join(integer(b"\1" * n) for n in (128, 3, 128, 64, 64, 64, 64, 64 + more))
+        return tlv(0x30, integer(b"\0") + numbers)
+    return tlv(0x30, ALGORITHM + tlv(4, b"\7" * (64 + (rest - len(ENCRYPTED)) % 3)))
+
+
+@pytest.mark.parametrize("data", [RSA, ENCRYPTED, SSH])
+@pytest.mark.parametrize("rest", [0, 1, 2])
+def test_keys_among_other_lines(data, rest):
+    data = sized(data, rest)
+    assert len(data) % 3 == rest
+    kind = "ssh" if data.startswith(b"openssh") else "der"
+    plain = base64.b64encode(data).decode()
+    wrapped = base64.encodebytes(data).decode().rstrip()
+    for key in (plain, plain.rstrip("="), wrapped, wrapped.rstrip("=")):
+        for newline in ("\n", "\r\n"):
+            for indent in ("", "    ", "\t", " \t "):
+                shown = key.replace("\n", newline + indent)
+                word = "aWordOfMoreThanTwentyFourLetters"
+                for before in ("", "see: ", word + newline, plain[:40] + newline):
+                    for after in ("", f"{newline}The next line", f"{newline}{word}", f" {newline}  End"):
+                        assert found(before + indent + shown + after) == [(kind, shown)]
+    both = f"{plain.rstrip('=')}\n{plain.rstrip('=')}\nword"
+    assert found(both) == [(kind, plain.rstrip("="))] * 2
+    assert found(plain.rstrip("=") + "x\nword") == [] == found(plain[:-8] + "\nThe next line")
+
+
+def test_blocks_of_lines_that_are_no_keys():
+    assert found("\n".join(["MIT/////AAAA" + "A" * 52] * 20_000)) == []
+    assert found("\n".join(["b3BlbnNzaC1rZXktdjEA" + "/" * 44] * 5_000)) == []
+    assert found("MA" + "A" * 30 + "\nM" + "A" * 30 + "\n" + "M" * 25) == []
+
+
+def test_redaction_of_an_unpadded_and_an_indented_key(spark):
+    plain = base64.b64encode(sized(RSA, 1)).decode().rstrip("=")
+    indented = base64.encodebytes(PKCS8).decode().strip().replace("\n", "\n    ")
+    rows = [(1, f"{plain}\nThe next line"), (2, f"key: |\n    {indented}\nother: 1")]
+    out = [r.text for r in sc.redact(documents(spark, rows)).collect()]
+    assert out == ["[der secret]\nThe next line", "key: |\n    [der secret]\nother: 1"]

@@ -8,16 +8,19 @@ is a JSON object that names an algorithm.
 
 Spans are code points, end exclusive. NULL and empty texts hold no secret; repeated
 rows are scanned each by itself, and a text of any length is scanned whole. A
-candidate that is cut off, padded wrongly or followed by further bytes is no key.
+candidate in base64 may begin with any line and ends where the lengths it declares say;
+lines may be indented, and lines of other text may precede and follow. One that is cut
+off, padded wrongly or followed by further bytes in its last line is no key.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -38,7 +41,14 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "der", "ssh", "signed")
 
 _ASSIGN_HINTS = ("passw", "secret", "token", "api_key", "apikey")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{24,}(?:\r?\n[A-Za-z0-9+/]+)*={0,2}")
+_BASE64_LEAST = 24  # of a key's first line
+_BASE64 = re.compile(r"[A-Za-z0-9+/]+")
+_BASE64_LINES = re.compile(
+    r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{24,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/]+)*"
+)
+_PADDING = re.compile("={0,2}")
+# How a DER sequence and an OpenSSH container begin.
+_KEY_STARTS = ("M", "b3BlbnNzaC1rZXktdjEA")
 _HEX_BYTES = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
 _SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(e[wy][A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.[A-Za-z0-9_-]*")
 
@@ -153,24 +163,76 @@ def is_signed_token(header: str, payload: str) -> bool:
     return is_header and isinstance(second, dict)
 
 
-def _from_base64(text: str) -> bytes:
-    compact = "".join(text.split())
-    bare = compact.rstrip("=")
-    if compact != bare and len(compact) % 4:
-        return b""
-    return base64.b64decode(bare + "=" * (-len(bare) % 4), validate=True)
+def _declared(data: Callable[[int, int], bytes]) -> int:
+    """Bytes that a key has by the lengths it declares; 0 if it declares none.
+    ``data`` gives the bytes from an offset on, as many as asked for or there are."""
+    head = data(0, 6)
+    if head[:1] == b"\x30":
+        length = head[1] if len(head) > 1 else 0x80
+        if length < 0x80:
+            return 2 + length
+        count = length & 0x7F
+        if not 1 <= count <= 4 or len(head) < 2 + count:
+            return 0
+        return 2 + count + int.from_bytes(head[2 : 2 + count], "big")
+    at = len(_SSH_MAGIC)
+    if data(0, at) != _SSH_MAGIC:
+        return 0
+    for _ in range(3):
+        at += 4 + int.from_bytes(data(at, 4), "big")
+    keys = int.from_bytes(data(at, 4), "big")
+    at += 4
+    if not 1 <= keys <= 64:
+        return 0
+    for _ in range(keys + 1):
+        if len(data(at, 4)) < 4:
+            return 0
+        at += 4 + int.from_bytes(data(at, 4), "big")
+    return at
+
+
+def _kind(data: bytes) -> str | None:
+    return "der" if is_private_key(data) else "ssh" if is_ssh_container(data) else None
 
 
-def _confirmed(text: str, pattern: re.Pattern, decode: Callable[[str], bytes]) -> Iterator[Span]:
-    for match in pattern.finditer(text):
-        try:
-            data = decode(match[0])
-        except (binascii.Error, ValueError):
+def _base64_keys(text: str) -> Iterator[Span]:
+    """Keys that begin with a line and end where one ends."""
+    for block in _BASE64_LINES.finditer(text):
+        lines = list(_BASE64.finditer(text, *block.span()))
+        if not any(line[0].startswith(_KEY_STARTS) for line in lines):
             continue
-        if is_private_key(data):
-            yield Span(*match.span(), "der")
-        elif is_ssh_container(data):
-            yield Span(*match.span(), "ssh")
+        letters = "".join(line[0] for line in lines)
+        ends = list(accumulate(len(line[0]) for line in lines))  # in letters
+        free = 0  # lines before are part of a key
+        for i, line in enumerate(lines):
+            if i < free or len(line[0]) < _BASE64_LEAST or not line[0].startswith(_KEY_STARTS):
+                continue
+            start = ends[i] - len(line[0])
+
+            def data(at: int, count: int, start: int = start) -> bytes:
+                first = at // 3 * 4
+                some = letters[start + first : start + first + (count + 2) // 3 * 4 + 4]
+                some = some[: len(some) - (len(some) % 4 == 1)]
+                return base64.b64decode(some + "=" * (-len(some) % 4))[at % 3 :][:count]
+
+            size = _declared(data)
+            stop = start + (size * 4 + 2) // 3
+            last = bisect_left(ends, stop)
+            if not size or last == len(ends) or ends[last] != stop:
+                continue
+            end = _PADDING.match(text, lines[last].end()).end()
+            padding = end - lines[last].end()
+            if padding and (stop - start + padding) % 4:
+                continue
+            if kind := _kind(data(0, size)):
+                yield Span(line.start(), end, kind)
+                free = last + 1
+
+
+def _hex_keys(text: str) -> Iterator[Span]:
+    for match in _HEX_BYTES.finditer(text):
+        if kind := _kind(bytes.fromhex(match[0])):
+            yield Span(*match.span(), kind)
 
 
 # --- scanning -------------------------------------------------------------------
@@ -195,8 +257,8 @@ def base_spans(text: str) -> list[Span]:
 def structural_spans(text: str) -> list[Span]:
     """Spans that decode and parse, by start and kind."""
     found = [
-        *_confirmed(text, _BASE64, _from_base64),
-        *_confirmed(text, _HEX_BYTES, bytes.fromhex),
+        *_base64_keys(text),
+        *_hex_keys(text),
     ]
     if "." in text:
         for match in _SIGNED.finditer(text):
