@@ -1,3 +1,5 @@
+import pickle
+
 import numpy as np
 
 from wellgauge.llm import neighbours as nb
@@ -46,3 +48,27 @@ def test_few_rows_are_all_found_and_awkward_ones_take_no_part(spark):
 
 def test_empty_table(spark):
     assert nb.nearest(spark.createDataFrame([], VECTORS), "id % 100 = 0").collect() == []
+
+
+def test_the_driver_holds_one_block_of_vectors_at_a_time(spark, monkeypatch):
+    rnd = np.random.default_rng(3)
+    rows = [(i, rnd.normal(size=8).tolist()) for i in range(600)]
+    table = spark.createDataFrame(rows, VECTORS)
+    whole = nb.nearest(table, "id % 10 = 0", k=5).collect()
+    live, sizes, context = set(), [], type(spark.sparkContext)
+    broadcast = context.broadcast
+
+    def watched(self, value):
+        assert not live, "the block before is still held"
+        sent = broadcast(self, value)
+        sizes.append(len(pickle.dumps(value)))
+        live.add(id(sent))
+        destroy = sent.destroy
+        sent.destroy = lambda *a, **b: (live.discard(id(sent)), destroy(*a, **b))
+        return sent
+
+    monkeypatch.setattr(context, "broadcast", watched)
+    found = nb.nearest(table, "id % 10 = 0", k=5, query_block=8).collect()
+    assert sorted(found) == sorted(whole) and len(whole) == 300
+    # 60 queries in 8 blocks; bucket keys alone would take 73 KB a query.
+    assert len(sizes) >= 8 and max(sizes) < 64_000 and not live

@@ -8,10 +8,12 @@ in a visited bucket of any table is a candidate, once, and candidates are ranked
 distances.
 
 The index is fitted on a bounded sample, which gives the bucket width; every row is
-hashed. Queries go in blocks of bounded size to all tasks, rows stay where they are and
-are read once per block: no bucket is gathered anywhere, however full it is. A task
-keeps the best of each query and hands on these alone. Queries that find fewer rows
-than there are to find are searched over all rows.
+hashed. Queries go in blocks of bounded size to all tasks, which make the keys of the
+buckets to visit; rows stay where they are and are read once per block: no bucket is
+gathered anywhere, however full it is. A task keeps the best of each query and hands on
+these alone. What a block finds is stored before the next one is sent, so the driver and
+the tasks hold one block of vectors at a time, however many queries there are. Queries
+that find fewer rows than there are to find are searched over all rows.
 
 Vectors that are NULL, zero, or hold NULL or non-finite components take no part, nor
 do those of another size than most of the sample. Rows with a query's id are not its
@@ -22,6 +24,7 @@ smaller id.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from itertools import product
 
@@ -31,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellgauge.llm.common import staged
+from wellgauge.session import workspace
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # odd
 _PAIRS = 1 << 15  # distances computed at a time
@@ -167,8 +171,9 @@ def nearest(
     rows, if there are fewer).
 
     ``width`` is the bucket width as a share of the median distance between rows of
-    the sample; ``query_block`` bounds what is sent to every task: at most that many
-    vectors with ``tables * probes`` bucket keys of twelve bytes each.
+    the sample; ``query_block`` bounds what is sent to every task: about that many
+    vectors, for each of which a task makes ``tables * probes`` bucket keys of twelve
+    bytes.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_column, vector_column)
@@ -189,7 +194,6 @@ def nearest(
     found = _search(rows, asked, hashing, probes, k, query_block)
     if found is None:
         return _ranked(spark.createDataFrame([], schema), k)
-    found = staged(_top(found, k), "neighbours-found")
     # Each query can find all rows but those of its own id.
     there = rows.count()
     own = rows.filter(query_filter).groupBy("id").agg(F.count(F.lit(1)).alias("own"))
@@ -202,22 +206,35 @@ def nearest(
     missed = asked.join(lacking, "id", "left_semi")
     whole = _search(rows, missed, None, probes, k, query_block)
     if whole is not None:
-        found = found.join(lacking, F.col("query") == F.col("id"), "left_anti").unionAll(
-            _top(whole, k)
-        )
+        lacking = lacking.withColumnRenamed("id", "query")
+        found = found.join(lacking, "query", "left_anti").unionAll(whole)
     return _ranked(found, k)
 
 
+class _Asked:
+    """A block of queries. Their bucket keys are made where they are first needed, once
+    for all tasks that one Python worker runs on the block."""
+
+    def __init__(self, ids: np.ndarray, points: np.ndarray, hashing: Tables | None, probes: int):
+        self.ids, self.points, self.hashing, self.probes = ids, points, hashing, probes
+
+    @functools.cached_property
+    def keys(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.hashing.probes(self.points, self.probes)
+
+
 def _search(
     rows: DataFrame, asked: DataFrame, hashing: Tables | None, probes: int, k: int, block: int
 ) -> DataFrame | None:
-    """Partial results of all tasks, query block by query block; without hashing, of
-    all rows. None if nothing is asked."""
+    """The ``k`` best of each query, searched and stored block by block; without
+    hashing, of all rows. None if nothing is asked."""
     spark = rows.sparkSession
+    asked = staged(asked, "neighbours-asked")
     n = asked.count()
     blocks = -(-n // block)
     schema = "query long, id long, distance double"
-    found = None
+    path = workspace(spark, "neighbours-found")
+    parts = []
     for number in range(blocks):
         of_block = F.pmod(F.xxhash64("id"), F.lit(blocks)) == number
         held = asked.filter(of_block).collect()  # about query_block rows
@@ -225,26 +242,27 @@ def _search(
             continue
         ids = np.array([r.id for r in held], np.int64)
         points = np.array([r.vector for r in held])
-        keys = hashing.probes(points, probes) if hashing else None
-        sent = spark.sparkContext.broadcast((ids, points, hashing, keys))
-        part = rows.mapInArrow(_searcher(sent, k), schema)
-        found = part if found is None else found.unionAll(part)
-    return found
+        sent = spark.sparkContext.broadcast(_Asked(ids, points, hashing, probes))
+        parts.append(f"{path}/{number}")
+        _top(rows.mapInArrow(_searcher(sent, k), schema), k).write.parquet(parts[-1])
+        sent.destroy()
+    return spark.read.schema(schema).parquet(*parts) if parts else None
 
 
 def _searcher(sent, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, points, hashing, keys = sent.value
+        asked = sent.value
+        ids, points = asked.ids, asked.points
         best = Best(len(ids), k)
         for batch in batches:
             for at in range(0, batch.num_rows, _ROWS):
                 some = batch.slice(at, _ROWS)
                 own = some.column("id").to_numpy()
                 vectors = some.column("vector").flatten().to_numpy().reshape(len(own), -1)
-                if hashing is None:
+                if asked.hashing is None:
                     wanted = np.ones((len(own), len(ids)), bool)
                 else:
-                    wanted = _candidates(hashing, *keys, vectors, len(ids))
+                    wanted = _candidates(asked.hashing, *asked.keys, vectors, len(ids))
                 wanted &= own[:, None] != ids[None, :]
                 row, query = np.nonzero(wanted)
                 for i in range(0, len(row), _PAIRS):
