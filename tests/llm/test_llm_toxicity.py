@@ -111,3 +111,25 @@ def test_registered_labels_held_out(spark):
     right = np.mean([(r.p_toxic > 0.5) == (r.toxic == 1) for r in found])
     clean = [r.p_toxic > 0.5 for r in found if not r.toxic]
     assert right > 0.93 and sum(clean) <= 0.01 * len(clean)
+
+
+def held_out(spark, d, fold):
+    """Whether toxic and clean texts of every fourth label were taken as toxic."""
+    documents = spark.read.parquet(f"{d}/documents.parquet")
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    fitted = labels.filter(F.pmod(F.xxhash64("doc_id"), F.lit(4)) != fold)
+    model = tx.train(documents, fitted, "toxic", split_yes=True)
+    rest = labels.join(fitted.select("doc_id"), "doc_id", "left_anti")
+    found = tx.score(documents, model).join(rest, "doc_id").collect()
+    return [[r.p_toxic > 0.5 for r in found if r.toxic == toxic] for toxic in (1, 0)]
+
+
+def test_toxic_texts_held_out_are_found(spark):
+    toxic, clean = held_out(spark, "/root/testdata/sf0.1", 0)
+    assert sum(toxic) >= 0.85 * len(toxic) and sum(clean) <= 0.01 * len(clean)
+
+
+def test_toxic_texts_held_out_of_few_labels_are_found(spark):
+    folds = [held_out(spark, "/root/testdata/sf0.01", fold) for fold in range(4)]
+    toxic, clean = (sum(parts, []) for parts in zip(*folds, strict=True))
+    assert sum(toxic) >= 0.7 * len(toxic) and sum(clean) <= 0.02 * len(clean)
