@@ -72,3 +72,18 @@ def test_the_driver_holds_one_block_of_vectors_at_a_time(spark, monkeypatch):
     assert sorted(found) == sorted(whole) and len(whole) == 300
     # 60 queries in 8 blocks; bucket keys alone would take 73 KB a query.
     assert len(sizes) >= 8 and max(sizes) < 64_000 and not live
+
+
+def test_each_size_is_searched_and_repeated_ids_are_rows_of_their_own(spark):
+    rows = [
+        *((i, [float(i), 1.0]) for i in range(1, 30)), (100, [3.2, 1.0]), (200, [1.0, 2.0, 3.0]),
+        (201, [1.0, 2.0, 4.0]), (202, [1.0, 2.0, 9.0]), (300, [5.0, 1.0]), (300, [5.1, 1.0]),
+        (400, [1.0] * 5),
+    ]
+    got = nb.nearest(spark.createDataFrame(rows, VECTORS), "id % 100 = 0", k=3).collect()
+    assert sorted((r.query_id, r.rank, r.neighbour_id, round(r.distance, 6)) for r in got) == [
+        (100, 1, 3, 0.2), (100, 2, 4, 0.8), (100, 3, 2, 1.2),
+        (200, 1, 201, 1.0), (200, 2, 202, 6.0),
+        (300, 1, 5, 0.0), (300, 1, 5, 0.1), (300, 2, 300, 0.1), (300, 2, 300, 0.1),
+        (300, 3, 4, 1.0), (300, 3, 6, 0.9),  # 4 and 6 are as far from 5
+    ]

@@ -15,10 +15,10 @@ these alone. What a block finds is stored before the next one is sent, so the dr
 the tasks hold one block of vectors at a time, however many queries there are. Queries
 that find fewer rows than there are to find are searched over all rows.
 
-Vectors that are NULL, zero, or hold NULL or non-finite components take no part, nor
-do those of another size than most of the sample. Rows with a query's id are not its
-neighbours; rows with NULL as id take no part. Repeated rows count each by itself; an id
-that is asked with several vectors is asked with the smallest. Equal distances go to the
+Vectors that are NULL, zero, or hold NULL or non-finite components take no part; rows
+with NULL as id neither. Vectors of each size are searched by themselves. Only the
+query's own row is not its neighbour: repeated rows and ids count each by itself, and an
+id that stands in several rows is asked once for each of them. Equal distances go to the
 smaller id.
 """
 
@@ -168,7 +168,7 @@ def nearest(
 ) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``neighbour_id`` and ``distance`` of the ``k``
     nearest rows found for each usable row whose ``id`` meets ``query_filter`` (all
-    rows, if there are fewer).
+    rows of its size, if there are fewer).
 
     ``width`` is the bucket width as a share of the median distance between rows of
     the sample; ``query_block`` bounds what is sent to every task: about that many
@@ -176,47 +176,59 @@ def nearest(
     bytes.
     """
     spark = vectors.sparkSession
-    rows = usable(vectors, id_column, vector_column)
-    drawn = rows.orderBy(F.xxhash64("id"), "id").limit(sample).collect()  # bounded
-    schema = "query long, id long, distance double"
-    if not drawn:
-        return _ranked(spark.createDataFrame([], schema), k)
-    sizes = [len(r.vector) for r in drawn]
-    size = max(sorted(set(sizes)), key=sizes.count)
-    rows = rows.filter(F.size("vector") == size)
-    points = np.array([r.vector for r in drawn if len(r.vector) == size])
-    apart = np.concatenate([distances(points, p) for p in points[:256]])
-    apart = apart[apart > 0]
-    hashing = Tables(
-        size, width * (float(np.median(apart)) if apart.size else 1.0), tables, hashes, seed
+    # Stored, so that a row keeps its number.
+    rows = staged(
+        usable(vectors, id_column, vector_column).withColumn(
+            "row", F.monotonically_increasing_id()
+        ),
+        "neighbours-rows",
     )
-    asked = rows.filter(query_filter).groupBy("id").agg(F.min("vector").alias("vector"))
-    found = _search(rows, asked, hashing, probes, k, query_block)
+    counts = rows.groupBy(F.size("vector").alias("size")).count().collect()  # a row a size
+    found = spark.createDataFrame([], "query long, query_id long, id long, distance double")
+    for size, there in sorted(counts):
+        of_size = rows.filter(F.size("vector") == size)
+        drawn = of_size.orderBy(F.xxhash64("id"), "id", "row").limit(sample).collect()  # bounded
+        points = np.array([r.vector for r in drawn])
+        apart = np.concatenate([distances(points, p) for p in points[:256]])
+        apart = apart[apart > 0]
+        hashing = Tables(
+            size, width * (float(np.median(apart)) if apart.size else 1.0), tables, hashes, seed
+        )
+        asked = of_size.filter(query_filter)
+        part = _nearest_of(of_size, asked, there, hashing, probes, k, query_block)
+        if part is not None:
+            names = asked.select(F.col("row").alias("query"), F.col("id").alias("query_id"))
+            found = found.unionByName(part.join(names, "query"))
+    return _ranked(found, k)
+
+
+def _nearest_of(
+    rows: DataFrame, asked: DataFrame, there: int, hashing: Tables, probes: int, k: int, block: int
+) -> DataFrame | None:
+    """The ``k`` best rows of each query among ``there`` rows of one size."""
+    found = _search(rows, asked, hashing, probes, k, block)
     if found is None:
-        return _ranked(spark.createDataFrame([], schema), k)
-    # Each query can find all rows but those of its own id.
-    there = rows.count()
-    own = rows.filter(query_filter).groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+        return None
     counts = found.groupBy("query").agg(F.count(F.lit(1)).alias("n"))
-    lacking = (
-        own.join(counts, F.col("id") == F.col("query"), "left")
-        .filter(F.coalesce("n", F.lit(0)) < F.least(F.lit(k), F.lit(there) - F.col("own")))
-        .select("id")
+    lacking = (  # each query can find all rows but its own
+        asked.join(counts, F.col("row") == F.col("query"), "left")
+        .filter(F.coalesce("n", F.lit(0)) < min(k, there - 1))
+        .select("row")
     )
-    missed = asked.join(lacking, "id", "left_semi")
-    whole = _search(rows, missed, None, probes, k, query_block)
+    missed = asked.join(lacking, "row", "left_semi")
+    whole = _search(rows, missed, None, probes, k, block)
     if whole is not None:
-        lacking = lacking.withColumnRenamed("id", "query")
+        lacking = lacking.withColumnRenamed("row", "query")
         found = found.join(lacking, "query", "left_anti").unionAll(whole)
-    return _ranked(found, k)
+    return found
 
 
 class _Asked:
     """A block of queries. Their bucket keys are made where they are first needed, once
     for all tasks that one Python worker runs on the block."""
 
-    def __init__(self, ids: np.ndarray, points: np.ndarray, hashing: Tables | None, probes: int):
-        self.ids, self.points, self.hashing, self.probes = ids, points, hashing, probes
+    def __init__(self, rows: np.ndarray, points: np.ndarray, hashing: Tables | None, probes: int):
+        self.rows, self.points, self.hashing, self.probes = rows, points, hashing, probes
 
     @functools.cached_property
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
@@ -236,13 +248,13 @@ def _search(
     path = workspace(spark, "neighbours-found")
     parts = []
     for number in range(blocks):
-        of_block = F.pmod(F.xxhash64("id"), F.lit(blocks)) == number
+        of_block = F.pmod(F.xxhash64("row"), F.lit(blocks)) == number
         held = asked.filter(of_block).collect()  # about query_block rows
         if not held:
             continue
-        ids = np.array([r.id for r in held], np.int64)
+        numbers = np.array([r.row for r in held], np.int64)
         points = np.array([r.vector for r in held])
-        sent = spark.sparkContext.broadcast(_Asked(ids, points, hashing, probes))
+        sent = spark.sparkContext.broadcast(_Asked(numbers, points, hashing, probes))
         parts.append(f"{path}/{number}")
         _top(rows.mapInArrow(_searcher(sent, k), schema), k).write.parquet(parts[-1])
         sent.destroy()
@@ -252,25 +264,25 @@ def _search(
 def _searcher(sent, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = sent.value
-        ids, points = asked.ids, asked.points
-        best = Best(len(ids), k)
+        queries, points = asked.rows, asked.points
+        best = Best(len(queries), k)
         for batch in batches:
             for at in range(0, batch.num_rows, _ROWS):
                 some = batch.slice(at, _ROWS)
-                own = some.column("id").to_numpy()
+                own, number = some.column("id").to_numpy(), some.column("row").to_numpy()
                 vectors = some.column("vector").flatten().to_numpy().reshape(len(own), -1)
                 if asked.hashing is None:
-                    wanted = np.ones((len(own), len(ids)), bool)
+                    wanted = np.ones((len(own), len(queries)), bool)
                 else:
-                    wanted = _candidates(asked.hashing, *asked.keys, vectors, len(ids))
-                wanted &= own[:, None] != ids[None, :]
+                    wanted = _candidates(asked.hashing, *asked.keys, vectors, len(queries))
+                wanted &= number[:, None] != queries[None, :]
                 row, query = np.nonzero(wanted)
                 for i in range(0, len(row), _PAIRS):
                     r, q = row[i : i + _PAIRS], query[i : i + _PAIRS]
                     best.offer(q, own[r], distances(vectors[r], points[q]))
         query, row, distance = best.settle()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[query]), pa.array(row), pa.array(distance)],
+            [pa.array(queries[query]), pa.array(row), pa.array(distance)],
             names=["query", "id", "distance"],
         )
 
@@ -286,7 +298,7 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     nearest_first = Window.partitionBy("query").orderBy("distance", "id")
     return found.select(
-        F.col("query").alias("query_id"),
+        "query_id",
         F.row_number().over(nearest_first).alias("rank"),
         F.col("id").alias("neighbour_id"),
         "distance",
