@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
 import public_tokenizers
@@ -14,15 +15,18 @@ from wellgauge.llm import (
     bpe,
     chat,
     decontaminate,
+    html_text,
     neighbours,
+    periodic,
     secrets,
     sharding,
     simhash,
+    spelling,
     token_shards,
     toxicity,
     warc,
 )
-from wellgauge.llm.common import staged
+from wellgauge.llm.common import staged, text_slices, texts_of
 from wellgauge.session import workspace
 
 SEED = 20_240_501
@@ -315,6 +319,92 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- spelling variants ----------------------------------------------------------
+
+
+def _misspelt(word: Column) -> Column:
+    """The contract's words: some lose a letter, by a checksum of document and word."""
+    doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    h = F.crc32(F.concat(doc, F.lit(":"), word).cast("binary"))
+    at = (h % F.length(word)).cast("int")
+    shorter = F.concat(F.left(word, at), F.substr(word, at + 2))
+    return F.when(h % 199 == 0, shorter).otherwise(word)
+
+
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent longer words of all documents with their near words, forms and roots."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = spelling.word_counts(docs, changed=_misspelt)
+    words = staged(counted.filter((F.length("word") >= 6) & (F.col("n") >= 5)), "spellings")
+    return spelling.variants(words, ratio=5)
+
+
+# --- page texts -----------------------------------------------------------------
+
+
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(_table(spark, sf_dir, "pages"), ("page_id", "url"))
+
+
+# --- periodic runs --------------------------------------------------------------
+
+
+def _repeating(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The contract's texts: every tenth, by a checksum of its id, repeats some of its
+    words to its end."""
+    for batch in text_slices(batches):
+        ids = batch.column("doc_id").to_pylist()
+        texts = texts_of(batch)
+        for row, doc_id in enumerate(ids):
+            h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+            words = texts[row].split() if h % 10 == 0 else []
+            if words:
+                n, g = len(words), h // 10
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                texts[row] = b" ".join(words[:a] + [words[a + i % p] for i in range(n - a)])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(texts, pa.binary())], names=["doc_id", "text"]
+        )
+
+
+def _found_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return periodic.run_batches(_repeating(batches), "doc_id", "text")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in every document, and what is left without their repetitions."""
+    found = (
+        _table(spark, sf_dir, "documents")
+        .select("doc_id", "text")
+        .mapInArrow(
+            _found_runs,
+            "doc_id long, n_words long, "
+            "runs array<struct<start: long, length: long, period: long>>, collapsed string",
+        )
+    )
+    greatest = F.array_min(
+        F.transform(
+            "runs",
+            lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")),
+        )
+    )
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", *(r[k].cast("string") for k in ("start", "length", "period"))), F.lit("\n"))
+    )
+    return found.withColumn("top", greatest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        (-F.col("top.less")).alias("length"),
+        "top.period",
+        F.expr("-1000 * top.less div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 # --- registry -----------------------------------------------------------------
 
 
@@ -331,6 +421,9 @@ def queries() -> dict[str, Query]:
         "op8_neighbours": op8_neighbours,
         "op9_secrets": op9_secrets,
         "op10_warc": op10_warc,
+        "op11_spelling": op11_spelling,
+        "op12_page_text": op12_page_text,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
@@ -363,4 +456,14 @@ def oracle_sql() -> dict[str, str]:
                              min(page_id) OVER (PARTITION BY payload_digest) END AS first
                   FROM (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
                                sha256(coalesce(html, '')) AS payload_digest FROM pages))""",
+        # Articles are marked in the given pages, and hold these references only.
+        "op12_page_text": r"""
+            SELECT page_id, url, text, length(text) AS n_chars
+            FROM (SELECT page_id, url, trim(regexp_replace(
+                      regexp_replace(replace(replace(replace(replace(
+                          regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1),
+                                         '<[^>]*>', ' ', 'g'),
+                          '&quot;', '"'), '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'),
+                          '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text
+                  FROM pages)""",
     }
