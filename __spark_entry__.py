@@ -43,6 +43,7 @@ from wellgauge.plans import (  # noqa: E402
 from wellgauge.schemas import HOURLY  # noqa: E402
 from wellgauge.session import job_session, workspace  # noqa: E402
 from wellgauge.sinks import append_table, overwrite_table, write_hourly  # noqa: E402
+from wellgauge.sinks.folders import delete, touch  # noqa: E402
 from wellgauge.sources import (  # noqa: E402
     of_metric,
     read_backfill,
@@ -354,16 +355,20 @@ def ingest_interval_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_readback_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reports of two landings, and of a run that brings nothing, summed up."""
+    """Reports of two landings, and of a run that brings nothing, summed up. In the first
+    the second of two reports cannot be written at first, so its batch is repeated."""
     config, log = _config(spark, "report"), workspace(spark, "log")
     reports = workspace(spark, "reports")
     config = replace(config, report=ReportSink("parquet", {"path": reports}))
     source = MessageSource("parquet", {"path": log})
-    for part in [*_arrivals(spark, sf_dir), None]:
+    parts = [*_arrivals(spark, sf_dir), None]
+    for part in parts:
         if part is not None:
             append_table(part, log)
         land(spark, config, stream_messages(spark, source))
         enrich(spark, config)
+        if part is parts[0]:
+            _report_to_a_blocked_sink(spark, config, f"{reports}/{REJECT_REPORT}")
         report(spark, config)
     counts = spark.read.parquet(f"{reports}/{READ_REPORT}").unionByName(
         spark.read.parquet(f"{reports}/{WRITE_REPORT}")
@@ -378,6 +383,17 @@ def report_readback_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_stage.unionByName(by_name)
 
 
+def _report_to_a_blocked_sink(spark: SparkSession, config: JobConfig, place: str) -> None:
+    """A file stands where one of the reports should go."""
+    touch(spark, place)
+    try:
+        report(spark, config)
+    except Exception:  # whatever the file system says to that
+        delete(spark, [place])
+    else:
+        raise RuntimeError("a report was written over a file")
+
+
 def stream_curated_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _config(spark, "stream_curated")
     land(spark, config, _message_stream(spark, sf_dir))

@@ -128,7 +128,9 @@ class JdbcTarget:
 @dataclass(frozen=True)
 class ReportSink:
     """Any Spark format that takes the count reports, such as a search index. Each
-    landing adds its rows, unless the mode is another."""
+    landing adds its rows, unless the mode is another. Formats of files get a folder for
+    each batch, which a repeated report replaces; other formats get ``report_id``, the
+    same for the same row, to tell connectors that can replace what to replace."""
 
     format: str
     options: Mapping[str, str] = field(default_factory=dict)
@@ -166,8 +168,13 @@ class JobConfig:
     def changes_path(self) -> str:
         return f"{self.layout.partials}/changes-{self._metrics_key()}"
 
-    def report_checkpoint(self, stage: str) -> str:
-        return f"{self.layout.checkpoints}/{stage}-report"
+    @property
+    def counts_path(self) -> str:
+        return f"{self.layout.partials}/counts"
+
+    @property
+    def reported_path(self) -> str:
+        return f"{self.layout.partials}/reported"
 
     @property
     def landing_checkpoint(self) -> str:

@@ -6,7 +6,7 @@ hold. All work on batch and on streaming DataFrames.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellgauge.functions import calendar_parts, event_time, finite, text
@@ -34,13 +34,23 @@ def payload_value(raw: DataFrame) -> DataFrame:
     The payload type is a contract, not inferred, so one odd reading cannot
     change the type of all others: what is no finite number becomes NULL.
     """
+    # In two steps, so that the payload is parsed once.
     return (
-        raw.withColumn("value", F.from_json("payload", PAYLOAD)["value"])
+        raw.withColumn("value", _parsed(F.col("payload")))
         .withColumn("value", finite(F.col("value")))
         .drop("payload")
     )
 
 
+def number_of(payload: Column) -> Column:
+    """The finite number that a payload carries, NULL if there is none."""
+    return F.transform(F.array(_parsed(payload)), finite)[0]
+
+
+def _parsed(payload: Column) -> Column:
+    return F.from_json(payload, PAYLOAD)["value"]
+
+
 def event_time_parts(raw: DataFrame) -> DataFrame:
     """Add year, month, day and hour of the event time."""
     return (

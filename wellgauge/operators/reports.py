@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellgauge.operators.decode import payload_value
+from wellgauge.operators.decode import number_of
 
 
 def partition_counts(table: DataFrame, stage: str) -> DataFrame:
@@ -25,9 +25,12 @@ def reject_counts(raw: DataFrame) -> DataFrame:
 
 def rejections(raw: DataFrame) -> DataFrame:
     """Name of each message, and whether its payload gives no number."""
-    kept = raw.withColumn("raw_payload", F.col("payload"))
-    rejected = F.col("raw_payload").isNotNull() & F.col("value").isNull()
-    return payload_value(kept).select("name", rejected.alias("is_rejected"))
+    return raw.select("name", payload_rejected(F.col("payload")).alias("is_rejected"))
+
+
+def payload_rejected(payload: Column) -> Column:
+    """Whether there is a payload and it gives no number."""
+    return payload.isNotNull() & number_of(payload).isNull()
 
 
 def count_rejected(marked: DataFrame) -> DataFrame:

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from wellgauge.config import JobConfig
+from wellgauge.operators.decode import decode_envelope
 from wellgauge.session import job_session
 from wellgauge.sinks.database import write_metrics
-from wellgauge.sinks.folders import delete, exists
+from wellgauge.sinks.folders import data_files, delete
 from wellgauge.sources.messages import stream_messages
 from wellgauge.sources.tables import read_changes, read_hourly
-from wellgauge.streaming.control import await_all
+from wellgauge.streaming.control import await_all, start_all
+from wellgauge.streaming.counts import READ, WRITE, counting, observe_counts
 from wellgauge.streaming.curated import start_curated
 from wellgauge.streaming.hourly import start_hourly, write_pending_hours
 from wellgauge.streaming.landing import start_landing
-from wellgauge.streaming.reporting import start_read_report, start_write_report
+from wellgauge.streaming.reporting import report_stage
 
 
 def land(spark: SparkSession, config: JobConfig, messages: DataFrame | None = None) -> None:
@@ -24,7 +29,27 @@ def land(spark: SparkSession, config: JobConfig, messages: DataFrame | None = No
         if config.source is None:
             raise ValueError("landing needs a message source")
         messages = stream_messages(spark, config.source)
-    await_all(start_landing(messages, config.layout.raw, config.landing_checkpoint))
+    _run(spark, config, READ, lambda: start_landing(
+        messages, config.layout.raw, config.landing_checkpoint, decode=_decoding(config)
+    ))
+
+
+def _decoding(config: JobConfig) -> Callable[[DataFrame], DataFrame]:
+    """Decoding, with counts taken on the way if they are to be reported."""
+    if config.report is None:
+        return decode_envelope
+    return lambda messages: observe_counts(decode_envelope(messages), READ, config.metrics)
+
+
+def _run(
+    spark: SparkSession, config: JobConfig, stage: str, *starts: Callable[[], StreamingQuery]
+) -> list[StreamingQuery]:
+    """Start the queries, the first of them that of a stage, and wait for their end."""
+    if config.report is not None:
+        return counting(spark, config, stage, *starts)
+    queries = start_all(*starts)
+    await_all(*queries)
+    return queries
 
 
 def enrich(spark: SparkSession, config: JobConfig) -> None:
@@ -34,8 +59,13 @@ def enrich(spark: SparkSession, config: JobConfig) -> None:
     once, however many batches of the run touched it.
     """
     job_session(spark)
-    hourly = start_hourly(spark, config, hours_each_batch=False)
-    await_all(start_curated(spark, config), hourly)
+    _, hourly = _run(
+        spark,
+        config,
+        WRITE,
+        lambda: start_curated(spark, config),
+        lambda: start_hourly(spark, config, hours_each_batch=False),
+    )
     write_pending_hours(spark, config, hourly)
 
 
@@ -43,10 +73,13 @@ def publish(spark: SparkSession, config: JobConfig) -> None:
     """Send the metrics whose averages changed since the last call to the database,
     if there is one. A call that fails leaves them to the next."""
     job_session(spark)
-    if config.jdbc is None or not exists(spark, config.changes_path):
+    if config.jdbc is None:
+        return
+    # What is noted from now on is left to the next call.
+    noted = data_files(spark, config.changes_path)
+    if not noted:
         return
-    changes = read_changes(spark, config.changes_path)
-    noted = changes.inputFiles()
+    changes = read_changes(spark, noted)
     names = {r.name for r in changes.distinct().collect()}  # the metrics, at most
     changed = [metric for metric in config.metrics if metric in names]
     write_metrics(read_hourly(spark, config.layout.hourly), config.jdbc, changed)
@@ -62,10 +95,11 @@ def publish_all(spark: SparkSession, config: JobConfig) -> None:
 
 def report(spark: SparkSession, config: JobConfig) -> None:
     """Write row counts of both stages and payload rejects of what is new, if asked
-    for."""
+    for. They were counted while the stages wrote; neither table is read."""
     job_session(spark)
     if config.report is not None:
-        await_all(start_read_report(spark, config), start_write_report(spark, config))
+        for stage in (READ, WRITE):
+            report_stage(spark, config, stage)
 
 
 def run_job(spark: SparkSession, config: JobConfig, messages: DataFrame | None = None) -> None:

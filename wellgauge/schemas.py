@@ -68,6 +68,22 @@ TOUCHED = T.StructType(
 # Metrics whose averages changed and that a database has yet to take over.
 CHANGES = T.StructType([T.StructField("name", T.StringType())])
 
+# What a batch of a stage wrote, counted while it wrote: a row per physical partition
+# (``name`` is NULL and ``partition_id`` is not) and one per name of a message
+# (``partition_id`` is NULL).
+COUNTS = T.StructType(
+    [
+        T.StructField("partition_id", T.IntegerType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("messages", T.LongType()),
+        T.StructField("rejected", T.LongType()),
+        T.StructField("counted_at", T.StringType()),
+        T.StructField("stage", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+COUNTS_PARTITIONS = ["stage", "batch_id"]
+
 HOURLY = T.StructType(
     [
         T.StructField("well_id", T.StringType()),

@@ -27,8 +27,48 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [name for name in found if "=" in name and not name.startswith((".", "_"))]
 
 
-def delete(spark: SparkSession, paths: Iterable[str]) -> None:
-    """Remove files or folders; one that is gone already is no error."""
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder; none if it is missing."""
+    files, folder = _open(spark, path)
+    if not files.exists(folder):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(folder) if s.isFile()]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    files, file = _open(spark, path)
+    stream = files.open(file)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the files of a table without partitions, as ``delete`` takes them."""
+    hidden = (".", "_")
+    return [f"{path}/{n}" for n in file_names(spark, path) if not n.startswith(hidden)]
+
+
+def unescaped(spark: SparkSession, uri: str) -> str:
+    """A path as it is written, from the escaped form in which Spark names files."""
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
+
+
+def delete(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Remove files or folders, given as they are written and not escaped. One that is
+    gone already is no error; how many were there is returned."""
+    removed = 0
     for path in paths:
         files, folder = _open(spark, path)
-        files.delete(folder, True)
+        removed += bool(files.delete(folder, True))
+    return removed
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file; one that is there already stays."""
+    files, file = _open(spark, path)
+    files.mkdirs(file.getParent())
+    files.createNewFile(file)

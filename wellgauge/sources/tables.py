@@ -93,9 +93,9 @@ def read_touched(spark: SparkSession, path: str, folders: Iterable[str]) -> Data
     return spark.read.schema(TOUCHED).option("basePath", path).parquet(*folders)
 
 
-def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    """Metrics that changed since changes were last taken over."""
-    return spark.read.schema(CHANGES).parquet(path)
+def read_changes(spark: SparkSession, files: Iterable[str]) -> DataFrame:
+    """Metrics that some files note as changed."""
+    return spark.read.schema(CHANGES).parquet(*files)
 
 
 def ensure_hourly(spark: SparkSession, path: str) -> None:

@@ -1,4 +1,5 @@
-from wellgauge.streaming.control import AVAILABLE_NOW, await_all, every, run_for
+from wellgauge.streaming.control import AVAILABLE_NOW, await_all, every, run_for, start_all
+from wellgauge.streaming.counts import CountBook, count_uncounted, observe_counts
 from wellgauge.streaming.curated import start_curated
 from wellgauge.streaming.hourly import refresh_hours, start_hourly, write_pending_hours
 from wellgauge.streaming.landing import start_console, start_landing
@@ -6,24 +7,26 @@ from wellgauge.streaming.reporting import (
     READ_REPORT,
     REJECT_REPORT,
     WRITE_REPORT,
-    start_read_report,
-    start_write_report,
+    report_stage,
 )
 
 __all__ = [
     "AVAILABLE_NOW",
+    "CountBook",
     "READ_REPORT",
     "REJECT_REPORT",
     "WRITE_REPORT",
     "await_all",
+    "count_uncounted",
     "every",
+    "observe_counts",
     "refresh_hours",
+    "report_stage",
     "run_for",
+    "start_all",
     "start_console",
     "start_curated",
     "start_hourly",
     "start_landing",
-    "start_read_report",
-    "start_write_report",
     "write_pending_hours",
 ]

@@ -1,23 +1,27 @@
-"""Count reports, one set of rows for each landing.
+"""Count reports: each batch of a stage once.
 
-Reports follow the raw and the curated table by checkpoints of their own, so a run reads
-what is new to it and nothing else. A batch that is repeated after a failure may hand its
-rows to the sink again; ``batch_id`` tells them apart.
+Reports are made from the counts that stages store while they write (``counts``), so they
+read neither table. All reports of a stage's batches are written before the batches count
+as reported; when one of the writes fails, the next call writes all of them again, each
+batch in place of what it had.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from wellgauge.config import JobConfig
-from wellgauge.operators.reports import count_rejected, partition_counts, rejections
+from wellgauge.schemas import COUNTS
+from wellgauge.sinks.folders import delete, file_names, touch
 from wellgauge.sinks.report import write_report
-from wellgauge.sources.tables import stream_curated, stream_raw
-from wellgauge.streaming.control import AVAILABLE_NOW
+from wellgauge.streaming.counts import (
+    READ,
+    WRITE,
+    count_uncounted,
+    reported_upto,
+    stored_batches,
+)
 
 # The names that the reports have in the sink.
 READ_REPORT = "spark-read"
@@ -25,47 +29,56 @@ WRITE_REPORT = "spark-write"
 REJECT_REPORT = "spark-rejects"
 
 
-def start_read_report(
-    spark: SparkSession, config: JobConfig, trigger: Mapping = AVAILABLE_NOW
-) -> StreamingQuery:
-    """Rows per partition of what landed, and payload rejects per name."""
-
-    def reports(batch: DataFrame) -> dict[str, DataFrame]:
-        return {READ_REPORT: partition_counts(batch, "read"), REJECT_REPORT: count_rejected(batch)}
-
-    # Decoded before the batch, so that only two columns are read.
-    landed = rejections(stream_raw(spark, config.layout.raw, config.raw_options))
-    return _start(landed, config, "read", reports, trigger)
-
-
-def start_write_report(
-    spark: SparkSession, config: JobConfig, trigger: Mapping = AVAILABLE_NOW
-) -> StreamingQuery:
-    """Rows per partition of what the curated table got."""
-
-    def reports(batch: DataFrame) -> dict[str, DataFrame]:
-        return {WRITE_REPORT: partition_counts(batch, "write")}
+def report_stage(spark: SparkSession, config: JobConfig, stage: str) -> None:
+    """Send the counts of the batches that were not reported yet to the report sink."""
+    count_uncounted(spark, config, stage)
+    waiting = stored_batches(spark, config, stage)
+    done = reported_upto(spark, config, stage)
+    new = [b for b in waiting if b > done]
+    if new:
+        counts = read_counts(spark, config, stage, new)
+        for name, rows in _reports_of(counts, stage).items():
+            write_report(rows, config.report, name)
+        touch(spark, f"{config.reported_path}/{stage}/{new[-1]}")
+    # From here on the batches are done, whatever happens to what is left of them.
+    folder = f"{config.reported_path}/{stage}"
+    last = max([done, *new])
+    numbers = [n for n in file_names(spark, folder) if n.isdigit() and int(n) < last]
+    delete(spark, [f"{folder}/{n}" for n in numbers])
+    delete(spark, [_folder(config, stage, b) for b in waiting])
+
+
+def read_counts(spark: SparkSession, config: JobConfig, stage: str, batches: list[int]) -> DataFrame:
+    """The stored counts of some batches, opened by path."""
+    folders = [_folder(config, stage, b) for b in batches]
+    return spark.read.schema(COUNTS).option("basePath", config.counts_path).parquet(*folders)
+
+
+def _folder(config: JobConfig, stage: str, batch_id: int) -> str:
+    return f"{config.counts_path}/stage={stage}/batch_id={batch_id}"
+
+
+def _reports_of(counts: DataFrame, stage: str) -> dict[str, DataFrame]:
+    places = counts.filter("partition_id is not null").select(
+        "partition_id",
+        F.col("messages").alias("count"),
+        F.col("counted_at").alias("@timestamp"),
+        "stage",
+        _report_id("partition_id"),
+        "batch_id",
+    )
+    if stage == WRITE:
+        return {WRITE_REPORT: places}
+    names = counts.filter("partition_id is null").select(
+        "name", "messages", "rejected", _report_id("name"), "batch_id"
+    )
+    return {READ_REPORT: places, REJECT_REPORT: names}
 
-    curated = stream_curated(spark, config.layout.curated, config.raw_options).select("name")
-    return _start(curated, config, "write", reports, trigger)
 
+def _report_id(key: str):
+    """The same for the same row of the same batch, however often it is sent."""
+    part = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.concat_ws("-", "stage", F.col("batch_id").cast("string"), part).alias("report_id")
 
-def _start(
-    table: DataFrame,
-    config: JobConfig,
-    stage: str,
-    reports: Callable[[DataFrame], dict[str, DataFrame]],
-    trigger: Mapping,
-) -> StreamingQuery:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        for name, report in reports(batch).items():
-            marked = report.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            write_report(marked, config.report, name)
 
-    return (
-        table.writeStream.queryName(f"{stage} report")
-        .foreachBatch(write)
-        .option("checkpointLocation", config.report_checkpoint(stage))
-        .trigger(**trigger)
-        .start()
-    )
+__all__ = ["READ", "READ_REPORT", "REJECT_REPORT", "WRITE", "WRITE_REPORT", "report_stage"]
