@@ -30,7 +30,9 @@ from wellgauge.operators import (  # noqa: E402
     payload_value,
     preview,
     reject_counts,
+    same_rows,
 )
+from wellgauge.operators.decode import decoded  # noqa: E402
 from wellgauge.plans import (  # noqa: E402
     backfill,
     dump_messages,
@@ -51,6 +53,7 @@ from wellgauge.sources import (  # noqa: E402
     read_hourly,
     read_messages,
     read_raw,
+    read_rejects,
     stream_messages,
 )
 from wellgauge.sources.replay import as_messages, events_as_messages  # noqa: E402
@@ -60,6 +63,7 @@ from wellgauge.streaming import (  # noqa: E402
     WRITE_REPORT,
     await_all,
     every,
+    read_gaps,
     run_for,
     start_curated,
     start_hourly,
@@ -96,6 +100,23 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_as_messages(_events(spark, sf_dir))
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and pages as messages."""
+    job_session(spark)
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    now = F.lit("2024-01-01 00:00:00")
+    return as_messages(documents, F.col("doc_id"), F.col("text"), F.col("doc_id"), now).unionAll(
+        as_messages(pages, F.col("page_id"), F.col("html"), F.col("page_id"), now)
+    )
+
+
+def _partitioned_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages in four topic partitions, each numbered without gaps."""
+    place = {"partition": (F.col("offset") % 4).cast("int"), "offset": F.expr("offset div 4")}
+    return _messages(spark, sf_dir).withColumns(place)
+
+
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The braces make the path a pattern, which a stream needs to follow a
     # table that is a single file; a folder of files is found as well.
@@ -139,14 +160,7 @@ def decode_nested_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode_junk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that are no JSON at all among messages: every one stays, those as rows of
     NULLs."""
-    job_session(spark)
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    now = F.lit("2024-01-01 00:00:00")
-    texts = as_messages(documents, F.col("doc_id"), F.col("text"), F.col("doc_id"), now).unionAll(
-        as_messages(pages, F.col("page_id"), F.col("html"), F.col("page_id"), now)
-    )
-    return decode_envelope(texts.unionByName(_messages(spark, sf_dir)))
+    return decode_envelope(_texts(spark, sf_dir).unionByName(_messages(spark, sf_dir)))
 
 
 def payload_value_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,6 +317,57 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [events_as_messages(events.filter(~second)), events_as_messages(events.filter(second))]
 
 
+def decode_rejects_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and pages among messages, landed in two runs: none decodes, and all are
+    kept byte for byte, with their place and the reason."""
+    config, log = _config(spark, "decode_rejects"), workspace(spark, "log")
+    source = MessageSource("parquet", {"path": log})
+    for part in (_messages(spark, sf_dir), _texts(spark, sf_dir)):
+        append_table(part, log)
+        land(spark, config, stream_messages(spark, source))
+    return read_rejects(spark, config.layout.rejects).select(
+        F.col("key").cast("string").alias("key"),
+        "topic",
+        "partition",
+        "offset",
+        "reason",
+        F.octet_length("value").alias("bytes"),
+        F.sha2("value", 256).alias("value_sha256"),
+    )
+
+
+def offset_gaps_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a log lacks, noted while it lands in two runs; some is gone between them."""
+    config, log = _config(spark, "offset_gaps"), workspace(spark, "log")
+    config = replace(config, check_offsets=True)
+    source = MessageSource("parquet", {"path": log})
+    number = F.col("offset")
+    kept = _partitioned_messages(spark, sf_dir).filter(
+        ~(number % 211).between(40, 45) & (number % 1000 != 7)
+    )
+    for part in (number < 100, number >= 125):
+        append_table(kept.filter(part), log)
+        land(spark, config, stream_messages(spark, source))
+    return read_gaps(spark, config)
+
+
+def landing_audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether what landed is what was sent, by name: of the landed table, and of a copy
+    that has one payload changed."""
+    config = _config(spark, "landing_audit")
+    land(spark, config, _message_stream(spark, sf_dir))
+    sent = _raw(spark, sf_dir)
+    altered = _messages(spark, sf_dir).select("offset", decoded("value").alias("v"))
+    changed = F.when(F.col("offset") == 1, F.concat("payload", F.lit(" "))).otherwise(F.col("payload"))
+    altered = altered.select("offset", "v.*").withColumn("payload", changed).drop("offset")
+    copies = {"landed": read_raw(spark, config.layout.raw), "altered": altered}
+    landed, other = (
+        same_rows(copy, sent, ["name"]).select(F.lit(name).alias("copy"), "*")
+        for name, copy in copies.items()
+    )
+    return landed.unionByName(other)
+
+
 def ingest_resume_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs on one checkpoint: a first part, the rest, nothing new."""
     config, log = _config(spark, "ingest_resume"), workspace(spark, "log")
@@ -444,6 +509,9 @@ def queries() -> dict[str, Query]:
         "ingest_stream": ingest_stream_query,
         "ingest_resume": ingest_resume_query,
         "ingest_interval": ingest_interval_query,
+        "decode_rejects": decode_rejects_query,
+        "offset_gaps": offset_gaps_query,
+        "landing_audit": landing_audit_query,
         "report_readback": report_readback_query,
         "stream_hourly_avg": stream_hourly_avg_query,
         "stream_hourly_reset": stream_hourly_reset_query,
@@ -553,6 +621,33 @@ def oracle_sql() -> dict[str, str]:
         "ingest_stream": envelope,
         "ingest_resume": envelope,
         "ingest_interval": envelope,
+        "decode_rejects": """
+            SELECT CAST(id AS VARCHAR) AS key, 'replay' AS topic, 0 AS partition,
+                   id AS "offset",
+                   CASE WHEN value IS NULL THEN 'no value'
+                        WHEN NOT regexp_matches(value, '\\S') THEN 'blank'
+                        WHEN NOT json_valid(value) THEN 'no JSON'
+                        WHEN json_type(value) = 'OBJECT' THEN 'an object without a known field'
+                        WHEN json_type(value) = 'ARRAY' THEN 'an array'
+                        ELSE 'a value without fields' END AS reason,
+                   CAST(octet_length(encode(value)) AS INTEGER) AS bytes,
+                   sha256(value) AS value_sha256
+            FROM (SELECT doc_id AS id, text AS value FROM documents
+                  UNION ALL SELECT page_id, html FROM pages)""",
+        "offset_gaps": """
+            SELECT 'replay' AS topic, CAST(p AS INTEGER) AS partition, before + 1 AS gap_start,
+                   o - 1 AS gap_end, o - before - 1 AS missing
+            FROM (SELECT p, o, lag(o) OVER (PARTITION BY p ORDER BY o) AS before
+                  FROM (SELECT event_id % 4 AS p, event_id // 4 AS o FROM events)
+                  WHERE NOT o % 211 BETWEEN 40 AND 45 AND o % 1000 <> 7
+                        AND NOT o BETWEEN 100 AND 124)
+            WHERE o > before + 1""",
+        "landing_audit": """
+            SELECT 'landed' AS copy, event_type AS name, count(*) AS copied,
+                   count(*) AS original, TRUE AS same FROM events GROUP BY event_type
+            UNION ALL
+            SELECT 'altered', event_type, count(*), count(*), NOT bool_or(event_id = 1)
+            FROM events GROUP BY event_type""",
         "report_readback": f"""
             SELECT stage, '' AS name, count(*) AS messages, CAST(0 AS BIGINT) AS rejected
             FROM events, (VALUES ('read'), ('write')) AS s(stage) GROUP BY stage

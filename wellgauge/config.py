@@ -82,9 +82,11 @@ class Layout:
     hourly: str
     partials: str
     checkpoints: str
+    # Without a path, what does not decode is not kept.
+    rejects: str = ""
 
     def __post_init__(self):
-        paths = [p.rstrip("/") for p in vars(self).values()]
+        paths = [p.rstrip("/") for p in vars(self).values() if p]
         for path in paths:
             inside = [p for p in paths if p == path or p.startswith(path + "/")]
             if len(inside) > 1:
@@ -100,6 +102,7 @@ class Layout:
             hourly=f"{root}/hourly",
             partials=f"{root}/partials",
             checkpoints=f"{root}/checkpoints",
+            rejects=f"{root}/rejects",
         )
 
 
@@ -146,6 +149,10 @@ class JobConfig:
     raw_options: Mapping[str, str] = field(default_factory=dict)
     jdbc: JdbcTarget | None = None
     report: ReportSink | None = None
+    # Keep the content of messages that do not decode. The log is read once more for it.
+    keep_rejects: bool = True
+    # Note offsets that the log no longer had; for sources that skip them silently.
+    check_offsets: bool = False
 
     def __post_init__(self):
         if not self.metrics:
@@ -176,6 +183,22 @@ class JobConfig:
     def reported_path(self) -> str:
         return f"{self.layout.partials}/reported"
 
+    @property
+    def offsets_path(self) -> str:
+        return f"{self.layout.partials}/offsets"
+
+    @property
+    def gaps_path(self) -> str:
+        return f"{self.layout.partials}/gaps"
+
+    @property
+    def rejects_checkpoint(self) -> str:
+        return f"{self.layout.checkpoints}/rejects"
+
+    @property
+    def offsets_checkpoint(self) -> str:
+        return f"{self.layout.checkpoints}/offsets"
+
     @property
     def landing_checkpoint(self) -> str:
         return f"{self.layout.checkpoints}/landing"
@@ -227,4 +250,12 @@ class JobConfig:
             raw_options=options("raw.option."),
             jdbc=jdbc,
             report=report,
+            keep_rejects=_is_on(conf.get("rejects.keep", "true")),
+            check_offsets=_is_on(conf.get("offsets.check", "false")),
         )
+
+
+def _is_on(value: str) -> bool:
+    if value.lower() not in ("true", "false"):
+        raise ValueError(f"neither true nor false: {value}")
+    return value.lower() == "true"

@@ -1,3 +1,4 @@
+from wellgauge.operators.audit import checksums, same_rows
 from wellgauge.operators.averages import (
     hour_readings,
     hourly_avg,
@@ -12,10 +13,13 @@ from wellgauge.operators.decode import (
     event_time_parts,
     payload_value,
 )
+from wellgauge.operators.offsets import offset_gaps
+from wellgauge.operators.rejects import undecoded
 from wellgauge.operators.reports import partition_counts, payload_profile, reject_counts
 
 __all__ = [
     "as_text",
+    "checksums",
     "curate",
     "decode_envelope",
     "decode_nested",
@@ -24,9 +28,12 @@ __all__ = [
     "hourly_avg",
     "hourly_partials",
     "merge_partials",
+    "offset_gaps",
     "partition_counts",
     "payload_profile",
     "payload_value",
     "preview",
     "reject_counts",
+    "same_rows",
+    "undecoded",
 ]

@@ -20,7 +20,12 @@ def as_text(messages: DataFrame) -> DataFrame:
 
 def decode_nested(messages: DataFrame) -> DataFrame:
     """Each message value as one struct column, ``value``."""
-    return messages.select(F.from_json(text("value"), ENVELOPE).alias("value"))
+    return messages.select(decoded("value").alias("value"))
+
+
+def decoded(name: str) -> Column:
+    """The envelope that a column of bytes holds."""
+    return F.from_json(text(name), ENVELOPE)
 
 
 def decode_envelope(messages: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from wellgauge.sinks.database import write_metrics
 from wellgauge.sinks.folders import data_files, delete
 from wellgauge.sources.messages import stream_messages
 from wellgauge.sources.tables import read_changes, read_hourly
+from wellgauge.streaming.audit import start_offset_audit, start_rejects
 from wellgauge.streaming.control import await_all, start_all
 from wellgauge.streaming.counts import READ, WRITE, counting, observe_counts
 from wellgauge.streaming.curated import start_curated
@@ -23,15 +24,24 @@ from wellgauge.streaming.reporting import report_stage
 
 
 def land(spark: SparkSession, config: JobConfig, messages: DataFrame | None = None) -> None:
-    """Step 1: append the messages that arrived since the last run to raw."""
+    """Step 1: append the messages that arrived since the last run to raw. Beside it,
+    keep what does not decode and note offsets that are gone, as configured."""
     job_session(spark)
     if messages is None:
         if config.source is None:
             raise ValueError("landing needs a message source")
         messages = stream_messages(spark, config.source)
-    _run(spark, config, READ, lambda: start_landing(
-        messages, config.layout.raw, config.landing_checkpoint, decode=_decoding(config)
-    ))
+    layout = config.layout
+    starts = [
+        lambda: start_landing(
+            messages, layout.raw, config.landing_checkpoint, decode=_decoding(config)
+        )
+    ]
+    if config.keep_rejects and layout.rejects:
+        starts.append(lambda: start_rejects(messages, layout.rejects, config.rejects_checkpoint))
+    if config.check_offsets:
+        starts.append(lambda: start_offset_audit(messages, config))
+    _run(spark, config, READ, *starts)
 
 
 def _decoding(config: JobConfig) -> Callable[[DataFrame], DataFrame]:

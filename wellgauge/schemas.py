@@ -26,6 +26,9 @@ ENVELOPE = T.StructType(
     ]
 )
 
+# Messages that give no envelope field, as they came, and why.
+REJECTS = T.StructType([*MESSAGE_LOG.fields, T.StructField("reason", T.StringType())])
+
 # JSON object carried by the payload text: a contract, never inferred from data.
 PAYLOAD = T.StructType([T.StructField("value", T.DoubleType())])
 

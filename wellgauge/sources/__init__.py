@@ -7,6 +7,7 @@ from wellgauge.sources.tables import (
     read_hourly,
     read_partials,
     read_raw,
+    read_rejects,
     stream_curated,
     stream_raw,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "read_messages",
     "read_partials",
     "read_raw",
+    "read_rejects",
     "stream_curated",
     "stream_messages",
     "stream_raw",

@@ -19,6 +19,7 @@ from wellgauge.schemas import (
     PARTIALS,
     RAW,
     RAW_NESTED,
+    REJECTS,
     TOUCHED,
 )
 
@@ -46,6 +47,11 @@ def stream_curated(
     return spark.readStream.schema(CURATED).options(**{**ALL_FILES, **(options or {})}).parquet(path)
 
 
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Messages that did not decode, as they came."""
+    return spark.read.schema(REJECTS).parquet(path)
+
+
 def read_backfill(spark: SparkSession, path: str) -> DataFrame:
     """The table of a batch backfill: one struct column, ``value``."""
     return spark.read.schema(RAW_NESTED).parquet(path)

@@ -1,3 +1,4 @@
+from wellgauge.streaming.audit import read_gaps, start_offset_audit, start_rejects
 from wellgauge.streaming.control import AVAILABLE_NOW, await_all, every, run_for, start_all
 from wellgauge.streaming.counts import CountBook, count_uncounted, observe_counts
 from wellgauge.streaming.curated import start_curated
@@ -20,6 +21,7 @@ __all__ = [
     "count_uncounted",
     "every",
     "observe_counts",
+    "read_gaps",
     "refresh_hours",
     "report_stage",
     "run_for",
@@ -28,5 +30,7 @@ __all__ = [
     "start_curated",
     "start_hourly",
     "start_landing",
+    "start_offset_audit",
+    "start_rejects",
     "write_pending_hours",
 ]
