@@ -27,6 +27,7 @@ from wellgauge.operators import (  # noqa: E402
     hourly_avg,
     partition_counts,
     payload_profile,
+    payload_schema,
     payload_value,
     preview,
     reject_counts,
@@ -64,10 +65,12 @@ from wellgauge.streaming import (  # noqa: E402
     await_all,
     every,
     read_gaps,
+    read_live,
     run_for,
     start_curated,
     start_hourly,
     start_landing,
+    start_live,
 )
 
 # The corpus operators are registered where they are installed.
@@ -184,6 +187,29 @@ def payload_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload_profile(_raw_both_payloads(spark, sf_dir).unionAll(third))
 
 
+def payload_schema_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads with objects in arrays, arrays in arrays, fields of one name only, and
+    fields whose values differ in type."""
+    number, view = F.col("event_id").cast("string"), F.col("event_type") == "view"
+    parts = [
+        F.lit('{"id":'),
+        F.when(view, F.concat(F.lit('"v'), number, F.lit('"'))).otherwise(number),
+        F.lit(',"seen":[{"at":"'),
+        F.col("event_type"),
+        F.lit('","n":'),
+        (F.col("event_id") % 7).cast("string"),
+        F.lit('},{"n":0.5,"more":{"x y":[]}}],"mixed":'),
+        F.when(F.col("event_id") % 2 == 0, '"t"').otherwise("[1]"),
+        F.lit(',"deep":{"er":[['),
+        F.col("user_id").cast("string"),
+        F.lit(']],"flag":true},"'),
+        F.col("event_type"),
+        F.lit('_only":null}'),
+    ]
+    nested = events_as_messages(_events(spark, sf_dir), F.concat(*parts))
+    return payload_schema(decode_envelope(nested), EVENT_METRICS)
+
+
 def reject_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_counts(_raw_both_payloads(spark, sf_dir))
 
@@ -391,6 +417,25 @@ def stream_hourly_avg_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(read_hourly(spark, config.layout.hourly))
 
 
+def stream_live_avg_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages as they stand after three arrivals and restarts, in order of time but for
+    an hour of disorder. Some messages have no usable time; they are averaged as well."""
+    config, log = _config(spark, "stream_live_avg"), workspace(spark, "log")
+    source = MessageSource("parquet", {"path": log})
+    events = _events(spark, sf_dir)
+    # Readings of a quarter of the wells arrive up to an hour early.
+    early = F.when(F.col("user_id") % 4 == 0, F.expr("ts - interval 1 hour")).otherwise(F.col("ts"))
+    first, second = (early >= F.lit(day).cast("timestamp_ntz") for day in ("2024-01-13", "2024-01-23"))
+    stamp = F.regexp_replace(F.col("value").cast("string"), '"@timestamp":"[^"]*"', '"@timestamp":"?"')
+    untimed = F.when(F.col("offset") % 50 == 0, stamp.cast("binary")).otherwise(F.col("value"))
+    for part in (~first, first & ~second, second):
+        append_table(events_as_messages(events.filter(part)).withColumn("value", untimed), log)
+        land(spark, config, stream_messages(spark, source))
+        await_all(*start_live(spark, config, delay="2 hours"))
+    average = F.round("hourly_avg_value", 6).alias("hourly_avg_value")
+    return read_live(spark, config).select(*HOURLY.names[:-1], average, "readings")
+
+
 def stream_hourly_reset_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The checkpoint of the averages is lost after the first arrival: a new one starts
     with no sums and builds the hours from raw again."""
@@ -495,6 +540,7 @@ def queries() -> dict[str, Query]:
         "payload_value": payload_value_query,
         "event_time_parts": event_time_parts_query,
         "payload_profile": payload_profile_query,
+        "payload_schema": payload_schema_query,
         "reject_counts": reject_counts_query,
         "raw_dump": raw_dump_query,
         **{f"hourly_avg_{metric}": _hourly_avg_query(metric) for metric in EVENT_METRICS},
@@ -514,6 +560,7 @@ def queries() -> dict[str, Query]:
         "landing_audit": landing_audit_query,
         "report_readback": report_readback_query,
         "stream_hourly_avg": stream_hourly_avg_query,
+        "stream_live_avg": stream_live_avg_query,
         "stream_hourly_reset": stream_hourly_reset_query,
         "stream_curated": stream_curated_query,
         "land_then_enrich": land_then_enrich_query,
@@ -595,6 +642,22 @@ def oracle_sql() -> dict[str, str]:
                          count(*) FILTER (kind = 'OBJECT') AS objects,
                          count(*) FILTER (kind = 'ARRAY') AS arrays
                   FROM ({payload_fields}) GROUP BY field)""",
+        "payload_schema": """
+            SELECT name, replace(tree.fullkey, '[0]', '[]') AS path,
+                   CASE tree.type WHEN 'VARCHAR' THEN
+                       CASE tree.value ->> '$' WHEN 'VARCHAR' THEN 'STRING'
+                            WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'JSON' THEN 'MIXED'
+                            ELSE tree.value ->> '$' END
+                   ELSE tree.type END AS kind
+            FROM (SELECT event_type AS name, json_group_structure(CAST(
+                      '{"id":' || CASE WHEN event_type = 'view' THEN '"v' || event_id || '"'
+                                       ELSE CAST(event_id AS VARCHAR) END
+                      || ',"seen":[{"at":"' || event_type || '","n":' || event_id % 7
+                      || '},{"n":0.5,"more":{"x y":[]}}],"mixed":'
+                      || CASE WHEN event_id % 2 = 0 THEN '"t"' ELSE '[1]' END
+                      || ',"deep":{"er":[[' || user_id || ']],"flag":true},"' || event_type
+                      || '_only":null}' AS JSON)) AS found
+                  FROM events GROUP BY event_type) AS types, json_tree(types.found) AS tree""",
         "reject_counts": f"""
             SELECT event_type AS name, count(*) AS messages,
                    count(*) FILTER (
@@ -656,6 +719,14 @@ def oracle_sql() -> dict[str, str]:
                    count(*) FILTER (json_extract({payload}, '$.value') IS NULL)
             FROM events GROUP BY event_type""",
         "stream_hourly_avg": hourly(),
+        "stream_live_avg": """
+            SELECT well_id, name, year, month, day, hour,
+                   round(avg(value), 6) AS hourly_avg_value, count(*) AS readings
+            FROM (SELECT CAST(user_id AS VARCHAR) AS well_id, event_type AS name, value,
+                         CAST(year(t) AS INTEGER) AS year, CAST(month(t) AS INTEGER) AS month,
+                         CAST(day(t) AS INTEGER) AS day, CAST(hour(t) AS INTEGER) AS hour
+                  FROM (SELECT *, CASE WHEN event_id % 50 <> 0 THEN ts END AS t FROM events))
+            GROUP BY ALL""",
         "stream_hourly_reset": hourly(),
         "stream_curated": f"""
             SELECT *, TRUE AS has_partition_id, TRUE AS has_load_time FROM ({envelope})""",

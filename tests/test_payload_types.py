@@ -1,0 +1,64 @@
+"""Inferred types of nested payloads."""
+
+import pytest
+
+from samples import message
+from wellgauge.operators import decode_envelope, payload_profile, payload_schema
+from wellgauge.operators.payload_types import fields_of
+
+CASES = [
+    (['{"a":1,"b":[{"c":1},{"c":2.5,"d":"x"}],"e":null,"f":[]}', '{"a":2.5,"b":[]}'],
+     {"$": "OBJECT", "$.a": "DOUBLE", "$.b": "ARRAY", "$.b[]": "OBJECT", "$.b[].c": "DOUBLE",
+      "$.b[].d": "STRING", "$.e": "NULL", "$.f": "ARRAY", "$.f[]": "NULL"}),
+    (['{"a":1}', '{"a":"x"}'], {"$": "OBJECT", "$.a": "MIXED"}),
+    (['{"a":1}', '{"a":{"b":1}}'], {"$": "OBJECT", "$.a": "MIXED"}),
+    (['{"a":[[1],[2]]}', '{"a":null}'],
+     {"$": "OBJECT", "$.a": "ARRAY", "$.a[]": "ARRAY", "$.a[][]": "BIGINT"}),
+    (['{"a":123456789012345678901234}', '{"a":1}'], {"$": "OBJECT", "$.a": "DECIMAL"}),
+    (['{"a":1e300}', '{"a":1}'], {"$": "OBJECT", "$.a": "DOUBLE"}),
+    (["[1,2]", '{"a":1}'], {"$": "MIXED"}),
+    (["[true]", "oops", None, '{"a":1,"a":2}'], {"$": "ARRAY", "$[]": "BOOLEAN"}),
+    (["{}"], {"$": "OBJECT"}),
+    (['{"g h":1,"we`ird<,:":[{"x":"y"}],"1":"one","q\\"":true}'],
+     {"$": "OBJECT", '$."g h"': "BIGINT", '$."we`ird<,:"': "ARRAY", '$."we`ird<,:"[]': "OBJECT",
+      '$."we`ird<,:"[].x': "STRING", '$."1"': "STRING", '$."q\\""': "BOOLEAN"}),
+    (["oops", None], {}),
+]
+
+
+@pytest.mark.parametrize("payloads, want", CASES)
+def test_types_of_payloads(spark, messages, payloads, want):
+    raw = decode_envelope(messages([message(name="m", payload=p) for p in payloads]))
+    got = {r.path: (r.name, r.kind) for r in payload_schema(raw.repartition(3), ["m"]).collect()}
+    assert got == {path: ("m", kind) for path, kind in want.items()}
+
+
+def test_each_name_has_its_own_and_others_share_one(spark, messages):
+    texts = [message(name=n, payload=f'{{"of_{n}":1}}') for n in ("a", "b", "c", "d", None)]
+    rows = payload_schema(decode_envelope(messages(texts)), ["a", "b"]).collect()
+    fields = {(r.name, r.path) for r in rows if r.path != "$"}
+    assert fields == {
+        ("a", "$.of_a"), ("b", "$.of_b"),
+        (None, "$.of_c"), (None, "$.of_d"), (None, "$.of_None"),
+    }
+
+
+def test_deep_nesting_needs_no_recursion():
+    deep = "OBJECT<a: " * 5000 + "BIGINT" + ">" * 5000
+    *_, last = fields_of(deep)
+    assert last == ("$" + ".a" * 5000, "BIGINT")
+
+
+def test_wide_payloads_and_repeated_keys(spark, messages):
+    fields = ",".join(f'"k{i}":{i}' for i in range(3000))
+    texts = [message(payload="{" + fields + ',"k0":"last","k1":true}') for _ in range(3)]
+    rows = {r.field: r for r in payload_profile(decode_envelope(messages(texts))).collect()}
+    assert len(rows) == 3000
+    assert (rows["k0"].texts, rows["k0"].integers) == (3, 0)
+    assert (rows["k1"].booleans, rows["k2"].integers) == (3, 3)
+
+
+def test_a_payload_is_parsed_once(spark, tmp_path):
+    raw = spark.createDataFrame([(1, "{}")], "id INT, payload STRING")
+    plan = payload_profile(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1

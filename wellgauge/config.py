@@ -191,6 +191,13 @@ class JobConfig:
     def gaps_path(self) -> str:
         return f"{self.layout.partials}/gaps"
 
+    @property
+    def live_path(self) -> str:
+        return f"{self.layout.partials}/live-{self._metrics_key()}"
+
+    def live_checkpoint(self, part: str) -> str:
+        return f"{self.layout.checkpoints}/live-{part}-{self._metrics_key()}"
+
     @property
     def rejects_checkpoint(self) -> str:
         return f"{self.layout.checkpoints}/rejects"

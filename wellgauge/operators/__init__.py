@@ -14,6 +14,7 @@ from wellgauge.operators.decode import (
     payload_value,
 )
 from wellgauge.operators.offsets import offset_gaps
+from wellgauge.operators.payload_types import payload_schema
 from wellgauge.operators.rejects import undecoded
 from wellgauge.operators.reports import partition_counts, payload_profile, reject_counts
 
@@ -31,6 +32,7 @@ __all__ = [
     "offset_gaps",
     "partition_counts",
     "payload_profile",
+    "payload_schema",
     "payload_value",
     "preview",
     "reject_counts",

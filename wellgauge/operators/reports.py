@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,11 +81,28 @@ _KINDS = {
 
 
 def _last_of_each_key(entries: Column) -> Column:
-    """Entries that no later one repeats; NULL stays NULL."""
-    from_the_end = F.reverse(F.transform(entries, lambda e: e["key"]))
-    return F.filter(
-        entries, lambda e, i: F.array_position(from_the_end, e["key"]) == F.size(entries) - i
-    )
+    """Entries that no later one repeats; NULL stays NULL.
+
+    The entries are bound to a name first, or Spark would parse a payload again for each
+    mention. Keys are sorted with their places, so that the last of a key stands before
+    another one.
+    """
+
+    def last(entries: Column) -> Column:
+        keys = F.array_sort(F.transform(entries, lambda e, i: F.struct(e["key"], i.alias("at"))))
+
+        def kept(keys: Column) -> Column:
+            ends = F.filter(keys, lambda k, i: ~F.get(keys, i + 1)["key"].eqNullSafe(k["key"]))
+            return F.transform(ends, lambda k: F.get(entries, k["at"]))
+
+        return _bound(keys, kept)
+
+    return _bound(entries, last)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is mentioned."""
+    return F.transform(F.array(value), use)[0]
 
 
 def _outer_type(variant_type: Column) -> Column:

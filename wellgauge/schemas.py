@@ -87,6 +87,18 @@ COUNTS = T.StructType(
 )
 COUNTS_PARTITIONS = ["stage", "batch_id"]
 
+# Averages of open hours as batches saw them; the newest of a group counts.
+LIVE = T.StructType(
+    [
+        T.StructField("well_id", T.StringType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("event_hour", T.TimestampType()),
+        T.StructField("hourly_avg_value", T.DoubleType()),
+        T.StructField("readings", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
 HOURLY = T.StructType(
     [
         T.StructField("well_id", T.StringType()),

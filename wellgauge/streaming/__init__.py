@@ -4,6 +4,7 @@ from wellgauge.streaming.counts import CountBook, count_uncounted, observe_count
 from wellgauge.streaming.curated import start_curated
 from wellgauge.streaming.hourly import refresh_hours, start_hourly, write_pending_hours
 from wellgauge.streaming.landing import start_console, start_landing
+from wellgauge.streaming.live import late_readings, read_live, start_live
 from wellgauge.streaming.reporting import (
     READ_REPORT,
     REJECT_REPORT,
@@ -20,8 +21,10 @@ __all__ = [
     "await_all",
     "count_uncounted",
     "every",
+    "late_readings",
     "observe_counts",
     "read_gaps",
+    "read_live",
     "refresh_hours",
     "report_stage",
     "run_for",
@@ -30,6 +33,7 @@ __all__ = [
     "start_curated",
     "start_hourly",
     "start_landing",
+    "start_live",
     "start_offset_audit",
     "start_rejects",
     "write_pending_hours",
