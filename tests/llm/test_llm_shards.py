@@ -147,6 +147,8 @@ def test_the_order_does_not_depend_on_files_or_splits(spark):
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert by_key[0] == by_key[1] == by_key[2]
     assert by_place[1] == by_place[2]
+    shuffled = read_back(spark, many, length=64, by_id=True, broadcast_rows=0)[1]
+    assert shuffled == by_key[0]
     want = sorted((r.text or "").encode() for r in rows.collect())
     for ids in (by_key[0], *by_place):
         assert sorted(ids.split(b"\xff")[:-1]) == want

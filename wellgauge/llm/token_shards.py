@@ -94,11 +94,13 @@ def write_shards(
     by_id: bool = False,
     ids_column: str | None = None,
     width: int = 1,
+    broadcast_rows: int = 500_000,
 ) -> Shards:
     """Write the sequences of all texts, or of the ids in ``ids_column``, which has to
-    be read from files, as it is read twice. One shuffle brings texts to the numbers of
-    their first ids, another one each range of slots to the task that writes its file,
-    in order."""
+    be read from files, as it is read twice. One shuffle brings each range of slots to
+    the task that writes its file, in order. The numbers of first ids go to the texts if
+    there are ``broadcast_rows`` at most, about 100 bytes each; of more texts, another
+    shuffle brings the texts to the numbers."""
     if width not in (1, 2, 4) or (ids_column is None and width != 1):
         raise ValueError("ids have 1, 2 or 4 bytes, those of a text 1")
     text = F.col(quoted(ids_column or text_column))
@@ -118,14 +120,19 @@ def write_shards(
     if ids_column is not None:
         kind = rows.schema["place"].dataType.simpleString()
         rows = rows.mapInArrow(_packed(width), f"place {kind}, text binary")
-    ids, most = starts.agg(F.sum(F.col("n") * F.col("copies")), F.max("copies")).first()
+    ids, most, count = starts.agg(
+        F.sum(F.col("n") * F.col("copies")), F.max("copies"), F.count(F.lit(1))
+    ).first()
     ids, total = ids or 0, -(-(ids or 0) // length)
     per_shard = max(1, shard_bytes // (length * width + len(_SEPARATOR)))
     shards = Shards(path, total, length, per_shard, seed, width)
-    placed = rows.join(starts.drop("doc"), "place")
+    starts = starts.drop("doc")
+    placed = rows.join(F.broadcast(starts) if count <= broadcast_rows else starts, "place")
     if (most or 1) > 1:  # texts of one place are the same: any may be the first
         copy = F.row_number().over(Window.partitionBy("place").orderBy("first")) - 1
-        placed = placed.withColumn("first", F.col("first") + copy * F.col("n"))
+        repeated = placed.filter("copies > 1")
+        numbered = repeated.withColumn("first", F.col("first") + copy * F.col("n"))
+        placed = placed.filter("copies = 1").unionByName(numbered)
     slot = permuted(F.col("number"), max(total, 1), seed)
     shard = F.call_function("div", F.col("slot"), F.lit(per_shard)).cast("int")
     (
