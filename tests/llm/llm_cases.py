@@ -37,3 +37,20 @@ def no_documents(spark):
 def prose(seed, words=200, vocabulary=400):
     rnd = random.Random(seed)
     return " ".join(f"w{rnd.randrange(vocabulary)}" for _ in range(words))
+
+
+# Bytes that are no UTF-8, between rows that are.
+INVALID = b"\xff\xfe\x80 broken \xc3"
+BESIDE = [(10, "plain text here"), (12, "don't we'll \u6f22\u5b57 x")]
+
+
+def with_invalid(spark):
+    """A row of bytes that are no text, between two rows that are; in one partition."""
+    bad = spark.createDataFrame([(11, INVALID)], "doc_id long, raw binary").selectExpr(
+        "doc_id", "cast(raw as string) as text"
+    )
+    good = spark.createDataFrame(BESIDE, "doc_id long, text string")
+    whole = good.limit(1).unionAll(bad).unionAll(good.filter("doc_id = 12"))
+    return whole.selectExpr(
+        "doc_id", "text", "'en' as lang", "'s' as source", "cast(9 as long) as n_chars"
+    ).coalesce(1)

@@ -1,8 +1,11 @@
 import random
+from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm_cases import documents, no_documents, prose
+from pyspark.sql import DataFrameWriter
 
 from wellgauge.llm import decontaminate as dc
 
@@ -100,6 +103,83 @@ def test_every_fingerprint_within_the_radius_is_found():
         assert members.within(window, index) == [i for i, d in enumerate(apart) if d <= 24]
 
 
+def test_few_random_fingerprints_get_through():
+    index = dc.Index([(i, prose(i, 30)) for i in range(200)], 5, 0.8, radius=19)
+    members, rng = index.sizes[30], np.random.default_rng(2)
+    windows = rng.integers(0, 256, size=(400, 8), dtype=np.uint8)
+    passed = sum(len(members.candidates(w)) for w in windows)
+    assert passed <= 0.15 * 400 * 200
+
+
+def every_match(texts, items, shingle=5, similarity=0.8):
+    """All documents and items: the best window by its exact similarity, from the places
+    at which a document has shingles of the item."""
+    found = set()
+    split = [(i, dc.words(t or "")) for i, t in texts]
+    places = []
+    for _, tokens in split:
+        at = {}
+        for k in {shingle, *(len(w) for _, t in items if 0 < len(w := dc.words(t)) < shingle)}:
+            for p in range(len(tokens) - k + 1):
+                at.setdefault(tuple(tokens[p : p + k]), []).append(p)
+        places.append(at)
+    for item, text in items:
+        own = dc.words(text)
+        k = min(shingle, len(own))
+        bag = Counter(tuple(own[i : i + k]) for i in range(len(own) - k + 1)) if own else Counter()
+        for (doc, tokens), at in zip(split, places, strict=True):
+            hits = sorted((p, s) for s in bag for p in at.get(s, ()))
+            width = min(len(own), len(tokens)) - k + 1
+            best = 0
+            for start in {s for p, _ in hits for s in range(max(0, p - width + 1), p + 1)}:
+                if start + width + k - 1 > len(tokens):
+                    continue
+                low = bisect_left(hits, (start,))
+                inside = Counter(s for _, s in hits[low : bisect_left(hits, (start + width,))])
+                shared = (inside & bag).total()
+                best = max(best, shared / (width + bag.total() - shared))
+            if hits and best >= similarity - 1e-12:
+                found.add((doc, item, round(best, 9)))
+    return found
+
+
+def test_registered_query_by_brute_force_over_all_documents(spark):
+    from wellgauge.llm.queries import op7_decontaminate
+
+    d = "/root/testdata/sf0.001"
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{d}/benchmark.parquet").collect()]
+    got = {(r.doc_id, r.item_id, round(r.similarity, 9)) for r in op7_decontaminate(spark, d).collect()}
+    assert got == every_match(texts, items) and got
+
+
+def test_one_block_of_the_benchmark_is_held_at_a_time(spark, cases, monkeypatch):
+    """Twelve blocks: what one has found is stored before the next one is read."""
+    texts, items = cases
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    table = spark.createDataFrame(items, ITEMS)
+    items = [(i, t) for i, t in items if t is not None]
+    size = sum(len(t.encode()) for _, t in items)
+    read, stored = [], []
+    finder, parquet = dc._finder, DataFrameWriter.parquet
+
+    def block(held, *rest):
+        read.append(len(held))
+        assert len(stored) == len(read) - 1
+        return finder(held, *rest)
+
+    def written(self, path, *rest, **options):
+        parquet(self, path, *rest, **options)
+        stored.append(path)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(dc, "_finder", block)
+        patch.setattr(DataFrameWriter, "parquet", written)
+        found = dc.contaminations(docs, table, block_bytes=-(-size // 12))
+    assert len(read) == 12 and sum(read) == len(items)
+    assert sorted(found.collect()) == sorted(dc.contaminations(docs, table).collect())
+
+
 def test_awkward_rows(spark):
     table = documents(spark)
     items = spark.createDataFrame(

@@ -20,6 +20,60 @@ def brute(rows, query_ids, k):
     return found
 
 
+def clustered(n=4000, clusters=200, size=32, seed=5):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(clusters, size)) * 3
+    points = centres[rng.integers(clusters, size=n)] + rng.normal(size=(n, size)) * 0.3
+    return list(enumerate(points.tolist()))
+
+
+def test_few_pairs_are_visited_where_near_rows_are_much_nearer(spark):
+    """On clustered vectors: the setting is chosen on a sample, its share of pairs and
+    its recall measured on all rows."""
+    rows = clustered()
+    points = np.array([v for _, v in rows])
+    chosen = nb.fit(points[:1000], 3, 0.95, seed=1)  # 3 of 1000 as 10 of 4000
+    keys, owners = chosen.hashing.probes(points[::100], chosen.probes)
+    seen = nb._candidates(chosen.hashing, keys, owners, points, len(points[::100]))
+    assert seen.mean() <= 0.1
+    queries = [i for i, _ in rows if i % 100 == 0]
+    expected = brute(rows, queries, 10)
+    got = nb.nearest(spark.createDataFrame(rows, VECTORS), "id % 100 = 0").collect()
+    pairs = {(q, i) for q, found in expected.items() for i, _ in found}
+    assert len(pairs & {(r.query_id, r.neighbour_id) for r in got}) >= 0.9 * len(pairs)
+
+
+def test_ranks_scores_and_ties_as_by_brute_force(spark):
+    """A grid of points has many equal distances; those go to the smaller id."""
+    rows = [(i, [float(i % 9), float(i // 9 % 9), float(i // 81)]) for i in range(1, 700)]
+    queries = [i for i, _ in rows if i % 100 == 0]
+    expected = brute(rows, queries, 6)
+    table = spark.createDataFrame(rows[::-1], VECTORS).repartition(5)
+    found = {}
+    for r in sorted(nb.nearest(table, "id % 100 = 0", k=6, target_recall=1.0).collect()):
+        found.setdefault(r.query_id, []).append((r.neighbour_id, r.distance))
+        assert r.rank == len(found[r.query_id])
+    assert found == expected
+
+
+def test_registered_query_recalls_nine_of_ten_at_bench_scale(spark):
+    from wellgauge.llm.queries import op8_neighbours
+
+    d = "/root/testdata/sf0.1"
+    table = nb.usable(spark.read.parquet(f"{d}/embeddings.parquet"), "vec_id", "embedding")
+    rows = [(r.id, r.vector) for r in table.collect()]
+    points, ids = dict(rows), [i for i, _ in rows]
+    expected = brute(rows, [i for i in ids if i % 100 == 0], 10)
+    found = {}
+    for r in sorted(op8_neighbours(spark, d).collect()):
+        found.setdefault(r.query_id, []).append(r.vec_id)
+        assert r.rank == len(found[r.query_id])
+        apart = nb.distances(np.array([points[r.vec_id]]), np.array(points[r.query_id]))
+        assert r.score == float(apart[0])
+    hits = sum(len({i for i, _ in want} & set(found[q])) for q, want in expected.items())
+    assert hits >= 0.9 * sum(map(len, expected.values()))
+
+
 def test_registered_query_recalls_nine_of_ten(spark):
     from wellgauge.llm.queries import op8_neighbours
 

@@ -8,8 +8,9 @@ are scanned by doubling, and a second pass marks the starts. The slices between
 starts are merged pair by pair, once per distinct slice as long as it is cached.
 
 Texts that are NULL or empty give no ids. Repeated rows are encoded each by itself.
-A text of any length is encoded whole. Columns other than id and text are ignored,
-whatever their names.
+A text of any length is encoded whole. Bytes that are no UTF-8 are signs of one byte each
+and come back as they were; texts beside them are not touched. Columns other than id and
+text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -165,14 +166,15 @@ def token_starts(kinds: np.ndarray, block: int = 512) -> np.ndarray:
 def pretoken_offsets(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
     """All texts as one byte string, and the byte offset of each pre-token in it."""
     joined = b"".join(texts)
-    # One separator after each text; it is no part of any token.
-    points = np.frombuffer(
-        b"\0".join([*texts, b""]).decode("utf-8", "replace").encode("utf-32-le"), np.uint32
-    )
-    lengths = np.array([len(t.decode("utf-8", "replace")) for t in texts], np.int64)
-    breaks = np.cumsum(lengths + 1) - 1
+    # One separator after each text; it is no part of any token. A byte that is no UTF-8
+    # becomes a lone surrogate, which is of the class of other signs and one byte wide.
+    read = [t.decode("utf-8", "surrogateescape") for t in texts]
+    whole = "\0".join([*read, ""]).encode("utf-32-le", "surrogatepass")
+    points = np.frombuffer(whole, np.uint32)
+    breaks = np.cumsum(np.array([len(t) for t in read], np.int64) + 1) - 1
     marks = token_starts(classify(points, breaks))
     widths = 1 + (points >= 0x80).astype(np.int8) + (points >= 0x800) + (points >= 0x10000)
+    widths[(points >= 0xD800) & (points < 0xE000)] = 1
     widths[breaks] = 0
     offsets = np.cumsum(widths, dtype=np.int64) - widths
     return joined, offsets[marks]

@@ -7,8 +7,13 @@ squares of the steps' distances from the query to the bucket walls. Every row th
 in a visited bucket of any table is a candidate, once, and candidates are ranked by exact
 distances.
 
-The index is fitted on a bounded sample, which gives the bucket width; every row is
-hashed. Queries go in blocks of bounded size to all tasks, which make the keys of the
+The index is fitted on a bounded sample: of several numbers of tables, hashes and probes,
+and of several bucket widths, the one is taken that visits the smallest share of pairs
+while it finds ``target_recall`` of the sample's own nearest rows (``fit``). Of a tenth of
+the rows the nearest one stands for the ten nearest of all.
+How small the share is depends on the data: where near rows are much nearer than others
+it is below a hundredth, where all are about as far apart nearly all have to be visited.
+Every row is hashed. Queries go in blocks of bounded size to all tasks, which make the keys of the
 buckets to visit; rows stay where they are and are read once per block: no bucket is
 gathered anywhere, however full it is. A task keeps the best of each query and hands on
 these alone. What a block finds is stored before the next one is sent, so the driver and
@@ -26,6 +31,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import product
 
 import numpy as np
@@ -88,6 +94,56 @@ class Tables:
         return key[order], owner[order]
 
 
+@dataclass(frozen=True)
+class Fit:
+    """A setting, and what it did on the sample it was chosen on."""
+
+    hashing: Tables
+    probes: int
+    recall: float
+    visited: float  # share of the pairs of a query and a row
+
+
+# Tables, hashes and probes of a table; bucket widths as shares of the median distance.
+_SETTINGS = ((16, 8, 32), (16, 8, 96), (32, 6, 32), (32, 6, 64), (32, 6, 128), (32, 6, 192))
+_WIDTHS = (0.1, 0.2, 0.3, 0.45, 0.7)
+_TRIED = 48  # queries on the sample
+
+
+def fit(points: np.ndarray, k: int, target_recall: float, seed: int) -> Fit:
+    """The setting for a sample: the fewest pairs visited at the recall asked for, or
+    the best recall if none has it."""
+    n = min(_TRIED, len(points))
+    apart = np.array([distances(points, p) for p in points[:n]])
+    positive = apart[apart > 0]
+    scale = float(np.median(positive)) if positive.size else 1.0
+    apart[np.arange(n), np.arange(n)] = np.inf
+    k = max(1, min(k, len(points) - 1))
+    # All rows as near as the k-th; of equal ones any k will do.
+    reach = np.partition(apart, k - 1, axis=1)[:, k - 1 : k] if len(points) > 1 else apart
+    near = apart <= reach
+    best = None
+    for tables, hashes, probes in _SETTINGS:
+        for width in _WIDTHS:
+            hashing = Tables(points.shape[1], width * scale, tables, hashes, seed)
+            keys, owners = hashing.probes(points[:n], probes)
+            seen = _candidates(hashing, keys, owners, points, n).T
+            seen[np.arange(n), np.arange(n)] = False
+            found = np.minimum((seen & near).sum(axis=1), k).sum() / (n * k)
+            made = Fit(hashing, probes, float(found), float(seen.mean()))
+            if best is None or _better(made, best, target_recall):
+                best = made
+            if found >= target_recall:
+                break  # wider buckets only hold more
+    return best
+
+
+def _better(a: Fit, b: Fit, target: float) -> bool:
+    if a.recall < target or b.recall < target:
+        return a.recall > b.recall
+    return a.visited < b.visited
+
+
 class Best:
     """The ``k`` nearest rows of each query so far, in bounded memory."""
 
@@ -158,10 +214,7 @@ def nearest(
     k: int = 10,
     id_column: str = "vec_id",
     vector_column: str = "embedding",
-    tables: int = 32,
-    hashes: int = 6,
-    probes: int = 192,
-    width: float = 0.7,
+    target_recall: float = 0.95,
     sample: int = 1_000,
     query_block: int = 1_024,
     seed: int = 1,
@@ -170,10 +223,9 @@ def nearest(
     nearest rows found for each usable row whose ``id`` meets ``query_filter`` (all
     rows of its size, if there are fewer).
 
-    ``width`` is the bucket width as a share of the median distance between rows of
-    the sample; ``query_block`` bounds what is sent to every task: about that many
-    vectors, for each of which a task makes ``tables * probes`` bucket keys of twelve
-    bytes.
+    ``sample`` bounds the rows that the index is fitted on, ``query_block`` what is sent
+    to every task: about that many vectors, for each of which a task makes bucket keys of
+    twelve bytes, one for each table and probe.
     """
     spark = vectors.sparkSession
     # Stored, so that a row keeps its number.
@@ -189,13 +241,11 @@ def nearest(
         of_size = rows.filter(F.size("vector") == size)
         drawn = of_size.orderBy(F.xxhash64("id"), "id", "row").limit(sample).collect()  # bounded
         points = np.array([r.vector for r in drawn])
-        apart = np.concatenate([distances(points, p) for p in points[:256]])
-        apart = apart[apart > 0]
-        hashing = Tables(
-            size, width * (float(np.median(apart)) if apart.size else 1.0), tables, hashes, seed
-        )
+        # Among the rows of a sample fewer are as near as the k nearest of all.
+        wanted = -(-k * len(points) // there)
+        chosen = fit(points, wanted, target_recall, seed)
         asked = of_size.filter(query_filter)
-        part = _nearest_of(of_size, asked, there, hashing, probes, k, query_block)
+        part = _nearest_of(of_size, asked, there, chosen.hashing, chosen.probes, k, query_block)
         if part is not None:
             names = asked.select(F.col("row").alias("query"), F.col("id").alias("query_id"))
             found = found.unionByName(part.join(names, "query"))

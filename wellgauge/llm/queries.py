@@ -431,15 +431,17 @@ def oracle_sql() -> dict[str, str]:
     def escaped(text: str) -> str:
         return rf"regexp_replace({text}, '<(\\*)\|', '<\1\\|', 'g')"
 
+    # Turns of one number and role come in the order of what they read.
+    shown = f"{escaped('text')} || '{chat.END}'"
     marks = len(chat.START) + len(chat.END) + 2
     return {
         "op1_chat": rf"""
             SELECT conv_id, count(*) AS n_turns,
                    sha256(string_agg(role || chr(10) || text || chr(10), ''
-                                     ORDER BY turn, role, text)) AS turns_sha256,
+                                     ORDER BY turn, role, {shown})) AS turns_sha256,
                    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT)
                        AS loss_chars,
-                   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, {shown})
                                    FILTER (role = 'assistant'), '')) AS loss_sha256,
                    CAST(sum({marks} + length({escaped("role")}) + length({escaped("text")}))
                        AS BIGINT) AS formatted_chars

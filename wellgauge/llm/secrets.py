@@ -318,16 +318,20 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
 
 def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """The documents with all their columns, secrets in the text replaced by marks. A
-    text without a secret, NULL included, stays as it is."""
+    text without a secret, NULL included, stays as it is, byte for byte; one with a secret
+    gets replacement characters for bytes that are no UTF-8."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, text_column):
             column = batch.column(text_column)
-            texts = column.to_pylist()
-            for i, text in enumerate(texts):
-                if text and (spans := ordered(base_spans(text) + structural_spans(text))):
-                    texts[i] = redacted(text, spans)
+            texts = column.cast(pa.binary()).to_pylist()
+            for i, raw in enumerate(texts):
+                text = raw.decode("utf-8", "replace") if raw else ""
+                if spans := ordered(base_spans(text) + structural_spans(text)):
+                    texts[i] = redacted(text, spans).encode()
             at = batch.schema.get_field_index(text_column)
-            yield batch.set_column(at, text_column, pa.array(texts, column.type))
+            # Seen as text and not cast to it, which would refuse bytes that are none.
+            marked = pa.array(texts, pa.binary()).view(pa.string()).cast(column.type)
+            yield batch.set_column(at, text_column, marked)
 
     return changed_rows(docs, rows)
