@@ -14,6 +14,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.errors import StreamingQueryException  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -73,13 +74,12 @@ from wellgauge.streaming import (  # noqa: E402
     start_live,
 )
 
-# The corpus operators are registered where they are installed.
+# The corpus operators are registered where they, and the packages they use, are
+# installed; the job needs neither.
 try:
     import corpus_pipeline
     from wellgauge.llm import queries as corpus_queries
-except ModuleNotFoundError as missing:
-    if (missing.name or "").partition(".")[0] not in ("corpus_pipeline", "wellgauge"):
-        raise
+except ModuleNotFoundError:
     corpus_pipeline = corpus_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -394,6 +394,34 @@ def landing_audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.unionByName(other)
 
 
+def failed_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What one stream has landed when another one, beside it, fails on a message: the
+    failure reaches the caller and stops the first."""
+    config, other = (_config(spark, n) for n in ("failed_stream", "failing_stream"))
+
+    def failing(messages: DataFrame) -> DataFrame:
+        stop = F.raise_error(F.lit("a message that stops the stream")).cast("string")
+        whole = decode_envelope(messages)
+        return whole.withColumn("name", F.when(F.col("name") == "error", stop).otherwise(F.col("name")))
+
+    landing = start_landing(
+        _message_stream(spark, sf_dir), config.layout.raw, config.landing_checkpoint, every("1 second")
+    )
+    landing.processAllAvailable()
+    broken = start_landing(
+        _message_stream(spark, sf_dir), other.layout.raw, other.landing_checkpoint, decode=failing
+    )
+    try:
+        await_all(landing, broken)
+    except StreamingQueryException as error:
+        failure = error
+    else:
+        raise RuntimeError("a failed stream was not noticed")
+    if landing.isActive or "stops the stream" not in str(failure):
+        raise RuntimeError("the other stream goes on, or another error came through")
+    return read_raw(spark, config.layout.raw)
+
+
 def ingest_resume_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs on one checkpoint: a first part, the rest, nothing new."""
     config, log = _config(spark, "ingest_resume"), workspace(spark, "log")
@@ -555,6 +583,7 @@ def queries() -> dict[str, Query]:
         "ingest_stream": ingest_stream_query,
         "ingest_resume": ingest_resume_query,
         "ingest_interval": ingest_interval_query,
+        "failed_stream": failed_stream_query,
         "decode_rejects": decode_rejects_query,
         "offset_gaps": offset_gaps_query,
         "landing_audit": landing_audit_query,
@@ -684,6 +713,7 @@ def oracle_sql() -> dict[str, str]:
         "ingest_stream": envelope,
         "ingest_resume": envelope,
         "ingest_interval": envelope,
+        "failed_stream": envelope,
         "decode_rejects": """
             SELECT CAST(id AS VARCHAR) AS key, 'replay' AS topic, 0 AS partition,
                    id AS "offset",

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from wellgauge.config import JobConfig
 from wellgauge.operators.curate import preview
 from wellgauge.plans import backfill, enrich, land, publish, publish_all, report, run_job
+from wellgauge.plans.lease import Lease
 from wellgauge.session import job_session
 from wellgauge.sources import read_curated, read_messages
 
@@ -38,13 +39,22 @@ STAGES = {
 }
 
 
+# Stages that write what a whole run writes too, and take the lease a run takes itself.
+ALONE = ("land", "enrich", "publish", "publish-all", "report")
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="wellgauge", description=__doc__)
     parser.add_argument("stage", choices=STAGES)
     stage = parser.parse_args(arguments).stage
     spark = job_session(SparkSession.builder.appName(f"wellgauge-{stage}").getOrCreate())
     try:
-        STAGES[stage](spark, JobConfig.from_spark(spark))
+        config = JobConfig.from_spark(spark)
+        if stage in ALONE:
+            with Lease(spark, config.lease_path, config.lease_seconds):
+                STAGES[stage](spark, config)
+        else:
+            STAGES[stage](spark, config)
     finally:
         spark.stop()
 

@@ -153,6 +153,8 @@ class JobConfig:
     keep_rejects: bool = True
     # Note offsets that the log no longer had; for sources that skip them silently.
     check_offsets: bool = False
+    # How long a run that dies keeps others out.
+    lease_seconds: float = 600.0
 
     def __post_init__(self):
         if not self.metrics:
@@ -183,6 +185,10 @@ class JobConfig:
     def reported_path(self) -> str:
         return f"{self.layout.partials}/reported"
 
+    @property
+    def lease_path(self) -> str:
+        return f"{self.layout.checkpoints}/lease"
+
     @property
     def offsets_path(self) -> str:
         return f"{self.layout.partials}/offsets"
@@ -259,6 +265,7 @@ class JobConfig:
             report=report,
             keep_rejects=_is_on(conf.get("rejects.keep", "true")),
             check_offsets=_is_on(conf.get("offsets.check", "false")),
+            lease_seconds=float(conf.get("lease.seconds", 600)),
         )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wellgauge.config import JobConfig
 from wellgauge.operators.decode import decode_envelope
+from wellgauge.plans.lease import Lease
 from wellgauge.session import job_session
 from wellgauge.sinks.database import write_metrics
 from wellgauge.sinks.folders import data_files, delete
@@ -113,8 +114,10 @@ def report(spark: SparkSession, config: JobConfig) -> None:
 
 
 def run_job(spark: SparkSession, config: JobConfig, messages: DataFrame | None = None) -> None:
-    """Both steps in order; a failed one ends the job."""
-    land(spark, config, messages)
-    enrich(spark, config)
-    publish(spark, config)
-    report(spark, config)
+    """Both steps in order; a failed one ends the job. Only one run works on the tables:
+    while another does, ``LeaseHeld`` is raised."""
+    with Lease(spark, config.lease_path, config.lease_seconds) as lease:
+        land(spark, config, messages)
+        for step in (enrich, publish, report):
+            lease.check()
+            step(spark, config)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -67,6 +68,24 @@ def delete(spark: SparkSession, paths: Iterable[str]) -> int:
     return removed
 
 
+def create(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> bool:
+    """Write a small file. Unless it may be overwritten, False if it is there already;
+    of several that create it at once, one gets True."""
+    files, file = _open(spark, path)
+    files.mkdirs(file.getParent())
+    try:
+        stream = files.create(file, overwrite)
+    except Py4JJavaError as error:
+        if not overwrite and files.exists(file):
+            return False
+        raise error
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Make an empty file; one that is there already stays."""
     files, file = _open(spark, path)
