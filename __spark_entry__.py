@@ -25,7 +25,11 @@ from wellgauge.operators import (  # noqa: E402
     decode_envelope,
     decode_nested,
     event_time_parts,
+    exact_averages,
+    exact_partials,
+    hour_readings,
     hourly_avg,
+    merge_exact,
     partition_counts,
     payload_profile,
     payload_schema,
@@ -238,6 +242,24 @@ def hourly_avg_all_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(hourly_avg(payload_value(_raw(spark, sf_dir)), EVENT_METRICS))
 
 
+def hourly_avg_exact_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages of all metrics from exact sums, in one piece and merged from three, and
+    whether both are the same to the last bit."""
+    events = _events(spark, sf_dir)
+
+    def partials(part: DataFrame) -> DataFrame:
+        decoded = payload_value(decode_envelope(events_as_messages(part)))
+        return exact_partials(hour_readings(decoded, EVENT_METRICS))
+
+    thirds = [partials(events.filter(F.col("event_id") % 3 == i)) for i in range(3)]
+    merged = merge_exact(thirds[0].unionAll(thirds[1]).unionAll(thirds[2]))
+    split = exact_averages(merged).withColumnRenamed("hourly_avg_value", "from_parts")
+    both = exact_averages(partials(events)).join(split, HOURLY.names[:-1])
+    same = F.col("hourly_avg_value").eqNullSafe(F.col("from_parts"))
+    average = F.round("hourly_avg_value", 6).alias("hourly_avg_value")
+    return both.select(*HOURLY.names[:-1], average, same.alias("same"))
+
+
 def partition_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of both stages. Which partitions there are depends on the cluster,
     so only what does not is returned."""
@@ -573,6 +595,7 @@ def queries() -> dict[str, Query]:
         "raw_dump": raw_dump_query,
         **{f"hourly_avg_{metric}": _hourly_avg_query(metric) for metric in EVENT_METRICS},
         "hourly_avg_all": hourly_avg_all_query,
+        "hourly_avg_exact": hourly_avg_exact_query,
         "partition_counts": partition_counts_query,
         "curate": curate_query,
         "preview": preview_query,
@@ -698,6 +721,7 @@ def oracle_sql() -> dict[str, str]:
         "raw_dump": message,
         **{f"hourly_avg_{m}": hourly(f"event_type = '{m}'") for m in EVENT_METRICS},
         "hourly_avg_all": hourly(),
+        "hourly_avg_exact": f"SELECT *, TRUE AS same FROM ({hourly()})",
         "partition_counts": """
             SELECT stage, (SELECT count(*) FROM events) AS messages,
                    TRUE AS one_row_each, TRUE AS all_stamped

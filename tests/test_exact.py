@@ -1,0 +1,88 @@
+"""Averages that are the same to the last bit for any split and order."""
+
+import random
+import struct
+from fractions import Fraction
+
+import pytest
+
+from samples import message
+from wellgauge.operators import decode_envelope, exact_hourly_avg, hour_readings
+from wellgauge.operators.averages import GROUP
+from wellgauge.operators.exact import exact_averages, exact_partials, merge_exact
+
+READINGS = "well_id STRING, name STRING, event_hour TIMESTAMP, value DOUBLE"
+HARD = [
+    0.1, 0.2, 0.3, -0.1, 1e16, 1.0, -1e16, 1e-16, 5e-324, -5e-324, 2.2250738585072014e-308,
+    1.7976931348623157e308, -1.7976931348623157e308, 1e300, -1e300, 2.0**32, 2.0**32 - 1,
+    -(2.0**64), 2.0**-32, 4294967295.9999995, 0.0, -0.0, 1 / 3, 2.0**1023, 2.0**-1022, 3e-310,
+]
+
+
+def bits(value):
+    return None if value is None else struct.pack(">d", value)
+
+
+def exactly(values):
+    known = [Fraction(v) for v in values if v is not None]
+    return float(sum(known) / len(known)) if known else None
+
+
+def averages(partials):
+    return {r.well_id: bits(r.hourly_avg_value) for r in exact_averages(partials).collect()}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_any_split_gives_the_fraction_rounded_once(spark, seed):
+    rnd = random.Random(seed)
+
+    def value():
+        kind = rnd.random()
+        if kind < 0.3:
+            return rnd.choice(HARD)
+        if kind < 0.4:
+            return None
+        return rnd.uniform(-1, 1) * 2.0 ** rnd.randint(-60 if kind < 0.8 else -1060, 60)
+
+    rows = [(str(rnd.randrange(40)), "m", None, value()) for _ in range(1200)]
+    rows += [("none", "m", None, None)]
+    want = {}
+    for well, _, _, v in rows:
+        want.setdefault(well, []).append(v)
+    want = {well: bits(exactly(values)) for well, values in want.items()}
+    whole = spark.createDataFrame(rows, READINGS)
+    assert averages(exact_partials(whole)) == want
+    rnd.shuffle(rows)
+    cuts = [0, *sorted(rnd.sample(range(1, len(rows)), 3)), len(rows)]
+    parts = None
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        part = exact_partials(spark.createDataFrame(rows[a:b], READINGS).repartition(3))
+        parts = part if parts is None else parts.unionAll(part)
+    merged = merge_exact(parts)
+    assert averages(merged) == want and averages(parts) == want
+    assert merged.groupBy(*GROUP, "place").count().filter("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize("value", HARD)
+def test_each_double_comes_back(spark, value):
+    table = spark.createDataFrame([("w", "m", None, value)], READINGS)
+    (got,) = averages(exact_partials(table)).values()
+    assert got == bits(value + 0.0)  # there is one zero among whole numbers
+
+
+def test_sums_that_cancel(spark):
+    values = [1e300, 1.0, -1e300, 1e-300] * 3
+    table = spark.createDataFrame([("w", "m", None, v) for v in values], READINGS)
+    assert averages(exact_partials(table)) == {"w": bits(exactly(values))}
+
+
+def test_averages_of_messages(spark, messages):
+    texts = [message(value=v) for v in (0.1, 0.2, 0.3)] + [message(stamp="bad", value=7.0)]
+    texts += [message(well="8", payload="oops"), message(name="other")]
+    from wellgauge.operators import payload_value
+
+    decoded = payload_value(decode_envelope(messages(texts)))
+    got = {(r.well_id, r.hour): r.hourly_avg_value
+           for r in exact_hourly_avg(decoded, "well_pump_rpm").collect()}
+    assert got == {("7", 10): exactly([0.1, 0.2, 0.3]), ("7", None): 7.0, ("8", 10): None}
+    assert exact_partials(hour_readings(decoded, "none")).collect() == []

@@ -13,6 +13,12 @@ from wellgauge.operators.decode import (
     event_time_parts,
     payload_value,
 )
+from wellgauge.operators.exact import (
+    exact_averages,
+    exact_hourly_avg,
+    exact_partials,
+    merge_exact,
+)
 from wellgauge.operators.offsets import offset_gaps
 from wellgauge.operators.payload_types import payload_schema
 from wellgauge.operators.rejects import undecoded
@@ -25,9 +31,13 @@ __all__ = [
     "decode_envelope",
     "decode_nested",
     "event_time_parts",
+    "exact_averages",
+    "exact_hourly_avg",
+    "exact_partials",
     "hour_readings",
     "hourly_avg",
     "hourly_partials",
+    "merge_exact",
     "merge_partials",
     "offset_gaps",
     "partition_counts",
