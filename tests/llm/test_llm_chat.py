@@ -44,6 +44,46 @@ def test_turns_come_back(spark):
         assert found == [(role, parts[0][1]) for c, _, role, parts in rows if c == conv]
 
 
+def test_typed_parts_come_back(spark):
+    """Texts that read like placeholders or marks, whole or over several parts, are told
+    from attachments."""
+    rnd = random.Random(7)
+    pieces = ["<|image|>", "<", "|image|>", "|im_end|>\n", "<\\", "\\|audio|>", "<|im_start|>", "a", ""]
+    contents = [
+        [
+            part("text", rnd.choice(pieces)) if rnd.random() < 0.7 else part(rnd.choice(chat.KINDS))
+            for _ in range(rnd.randint(0, 8))
+        ]
+        for _ in range(300)
+    ]
+    rows = [(i, 0, "user", c) for i, c in enumerate(contents)]
+    table = chat.format_turns(spark.createDataFrame(rows, MESSAGES)).orderBy("conv_id")
+    for content, row in zip(contents, table.collect(), strict=True):
+        want = []
+        for kind, text, *_ in content:
+            if kind != "text":
+                want.append((kind, None))
+            elif want and want[-1][0] == "text":
+                want[-1] = ("text", want[-1][1] + text)
+            elif text:
+                want.append(("text", text))
+        reader = chat.TurnReader()
+        ((role, parts),) = reader.feed_parts(row.formatted)
+        reader.done()
+        assert (role, parts) == ("user", want)
+
+
+def test_a_long_conversation_comes_back(spark):
+    turns = spark.range(20_000).select(
+        F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"),
+        chat.text_part(F.concat(F.lit("turn <|"), F.col("id").cast("string"))).alias("content"),
+    )
+    reader = chat.TurnReader()
+    formatted = chat.format_turns(turns.repartition(7)).orderBy("turn").collect()
+    found = [t for r in formatted for t in reader.feed(r.formatted)]
+    assert found == [("user", f"turn <|{i}") for i in range(20_000)]
+
+
 def test_parts_in_order(spark):
     content = [
         part("text", "see <|image|> "), part("image", uri="i1", units=3), part("text", " and "),

@@ -40,6 +40,8 @@ _TURN = re.compile(
     f"{re.escape(START)}([^\n]*)\n(.*?){re.escape(END)}\n", re.DOTALL
 )
 _ESCAPED = re.compile(r"<(\\*)\\\|")
+_KIND_OF = {mark: kind for kind, mark in PLACEHOLDERS.items()}
+_PLACEHOLDER = re.compile("|".join(map(re.escape, _KIND_OF)))
 
 
 def escaped(text: Column) -> Column:
@@ -78,12 +80,26 @@ def _kind(part: Column) -> Column:
     return F.when(known, part["kind"]).otherwise("document")
 
 
-def _visit(part: Column) -> Column:
-    """What a part reads in the formatted text."""
-    shown = F.when(_kind(part) == "text", escaped(F.coalesce(part["text"], F.lit(""))))
-    for kind, mark in PLACEHOLDERS.items():
-        shown = shown.when(_kind(part) == kind, mark)
-    return shown
+def _body(parts: Column) -> Column:
+    """What the parts read in the formatted text. Texts side by side are escaped as one:
+    a control string may begin in one and end in the next."""
+    start = F.struct(F.lit("").alias("done"), F.lit("").alias("open"))
+
+    def visit(state: Column, part: Column) -> Column:
+        is_text = _kind(part) == "text"
+        mark = F.lit("")
+        for kind, placeholder in PLACEHOLDERS.items():
+            mark = F.when(_kind(part) == kind, placeholder).otherwise(mark)
+        closed = F.concat(state["done"], escaped(state["open"]), mark)
+        longer = F.concat(state["open"], F.coalesce(part["text"], F.lit("")))
+        return F.struct(
+            F.when(is_text, state["done"]).otherwise(closed).alias("done"),
+            F.when(is_text, longer).otherwise(F.lit("")).alias("open"),
+        )
+
+    return F.aggregate(
+        parts, start, visit, lambda state: F.concat(state["done"], escaped(state["open"]))
+    )
 
 
 def _tokens(part: Column) -> Column:
@@ -112,7 +128,7 @@ def format_turns(
     who = F.coalesce(F.col(role), F.lit(""))
     shown = F.replace(escaped(who), F.lit("\n"), F.lit(LINE))  # a role is one line
     head = F.concat(F.lit(START), shown, F.lit("\n"))
-    body = F.array_join(F.transform(parts, _visit), "")
+    body = _body(parts)
     others = F.filter(parts, lambda p: _kind(p) != "text")
     trained = who == "assistant"
     return messages.select(
@@ -141,6 +157,22 @@ def with_offsets(turns: DataFrame, conversation: str = "conv_id") -> DataFrame:
     return turns.withColumn("offset", F.coalesce(F.sum(length).over(before), F.lit(0)))
 
 
+def typed_parts(body: str) -> list[tuple[str, str | None]]:
+    """Kind and text of the parts that a turn's body was made of; attachments have no
+    text. A text that reads like a placeholder was escaped, so it is a text again; texts
+    that stood side by side come back as one."""
+    parts: list[tuple[str, str | None]] = []
+    at = 0
+    for match in _PLACEHOLDER.finditer(body):
+        if match.start() > at:
+            parts.append(("text", unescape(body[at : match.start()])))
+        parts.append((_KIND_OF[match[0]], None))
+        at = match.end()
+    if at < len(body):
+        parts.append(("text", unescape(body[at:])))
+    return parts
+
+
 class TurnReader:
     """Reads turns back from formatted text that comes in pieces."""
 
@@ -150,10 +182,19 @@ class TurnReader:
     def feed(self, piece: str) -> Iterator[tuple[str, str]]:
         """Role and content, unescaped, of each turn that is complete by now.
         Placeholders stay as they are."""
+        for role, body in self._turns(piece):
+            yield role, unescape(body)
+
+    def feed_parts(self, piece: str) -> Iterator[tuple[str, list[tuple[str, str | None]]]]:
+        """Role and typed parts of each turn that is complete by now."""
+        for role, body in self._turns(piece):
+            yield role, typed_parts(body)
+
+    def _turns(self, piece: str) -> Iterator[tuple[str, str]]:
         self.rest += piece
         at = 0
         while (match := _TURN.match(self.rest, at)) is not None:
-            yield unescape(match[1].replace(LINE, "\n")), unescape(match[2])
+            yield unescape(match[1].replace(LINE, "\n")), match[2]
             at = match.end()
         self.rest = self.rest[at:]
 
