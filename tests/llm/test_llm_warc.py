@@ -86,6 +86,23 @@ def test_declared_lengths_rule(version):
     assert list(warc.parse_arc(b"")) == []
 
 
+def test_compressed_archives(spark):
+    """One member a file, and one a record, give the records of the plain file."""
+    pages = spark.createDataFrame(ROWS, PAGES)
+    for archive in warc.legacy_archives(pages, archive_bytes=2000).collect():
+        plain = bytes(archive.content)
+        records = list(warc.parse_arc(plain))
+        cuts = [0, *(r.offset for r in records), len(plain)]
+        members = b"".join(
+            gzip.compress(plain[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)
+        )
+        for packed in (gzip.compress(plain), members):
+            assert list(warc.parse_arc(packed)) == records
+            for wrong in (packed[:-9], packed[:20]):
+                with pytest.raises(ValueError):
+                    list(warc.parse_arc(wrong))
+
+
 def test_other_records_and_identifiers(spark):
     data = arc(1, [("dns:x.org", b"20200102 x.org A 1.2.3.4"), ("http://x", b"plain")])
     path = workspace(spark, "warc")

@@ -11,7 +11,8 @@ Records with equal keys and payloads are of one type. A record without a key is
 identified by its archive and offset, is always written in full, and is nobody's
 original. Empty payloads are responses of length zero.
 
-An archive that is cut off or whose lengths do not add up ends the job.
+Archives may be compressed, as a whole or record by record. An archive that is cut off or
+whose lengths do not add up ends the job.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import gzip
 import hashlib
 import io
 import re
+import zlib
 from collections.abc import Iterator
 from typing import BinaryIO, NamedTuple
 
@@ -39,6 +41,7 @@ FIELDS = {
 }
 SEPARATOR = "\r\n\r\n"
 KEY_HEADER = "X-Record-Key"
+_GZIP = b"\x1f\x8b"
 _URN = "urn:arc-record:"
 
 
@@ -68,7 +71,13 @@ def arc_opening(version: int, name: str, date: str) -> bytes:
 
 
 def parse_arc(data: bytes) -> Iterator[ArcRecord]:
-    """All records of a file but the version block."""
+    """All records of a file but the version block. A file of gzip members, one for each
+    record or for any stretch of the file, is read as what they hold; offsets count there."""
+    if data.startswith(_GZIP):
+        try:
+            data = gzip.decompress(data)
+        except (EOFError, zlib.error) as error:
+            raise ValueError("a member of the archive is cut off or damaged") from error
     at = 0
 
     def line() -> str:
