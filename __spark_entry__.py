@@ -76,6 +76,7 @@ from wellgauge.streaming import (  # noqa: E402
     start_hourly,
     start_landing,
     start_live,
+    write_pending_hours,
 )
 
 # The corpus operators are registered where they, and the packages they use, are
@@ -467,6 +468,22 @@ def stream_hourly_avg_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(read_hourly(spark, config.layout.hourly))
 
 
+def stream_hourly_late_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most messages in one arrival, then some late ones of every day in three more. Each
+    adds a small delta to the sums of its days; hours are written once, at the end."""
+    config, log = _config(spark, "stream_hourly_late"), workspace(spark, "log")
+    source = MessageSource("parquet", {"path": log})
+    events = _events(spark, sf_dir)
+    late = F.least(F.pmod(F.xxhash64("ts", "user_id"), F.lit(50)), F.lit(3))
+    for part in (3, 0, 1, 2):
+        append_table(events_as_messages(events.filter(late == part)), log)
+        land(spark, config, stream_messages(spark, source))
+        averages = start_hourly(spark, config, hours_each_batch=False)
+        await_all(averages)
+    write_pending_hours(spark, config, averages)
+    return _rounded(read_hourly(spark, config.layout.hourly))
+
+
 def stream_live_avg_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Averages as they stand after three arrivals and restarts, in order of time but for
     an hour of disorder. Some messages have no usable time; they are averaged as well."""
@@ -612,6 +629,7 @@ def queries() -> dict[str, Query]:
         "landing_audit": landing_audit_query,
         "report_readback": report_readback_query,
         "stream_hourly_avg": stream_hourly_avg_query,
+        "stream_hourly_late": stream_hourly_late_query,
         "stream_live_avg": stream_live_avg_query,
         "stream_hourly_reset": stream_hourly_reset_query,
         "stream_curated": stream_curated_query,
@@ -773,6 +791,7 @@ def oracle_sql() -> dict[str, str]:
                    count(*) FILTER (json_extract({payload}, '$.value') IS NULL)
             FROM events GROUP BY event_type""",
         "stream_hourly_avg": hourly(),
+        "stream_hourly_late": hourly(),
         "stream_live_avg": """
             SELECT well_id, name, year, month, day, hour,
                    round(avg(value), 6) AS hourly_avg_value, count(*) AS readings

@@ -167,7 +167,7 @@ class JobConfig:
     def hourly_checkpoint(self) -> str:
         # The partial averages only hold the configured metrics. Another list
         # therefore gets its own state and is built from the whole raw table.
-        return f"{self.layout.checkpoints}/hourly-sums-{self._metrics_key()}"
+        return f"{self.layout.checkpoints}/hourly-deltas-{self._metrics_key()}"
 
     @property
     def partials_path(self) -> str:

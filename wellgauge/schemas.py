@@ -53,10 +53,10 @@ PARTIALS = T.StructType(
         T.StructField("value_sum", T.DoubleType()),
         T.StructField("value_count", T.LongType()),
         T.StructField("event_date", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
+        T.StructField("batches", T.StringType()),
     ]
 )
-PARTIALS_PARTITIONS = ["event_date", "batch_id"]
+PARTIALS_PARTITIONS = ["event_date", "batches"]
 
 # Hours that a batch touched and that the hourly table has yet to take over.
 TOUCHED = T.StructType(

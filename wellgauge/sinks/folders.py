@@ -19,6 +19,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in a folder and below."""
+    files, folder = _open(spark, path)
+    return files.getContentSummary(folder).getLength()
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the partition folders in a folder; none if it is missing."""
     files, folder = _open(spark, path)

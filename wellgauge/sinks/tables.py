@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellgauge.schemas import HOURLY_PARTITIONS, PARTIALS, PARTIALS_PARTITIONS, TOUCHED
@@ -37,13 +37,11 @@ def write_hourly(hourly: DataFrame, path: str, whole_table: bool = False) -> Non
     )
 
 
-def write_partials(partials: DataFrame, batch_id: int, path: str) -> None:
-    """Store sums and counts of whole dates under the number of a batch.
-
-    A batch that is repeated after a failure replaces what it wrote before.
-    """
+def write_partials(partials: DataFrame, batches: Column, path: str) -> None:
+    """Store sums and counts by date and the range of batches they come from. What is
+    there of the same date and batches is replaced, as a whole or not at all."""
     (
-        partials.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        partials.withColumn("batches", batches)
         .select(*PARTIALS.names)
         .hint("rebalance", "event_date")
         .write.mode("overwrite")

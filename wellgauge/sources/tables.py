@@ -75,14 +75,13 @@ def of_metric(hourly: DataFrame, metric: str) -> DataFrame:
 def read_partials(
     spark: SparkSession, path: str, dates: Iterable[str | None] | None = None
 ) -> DataFrame:
-    """All stored versions of the sums of all dates, or of some.
+    """All stored deltas of all dates, or of some; ``batch_id`` is the last batch of each.
 
     Given dates are opened by path: listing them does not grow with the history.
     """
-    reader = spark.read.schema(PARTIALS)
-    if dates is None:
-        return reader.parquet(path)
-    return read_partials_at(spark, path, [date_folder(path, d) for d in dates])
+    folders = [path] if dates is None else [date_folder(path, d) for d in dates]
+    last = F.substring_index("batches", "-", -1).cast("long")
+    return read_partials_at(spark, path, folders).withColumn("batch_id", last)
 
 
 def date_folder(path: str, date: str | None) -> str:

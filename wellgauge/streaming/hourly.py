@@ -1,14 +1,13 @@
 """Hourly averages, kept up to date with what lands.
 
 Raw rows are read once, in the batch that brings them. A batch is reduced to sums and
-counts per well, metric and hour. These are added to the newest sums of the dates they
-belong to and stored as the batch's version of those dates, so a date has a few versions
-on disk however many batches touch it. The hours that batches touched are noted and
-replaced in the hourly table later: after each batch, or once for all batches of a run.
-Late readings therefore never get lost, and history is not read again for them.
-
-Every step can be repeated after a failure. A batch adds to versions older than itself
-and replaces its own; notes of touched hours are taken back only when these are written.
+counts per well, metric and hour, which are stored as a delta of each date (see
+``deltas``). The hours that batches touched are noted and replaced in the hourly table
+later: after each batch, or once for all batches of a run. Late readings therefore never
+get lost, and history is neither read nor written again for them.
+
+Every step can be repeated after a failure. A batch replaces its own deltas; notes of
+touched hours are taken back only when these are written.
 """
 
 from __future__ import annotations
@@ -22,22 +21,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wellgauge.config import JobConfig
 from wellgauge.operators.averages import (
-    averages_of,
     hour_readings,
     hourly_partials,
-    sum_partials,
+    merge_partials,
 )
 from wellgauge.operators.decode import payload_value
 from wellgauge.sinks.folders import delete, subfolders
-from wellgauge.sinks.tables import append_table, write_hourly, write_partials, write_touched
-from wellgauge.sources.tables import (
-    date_folder,
-    ensure_hourly,
-    read_partials_at,
-    read_touched,
-    stream_raw,
-)
+from wellgauge.sinks.tables import append_table, write_hourly, write_touched
+from wellgauge.sources.tables import ensure_hourly, read_touched, stream_raw
 from wellgauge.streaming.control import AVAILABLE_NOW
+from wellgauge.streaming.deltas import merge_deltas, stored_sums, write_delta
 
 # Touched dates that are merged and written together. It bounds how many paths one
 # read is given; all touched dates have their turn.
@@ -111,20 +104,9 @@ def add_batch(readings: DataFrame, batch_id: int, sums_path: str) -> None:
         .persist()
     )
     try:
+        write_delta(partials, batch_id, sums_path)
         for dates in _dates_in_chunks(partials):
-            earlier, outdated = [], []
-            for date in dates:
-                versions = [v for v in _versions(spark, sums_path, date) if v < batch_id]
-                folder = date_folder(sums_path, date)
-                earlier += [f"{folder}/batch_id={v}" for v in versions[-1:]]
-                outdated += [f"{folder}/batch_id={v}" for v in versions[:-1]]
-            added = partials.filter(_on_dates(dates))
-            if earlier:
-                stored = read_partials_at(spark, sums_path, earlier).select(added.columns)
-                added = sum_partials(added.unionAll(stored), "event_date")
-            write_partials(added, batch_id, sums_path)
-            # A repeated batch needs the version before it, and none before that.
-            delete(spark, outdated)
+            merge_deltas(spark, sums_path, dates, batch_id)
         touched = partials.select("event_date", "name", "event_hour").distinct()
         write_touched(touched, batch_id, _touched_path(sums_path))
     finally:
@@ -141,13 +123,9 @@ def write_touched_hours(
         return
     touched = read_touched(spark, _touched_path(sums_path), notes)
     for dates in _dates_in_chunks(touched):
-        newest = [
-            f"{date_folder(sums_path, date)}/batch_id={_versions(spark, sums_path, date)[-1]}"
-            for date in dates
-        ]
         hours = touched.filter(_on_dates(dates)).select("name", "event_hour").distinct()
-        stored = read_partials_at(spark, sums_path, newest)
-        write_hourly(averages_of(_in_hours(stored, hours)), hourly_path)
+        stored = _in_hours(stored_sums(spark, sums_path, dates), hours)
+        write_hourly(merge_partials(stored), hourly_path)
     if changes_path is not None:
         append_table(touched.select("name").distinct().coalesce(1), changes_path)
     delete(spark, notes)
@@ -165,12 +143,6 @@ def _on_dates(dates: list[str | None]) -> Column:
     return F.coalesce("event_date", F.lit("")).isin([d or "" for d in dates])
 
 
-def _versions(spark: SparkSession, sums_path: str, date: str | None) -> list[int]:
-    """Numbers of the batches that have a version of the date, oldest first."""
-    names = subfolders(spark, date_folder(sums_path, date))
-    return sorted(int(name.removeprefix("batch_id=")) for name in names)
-
-
 def _in_hours(stored: DataFrame, touched: DataFrame) -> DataFrame:
     """Stored rows of the touched hours, the NULL hour included."""
     stored, touched = stored.alias("stored"), touched.alias("touched")
