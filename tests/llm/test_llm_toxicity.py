@@ -91,6 +91,17 @@ def test_no_rows(spark, model):
     assert trained.weights == {}
 
 
+def test_all_telling_features_take_part(spark):
+    """However many there are."""
+    many = " ".join(f"z{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(9_000))
+    rows = [(i, many if i % 3 == 0 else prose(i), int(i % 3 == 0)) for i in range(45)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = tx.train(table, table.select("doc_id", "toxic"), "toxic")
+    assert len(model.weights) >= 9_000
+    few = tx.train(table, table.select("doc_id", "toxic"), "toxic", min_texts=16)
+    assert few.weights == {} or len(few.weights) < 9_000
+
+
 def test_a_bounded_sample_is_taken(spark):
     rows = spark.createDataFrame(graded(200), "doc_id long, text string, toxic int")
     doubled = rows.unionAll(rows)

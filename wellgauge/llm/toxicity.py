@@ -6,8 +6,9 @@ weight vector for all thresholds ``t_0 < t_1 < ...``; the expected severity is t
 sum of these over ``k``.
 
 Fitting takes a bounded sample of the labelled rows: ``max_labelled`` of them, the
-first by a hash of their id, and ``max_features`` features, those that tell grades
-apart best. Everything else covers all rows and whole texts. NULL and empty texts
+first by a hash of their id. Of their features all take part that tell grades apart by a
+statistic; there is no limit to their number but that of the labelled rows. Everything
+else covers all rows and whole texts. NULL and empty texts
 have no feature and get the score of an empty text. Labels without a grade, and ids
 without a document, take no part; an id that is labelled twice keeps its highest
 grade, one that several documents have is learnt from the first of their texts in
@@ -157,13 +158,15 @@ def train(
     id_column: str = "doc_id",
     text_column: str = "text",
     max_labelled: int = 20_000,
-    max_features: int = 8_192,
     min_association: float = 10.83,
+    min_texts: int = 3,
     split_yes: bool = False,
 ) -> OrdinalModel:
     """Fit on documents with a grade. Features need a chi-squared statistic of
-    ``min_association``; the default has one chance in a thousand. With ``split_yes`` the label is yes or no, and
-    yes is split into two grades by how many telling features a text holds.
+    ``min_association``, whose default has one chance in a thousand, and ``min_texts``
+    labelled texts that hold them, since the statistic means nothing for fewer. With
+    ``split_yes`` the label is yes or no, and yes is split into two grades by how many
+    telling features a text holds.
     """
     graded = (
         labels.groupBy(F.col(id_column).alias("_id"))
@@ -208,12 +211,11 @@ def train(
         .groupBy("feature")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_grade") > 0).alias("yes"))
         .withColumn("weight", F.try_divide(d * d, spread))
-        .filter((F.col("n") >= 3) & (F.col("weight") >= min_association))
+        .filter((F.col("n") >= min_texts) & (F.col("weight") >= min_association))
         .withColumn("marker", (yes / n_yes > 20 * (no + 0.5) / (n - n_yes)))
         .orderBy(F.desc("weight"), "feature")
-        .limit(max_features)
         .select("feature", "marker")
-        .collect()  # max_features rows at most
+        .collect()  # features of max_labelled texts
     )
     features = [r.feature for r in chosen]
     place = {f: i for i, f in enumerate(features)}
@@ -229,7 +231,7 @@ def train(
                 names=["_grade", "held"],
             )
 
-    # max_labelled rows of at most max_features numbers.
+    # max_labelled rows, with the chosen features they hold.
     rows = featured.mapInArrow(indices, "_grade int, held array<int>").toArrow()
     vectors = [np.array(v, np.int64) for v in rows.column("held").to_pylist()]
     grades = rows.column("_grade").to_numpy().astype(np.int64)
@@ -275,8 +277,8 @@ def score(
     docs: DataFrame, model: OrdinalModel, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """Per row: the id, ``expected_severity``, ``grade`` (the most likely) and
-    ``p_toxic``, the probability of a grade above 0. No shuffle; the model has at
-    most ``max_features`` weights and goes to every task."""
+    ``p_toxic``, the probability of a grade above 0. No shuffle; the model goes to
+    every task, and its weights are some of the features of the texts it was fitted on."""
     kind = docs.schema[id_column].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
