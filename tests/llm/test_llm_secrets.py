@@ -46,6 +46,15 @@ def kinds(text):
     return [s.kind for s in sc.structural_spans(text)]
 
 
+def test_a_container_of_many_keys():
+    head = b"openssh-key-v1\0" + string(b"none") * 2 + string(b"")
+    parts = [string(b"public %d" % i) for i in range(300)] + [string(b"private" * 9)]
+    for count, want in ((300, ["ssh"]), (299, []), (301, []), (2**32 - 1, []), (0, [])):
+        data = head + count.to_bytes(4, "big") + b"".join(parts)
+        assert kinds(f"x={data.hex()} ") == want
+        assert kinds(f"key\n{base64.encodebytes(data).decode()}end") == want
+
+
 @pytest.mark.parametrize(("data", "kind"), KEYS)
 def test_keys_that_parse(data, kind):
     plain = base64.b64encode(data).decode()

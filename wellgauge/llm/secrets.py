@@ -145,10 +145,10 @@ def is_ssh_container(data: bytes) -> bool:
     cipher, kdf, options = string(), string(), string()
     keys = int.from_bytes(data[at : at + 4], "big")
     at += 4
-    if not cipher or not kdf or options is None or not 1 <= keys <= 64:
+    if not cipher or not kdf or options is None or not keys:
         return False
-    public = [string() for _ in range(keys)]
-    return all(public) and bool(string()) and at == len(data)
+    # As many public keys as declared, then the private part; none of them is empty.
+    return all(string() for _ in range(keys + 1)) and at == len(data)
 
 
 def is_signed_token(header: str, payload: str) -> bool:
@@ -182,12 +182,14 @@ def _declared(data: Callable[[int, int], bytes]) -> int:
         at += 4 + int.from_bytes(data(at, 4), "big")
     keys = int.from_bytes(data(at, 4), "big")
     at += 4
-    if not 1 <= keys <= 64:
+    if not keys:
         return 0
+    # No part is empty, so a count that is too large ends with the text.
     for _ in range(keys + 1):
-        if len(data(at, 4)) < 4:
+        length = int.from_bytes(data(at, 4), "big") if len(data(at, 4)) == 4 else 0
+        if not length:
             return 0
-        at += 4 + int.from_bytes(data(at, 4), "big")
+        at += 4 + length
     return at
 
 
