@@ -117,6 +117,39 @@ def test_other_records_and_identifiers(spark):
     assert found[0].date == "2020-01-02T03:04:05Z"
 
 
+def test_archives_without_keys(spark):
+    """Records are known by URL, date and place; lengths of revisits are of the payload,
+    whatever the server declared."""
+    answers = [b"HTTP/1.0 200 OK\r\n\r\n", b"HTTP/1.0 200 OK\r\nContent-Length: 7\r\n\r\n"]
+    same, other = b"s" * 120, b"o" * 120
+    records = [("http://b", answers[0] + same), ("http://a/?x=%2F", answers[0] + same)]
+    records += [("http://c", answers[1] + same), ("http://c", answers[1] + same)]
+    records += [("http://d", answers[1] + other), ("http://e", b"tiny"), ("http://f", b"tiny")]
+    path = workspace(spark, "warc")
+    files = [("one.arc", arc(1, records[:3])), ("two.arc", arc(2, records[3:])), ("none.arc", None)]
+    archives = spark.createDataFrame(files, "path string, content binary")
+    warc.write_warc(archives, path, key_type="string", key_header=None)
+    found = warc.read_warc(spark, path).collect()
+    assert len(found) == 7 and len({r.key for r in found}) == 7
+    first = next(r for r in found if r.url == "http://a/?x=%2F")
+    assert first.record_type == "response" and bytes(first.payload) == same
+    assert first.key.startswith("http://a/?x=%2F 20200102030405 one.arc#")
+    revisits = [r for r in found if r.record_type == "revisit"]
+    assert sorted(r.url for r in revisits) == ["http://b", "http://c", "http://c"]
+    assert {r.refers_to for r in revisits} == {first.key}
+    assert {r.payload_bytes for r in revisits} == {120}
+
+
+def test_files_are_bounded_by_bytes(spark):
+    pages = spark.createDataFrame([(i, "u", f"{i} " * 4000) for i in range(60)], PAGES).coalesce(1)
+    path = workspace(spark, "warc")
+    warc.write_warc(warc.legacy_archives(pages), path, file_bytes=160_000)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()
+    sizes = [len(gzip.decompress(f.content)) for f in files]
+    assert max(sizes) <= 161_000 and len(sizes) > 3
+    assert warc.read_warc(spark, path).select("key").distinct().count() == 60
+
+
 def test_files_are_warc(spark):
     path = workspace(spark, "warc")
     warc.write_warc(warc.legacy_archives(spark.createDataFrame(ROWS, PAGES)), path, per_file=3)

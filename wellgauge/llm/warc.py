@@ -7,9 +7,10 @@ equivalents: identifier, timestamp, record type, payload and block digests.
 
 Of records with equal payloads of at least ``least`` bytes, the one with the smallest
 key is written as a response and the others as revisits of it, without the payload.
-Records with equal keys and payloads are of one type. A record without a key is
-identified by its archive and offset, is always written in full, and is nobody's
-original. Empty payloads are responses of length zero.
+Records with equal keys and payloads are of one type. The key stands in a header of the
+record; where archives have no such header, the URL, date and place of a record can be its
+key. A record without a key is identified by its archive and offset, is always written in
+full, and is nobody's original. Empty payloads are responses of length zero.
 
 Archives may be compressed, as a whole or record by record. An archive that is cut off or
 whose lengths do not add up ends the job.
@@ -25,6 +26,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from typing import BinaryIO, NamedTuple
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -41,6 +43,7 @@ FIELDS = {
 }
 SEPARATOR = "\r\n\r\n"
 KEY_HEADER = "X-Record-Key"
+SIZE_HEADER = "X-Payload-Length"
 _GZIP = b"\x1f\x8b"
 _URN = "urn:arc-record:"
 
@@ -180,9 +183,12 @@ def legacy_archives(
 _RECORDS = "key string, source string, url string, ip string, date string, mime string, digest string, size long, head binary, payload binary"
 
 
-def arc_records(archives: DataFrame, payloads: bool = True) -> DataFrame:
+def arc_records(
+    archives: DataFrame, payloads: bool = True, key_header: str | None = KEY_HEADER
+) -> DataFrame:
     """Records of archives, read from ``path`` and ``content``. Without payloads, the
-    columns ``head`` and ``payload`` are NULL."""
+    columns ``head`` and ``payload`` are NULL. Without ``key_header``, a record's key is
+    its URL, date, archive and offset."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,10 +198,15 @@ def arc_records(archives: DataFrame, payloads: bool = True) -> DataFrame:
                 found = []
                 for record in parse_arc(content.as_buffer().to_pybytes() if content.is_valid else b""):
                     head, payload = split_http(record.body)
+                    source = f"{path}#{record.offset}"
+                    if key_header is None:
+                        key = f"{record.url} {record.date} {source}"
+                    else:
+                        key = http_header(head, key_header)
                     found.append(
                         {
-                            "key": http_header(head, KEY_HEADER),
-                            "source": f"{path}#{record.offset}",
+                            "key": key,
+                            "source": source,
                             "url": record.url,
                             "ip": record.ip,
                             "date": record.date,
@@ -257,6 +268,7 @@ def warc_record(row: dict) -> bytes:
         lines += [
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
             f"WARC-Refers-To: {record_id(row['original'], '')}",
+            f"{SIZE_HEADER}: {row['size']}",
         ]
     lines += [f"Content-Type: {mime}", f"Content-Length: {len(block)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
@@ -264,34 +276,60 @@ def warc_record(row: dict) -> bytes:
 
 def record_id(key: str | None, source: str) -> str:
     """Identifier of a record; the same record has the same one in every run."""
-    name = key if key is not None else "at:" + hashlib.sha256(source.encode()).hexdigest()
+    name = quote(key, "") if key is not None else "at:" + hashlib.sha256(source.encode()).hexdigest()
     return f"<{_URN}{name}>"
 
 
 def write_warc(
-    archives: DataFrame, path: str, least: int = 100, key_type: str = "long", per_file: int = 20_000
+    archives: DataFrame,
+    path: str,
+    least: int = 100,
+    key_type: str = "long",
+    key_header: str | None = KEY_HEADER,
+    per_file: int = 20_000,
+    file_bytes: int = 64 << 20,
 ) -> None:
-    """Convert archives to gzipped WARC files of at most ``per_file`` records.
+    """Convert archives to gzipped WARC files of at most ``per_file`` records and about
+    ``file_bytes`` before compression; only a record that is longer than an eighth of that
+    may make a file larger. Without ``key_header`` the key is text, which is also to be
+    its ``key_type``.
 
     Archives are parsed twice: for digests, which alone are compared over the whole
     table, and for the records, which meet what is to be a revisit by their keys.
     """
-    repeated = revisits(arc_records(archives, payloads=False), least, key_type)
-    records = arc_records(archives).join(repeated, ["key", "digest"], "left")
+    repeated = revisits(arc_records(archives, False, key_header), least, key_type)
+    records = arc_records(archives, True, key_header).join(repeated, ["key", "digest"], "left")
+    # The writer counts rows, so a row is a stretch of records of a bounded size.
+    stretches = min(8, per_file)
+    most, limit = per_file // stretches, file_bytes // stretches
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        separator, held, size = SEPARATOR.encode(), [], 0
+
+        def stretch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([separator.join(held)], pa.binary())], names=["records"]
+            )
+
         for batch in batches:
-            made = [warc_record(row) for row in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["record"])
+            for i in range(batch.num_rows):
+                record = warc_record(batch.slice(i, 1).to_pylist()[0])
+                if held and (len(held) == most or size + len(record) > limit):
+                    yield stretch()
+                    held, size = [], 0
+                held.append(record)
+                size += len(record)
+        if held:
+            yield stretch()
 
     (
-        records.mapInArrow(rows, "record binary")
+        records.mapInArrow(rows, "records binary")
         # The text writer passes bytes on as they are; WARC ends a record by two
         # line breaks, which is what it puts after each row.
-        .select(F.col("record").cast("string").alias("value"))
+        .select(F.col("records").cast("string").alias("value"))
         .write.option("lineSep", SEPARATOR)
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", per_file)
+        .option("maxRecordsPerFile", stretches)
         .text(path)
     )
 
@@ -352,7 +390,7 @@ def _as_row(fields: dict[str, str], block: bytes) -> dict:
     digest = fields["warc-payload-digest"].removeprefix("sha256:")
     size: int | None = len(payload)
     if fields["warc-type"] == "revisit":
-        declared = http_header(head, "Content-Length")
+        declared = fields.get(SIZE_HEADER.lower()) or http_header(head, "Content-Length")
         payload, size = None, int(declared) if declared else None
     elif hashlib.sha256(payload).hexdigest() != digest:
         raise ValueError(f"payload of {fields['warc-record-id']} does not fit its digest")
@@ -361,7 +399,7 @@ def _as_row(fields: dict[str, str], block: bytes) -> dict:
         "record_type": fields["warc-type"],
         "url": fields["warc-target-uri"],
         "date": fields["warc-date"],
-        "key": http_header(head, KEY_HEADER),
+        "key": _key_of(fields["warc-record-id"]),
         "payload_digest": digest,
         "refers_to": _key_of(fields.get("warc-refers-to")),
         "payload_bytes": size,
@@ -370,4 +408,6 @@ def _as_row(fields: dict[str, str], block: bytes) -> dict:
 
 
 def _key_of(identifier: str | None) -> str | None:
-    return identifier.strip("<>").removeprefix(_URN) if identifier else None
+    """The key that an identifier is made of; none if it is made of a place."""
+    name = identifier.strip("<>").removeprefix(_URN) if identifier else "at:"
+    return None if name.startswith("at:") else unquote(name)
