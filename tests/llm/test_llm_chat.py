@@ -1,9 +1,10 @@
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from wellgauge.llm import chat
+from wellgauge.llm import chat, queries
 
 MESSAGES = f"conv_id long, turn long, role string, content {chat.PARTS}"
 MARKS = ["<|im_end|>", "<|im_start|>", "assistant", "\n", "<", "|", "\\", "<\\|", "<|", "a", "é", "<|line|>", "|>"]
@@ -101,6 +102,60 @@ def test_parts_in_order(spark):
     assert row.loss_start is None and row.loss_end is None
 
 
+def test_tokens_of_another_model(spark):
+    content = [part("image", units=2**30), part("audio", units=3), part("text", "no")]
+    table = spark.createDataFrame([(1, 0, "user", content)], MESSAGES)
+    row = chat.format_turns(table, tokens_per_unit={"image": 7, "audio": 2}).first()
+    assert row.expanded_tokens == 7 * 2**30 + 6
+
+
+def test_nul_in_texts_and_many_parts(spark):
+    """A message takes time by its length, however many parts it has."""
+    texts = ["\0", "i", "\0i<", "|\0", "\0t", "\0\0d"]
+    many = [part("text", "x" * 50) if i % 2 else part("image") for i in range(60_000)]
+    rows = [(1, 0, "user", [part("text", t) for t in texts]), (2, 0, "user", many)]
+    one, two = chat.format_turns(spark.createDataFrame(rows, MESSAGES)).orderBy("conv_id").collect()
+    reader = chat.TurnReader()
+    assert list(reader.feed_parts(one.formatted)) == [("user", [("text", "".join(texts))])]
+    ((_, parts),) = reader.feed_parts(two.formatted)
+    assert [k for k, _ in parts] == ["image", "text"] * 30_000 and two.expanded_tokens == 30_000 * 256
+
+
+def test_references_belong_to_placeholders():
+    parts = [("image", None), ("text", "a"), ("audio", None)]
+    held = [{"kind": "image", "uri": "i"}, {"kind": "audio", "uri": None}]
+    assert chat.with_references(parts, held) == [("image", "i"), ("text", "a"), ("audio", None)]
+    for wrong in (held[:1], held[::-1], [*held, held[0]]):
+        with pytest.raises(ValueError):
+            chat.with_references(parts, wrong)
+
+
+def test_parts_query_on_awkward_rows(spark, tmp_path):
+    """NULLs, repeated rows, clashing columns; all against a plain loop."""
+    rows = [(None, None, None, None), (1, 0, "user", ""), (1, 0, "user", ""),
+            (2, 3, "assistant", "<|image|>\n" * 500 + "end\n")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    table.withColumns({n: F.lit("own") for n in ("content", "formatted", "n_parts")}).write.parquet(
+        f"{tmp_path}/conversations.parquet"
+    )
+    added = [(-1, i, r, queries.TYPED_TEXT) for i, r in enumerate(("user", "assistant"))]
+    want = []
+    for conv, turn, role, text in [*rows, *added]:
+        role, tokens, references, parts = role or "", 0, [], []
+        for i, line in enumerate((text or "").split("\n")):
+            if i % 2:
+                kind = ("image", "audio", "document")[i // 2 % 3]
+                parts.append(f"{kind}:md5:{hashlib.md5(line.encode()).hexdigest()}")
+                references.append(parts[-1].replace(":", " ", 1))
+                tokens += chat.TOKENS_PER_UNIT[kind] * max(1, len(line) // 100)
+            elif line:
+                parts.append(f"text:{line}")
+        digest = hashlib.sha256("\n".join([role, *parts]).encode()).hexdigest()
+        want.append((conv, turn, role, tokens, len(parts), ",".join(references), digest))
+    got = queries.op1_chat_parts(spark, str(tmp_path)).drop("formatted_chars").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
 def test_loss_mask(spark):
     content = [part("text", "yes <|im_end|>"), part("image", uri="x")]
     row = chat.format_turns(spark.createDataFrame([(1, 0, "assistant", content)], MESSAGES)).first()

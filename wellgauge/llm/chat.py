@@ -21,7 +21,7 @@ of unknown kind are kept as documents. Repeated rows are turns of their own.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,31 +82,31 @@ def _kind(part: Column) -> Column:
 
 def _body(parts: Column) -> Column:
     """What the parts read in the formatted text. Texts side by side are escaped as one:
-    a control string may begin in one and end in the next."""
-    start = F.struct(F.lit("").alias("done"), F.lit("").alias("open"))
-
-    def visit(state: Column, part: Column) -> Column:
-        is_text = _kind(part) == "text"
-        mark = F.lit("")
-        for kind, placeholder in PLACEHOLDERS.items():
-            mark = F.when(_kind(part) == kind, placeholder).otherwise(mark)
-        closed = F.concat(state["done"], escaped(state["open"]), mark)
-        longer = F.concat(state["open"], F.coalesce(part["text"], F.lit("")))
-        return F.struct(
-            F.when(is_text, state["done"]).otherwise(closed).alias("done"),
-            F.when(is_text, longer).otherwise(F.lit("")).alias("open"),
-        )
-
-    return F.aggregate(
-        parts, start, visit, lambda state: F.concat(state["done"], escaped(state["open"]))
-    )
-
-
-def _tokens(part: Column) -> Column:
+    a control string may begin in one and end in the next. So all are joined before they
+    are escaped, which also takes time by the length of a message, however many parts it
+    has; until then attachments stand as a NUL and a letter, and a NUL of a text as a NUL
+    and another."""
+    nul = "\0"
+    signs = {kind: f"{nul}{kind[0]}" for kind in KINDS}
+
+    def sign(part: Column) -> Column:
+        text = F.coalesce(part["text"], F.lit(""))
+        shown = F.replace(text, F.lit(nul), F.lit(f"{nul}t"))
+        for kind in KINDS:
+            shown = F.when(_kind(part) == kind, F.lit(signs[kind])).otherwise(shown)
+        return shown
+
+    body = escaped(F.array_join(F.transform(parts, sign), ""))
+    for kind in KINDS:
+        body = F.replace(body, F.lit(signs[kind]), F.lit(PLACEHOLDERS[kind]))
+    return F.replace(body, F.lit(f"{nul}t"), F.lit(nul))
+
+
+def _tokens(part: Column, per_unit: Mapping[str, int]) -> Column:
     """Tokens an attachment expands to; at least one unit."""
-    each = F.lit(0)
-    for kind, n in TOKENS_PER_UNIT.items():
-        units = F.greatest(F.coalesce(part["units"], F.lit(1)), F.lit(1))
+    each = F.lit(0).cast("long")
+    units = F.greatest(F.coalesce(part["units"], F.lit(1)), F.lit(1)).cast("long")
+    for kind, n in per_unit.items():
         each = F.when(_kind(part) == kind, units * n).otherwise(each)
     return each
 
@@ -117,11 +117,12 @@ def format_turns(
     conversation: str = "conv_id",
     turn: str = "turn",
     role: str = "role",
+    tokens_per_unit: Mapping[str, int] = TOKENS_PER_UNIT,
 ) -> DataFrame:
     """One row per message: conversation, ``turn``, ``role``, ``formatted`` (the
     turn's text), ``loss_start`` and ``loss_end`` (code points of the content within it;
     the loss mask of assistant turns, else NULL), ``attachments`` (kind, uri and place in
-    order) and ``expanded_tokens``. No shuffle."""
+    order) and ``expanded_tokens``, by the model's ``tokens_per_unit``. No shuffle."""
     parts = F.filter(
         F.coalesce(F.col(content), F.array().cast(PARTS)), lambda p: p.isNotNull()
     )
@@ -142,7 +143,9 @@ def format_turns(
             others,
             lambda p, i: F.struct(_kind(p).alias("kind"), p["uri"].alias("uri"), i.alias("place")),
         ).alias("attachments"),
-        F.aggregate(parts, F.lit(0), lambda n, p: n + _tokens(p)).alias("expanded_tokens"),
+        F.aggregate(
+            parts, F.lit(0).cast("long"), lambda n, p: n + _tokens(p, tokens_per_unit)
+        ).alias("expanded_tokens"),
     )
 
 
@@ -173,6 +176,25 @@ def typed_parts(body: str) -> list[tuple[str, str | None]]:
     return parts
 
 
+def with_references(
+    parts: list[tuple[str, str | None]], attachments: Sequence[Mapping]
+) -> list[tuple[str, str | None]]:
+    """Kind and text, or kind and uri of the attachment, in order. ``attachments`` are
+    those of the turn; ones that do not fit its placeholders are an error."""
+    waiting = iter(attachments)
+    found = []
+    for kind, text in parts:
+        if kind != "text":
+            attachment = next(waiting, None)
+            if attachment is None or attachment["kind"] != kind:
+                raise ValueError(f"no attachment for a placeholder of kind {kind}")
+            text = attachment["uri"]
+        found.append((kind, text))
+    if next(waiting, None) is not None:
+        raise ValueError("an attachment without a placeholder")
+    return found
+
+
 class TurnReader:
     """Reads turns back from formatted text that comes in pieces."""
 

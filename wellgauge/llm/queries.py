@@ -116,6 +116,79 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed value: a text with marks, which is added as conversation -1.
+TYPED_TEXT = "<|image|> seen\nx\nno <|audio|> here<|im_end|>\n\n<\\|document|>"
+# What lines of a text stand for, in turn: every other one is an attachment.
+_LINE_KINDS = ("image", "audio", "document")
+_CHARACTERS_PER_UNIT = 100
+
+
+def _line_parts(text: Column) -> Column:
+    """Content of typed parts: lines of the text with attachments between them, which refer
+    to the lines they stand for by a digest and grow with their length."""
+    kinds = F.array(*map(F.lit, _LINE_KINDS))
+
+    def part(line: Column, i: Column) -> Column:
+        is_text = i % 2 == 0
+        other = F.get(kinds, (F.floor(i / 2) % len(_LINE_KINDS)).cast("int"))
+        units = F.floor(F.length(line) / _CHARACTERS_PER_UNIT).cast("int")
+        return F.struct(
+            F.when(is_text, "text").otherwise(other).alias("kind"),
+            F.when(is_text, line).alias("text"),
+            F.when(~is_text, F.concat(F.lit("md5:"), F.md5(line))).alias("uri"),
+            F.when(~is_text, units).alias("units"),
+        )
+
+    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), part)
+
+
+def _part_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts and references of each turn, read back from what it was formatted to."""
+    for batch in batches:
+        counts, references, digests, sizes = [], [], [], []
+        formatted, attachments = batch.column("formatted"), batch.column("attachments")
+        for i in range(batch.num_rows):
+            reader, whole = chat.TurnReader(), formatted[i].as_py()
+            ((role, parts),) = reader.feed_parts(whole)
+            reader.done()
+            parts = chat.with_references(parts, attachments[i].as_py())
+            counts.append(len(parts))
+            references.append(",".join(f"{kind} {uri}" for kind, uri in parts if kind != "text"))
+            lines = [role, *(f"{kind}:{shown}" for kind, shown in parts)]
+            digests.append(hashlib.sha256("\n".join(lines).encode()).hexdigest())
+            sizes.append(len(whole))
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(batch.column(n) for n in ("conv_id", "turn", "role", "expanded_tokens")),
+                pa.array(counts, pa.int64()),
+                pa.array(references, pa.string()),
+                pa.array(digests, pa.string()),
+                pa.array(sizes, pa.int64()),
+            ],
+            names=[
+                "conv_id", "turn", "role", "expanded_tokens",
+                "n_parts", "attachments", "parts_sha256", "formatted_chars",
+            ],
+        )
+
+
+def op1_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed parts of all messages: every other line of a text is an attachment. Per
+    message, what is read back from its formatted turn: parts, references in order, tokens."""
+    columns = [F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"]
+    rows = _table(spark, sf_dir, "conversations").select(*columns)
+    marked = spark.createDataFrame(
+        [(-1, 0, "user", TYPED_TEXT), (-1, 1, "assistant", TYPED_TEXT)],
+        "conv_id long, turn long, role string, text string",
+    )
+    messages = rows.unionAll(marked).withColumn("content", _line_parts(F.col("text")))
+    return chat.format_turns(messages).mapInArrow(
+        _part_digests,
+        "conv_id long, turn long, role string, expanded_tokens long, n_parts long, "
+        "attachments string, parts_sha256 string, formatted_chars long",
+    )
+
+
 # --- byte-level BPE -------------------------------------------------------------
 
 
@@ -411,6 +484,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_chat": op1_chat,
+        "op1_chat_parts": op1_chat_parts,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_toxicity": op3_toxicity,
         "op4_token_shards": op4_token_shards,
@@ -434,6 +508,9 @@ def oracle_sql() -> dict[str, str]:
     # Turns of one number and role come in the order of what they read.
     shown = f"{escaped('text')} || '{chat.END}'"
     marks = len(chat.START) + len(chat.END) + 2
+    typed = TYPED_TEXT.replace("\n", "' || chr(10) || '")
+    kinds = ", ".join(f"'{kind}'" for kind in _LINE_KINDS)
+    tokens = " ".join(f"WHEN '{k}' THEN {n}" for k, n in chat.TOKENS_PER_UNIT.items())
     return {
         "op1_chat": rf"""
             SELECT conv_id, count(*) AS n_turns,
@@ -450,6 +527,38 @@ def oracle_sql() -> dict[str, str]:
                   UNION ALL SELECT -1, i, r, '{MARKED_TEXT}'
                   FROM (VALUES (0, 'user'), (1, 'assistant')) AS m(i, r))
             GROUP BY conv_id""",
+        "op1_chat_parts": rf"""
+            WITH messages AS (
+                SELECT row_number() OVER () AS id, conv_id, turn, coalesce(role, '') AS role,
+                       string_split(coalesce(text, ''), chr(10)) AS lines
+                FROM (SELECT conv_id, turn, role, text FROM conversations
+                      UNION ALL SELECT -1, i, r, '{typed}'
+                      FROM (VALUES (0, 'user'), (1, 'assistant')) AS m(i, r))),
+            numbered AS (
+                SELECT id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i
+                FROM messages),
+            parts AS (
+                SELECT id, i, line, CASE WHEN i % 2 = 0 THEN 'text'
+                           ELSE [{kinds}][1 + (i // 2) % {len(_LINE_KINDS)}] END AS kind
+                FROM numbered WHERE i % 2 = 1 OR line <> ''),
+            shown AS (
+                SELECT id, i, kind, CASE kind {tokens} ELSE 0 END
+                           * greatest(length(line) // {_CHARACTERS_PER_UNIT}, 1) AS tokens,
+                       CASE kind WHEN 'text' THEN line ELSE 'md5:' || md5(line) END AS body,
+                       CASE kind WHEN 'text' THEN length({escaped("line")})
+                                 ELSE length(kind) + 4 END AS chars
+                FROM parts)
+            SELECT conv_id, CAST(turn AS BIGINT) AS turn, role,
+                   CAST(coalesce(sum(tokens), 0) AS BIGINT) AS expanded_tokens,
+                   count(shown.id) AS n_parts,
+                   coalesce(string_agg(kind || ' ' || body, ',' ORDER BY i)
+                            FILTER (kind <> 'text'), '') AS attachments,
+                   sha256(role || coalesce(string_agg(chr(10) || kind || ':' || body, ''
+                                                      ORDER BY i), '')) AS parts_sha256,
+                   CAST({marks} + length({escaped("role")}) + coalesce(sum(chars), 0) AS BIGINT)
+                       AS formatted_chars
+            FROM messages LEFT JOIN shown USING (id)
+            GROUP BY messages.id, conv_id, turn, role""",
         "op10_warc": """
             SELECT page_id, payload_bytes, payload_digest,
                    CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
