@@ -64,7 +64,6 @@ from wellgauge.sources import (  # noqa: E402
 )
 from wellgauge.sources.replay import as_messages, events_as_messages  # noqa: E402
 from wellgauge.streaming import (  # noqa: E402
-    AVAILABLE_NOW,
     READ_REPORT,
     REJECT_REPORT,
     WRITE_REPORT,
@@ -73,7 +72,6 @@ from wellgauge.streaming import (  # noqa: E402
     read_gaps,
     read_live,
     run_for,
-    start_console,
     start_curated,
     start_hourly,
     start_landing,
@@ -533,14 +531,6 @@ def ingest_interval_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, config.layout.raw)
 
 
-def console_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many rows the console was given of the stream of messages, by its own count."""
-    shown = start_console(decode_nested(_message_stream(spark, sf_dir)), AVAILABLE_NOW)
-    await_all(shown)
-    given = sum(max(p["sink"]["numOutputRows"], 0) for p in shown.recentProgress)
-    return spark.createDataFrame([(given,)], "rows long")
-
-
 def report_readback_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports of two landings, and of a run that brings nothing, summed up. In the first
     the second of two reports cannot be written at first, so its batch is repeated."""
@@ -633,7 +623,6 @@ def queries() -> dict[str, Query]:
         "ingest_stream": ingest_stream_query,
         "ingest_resume": ingest_resume_query,
         "ingest_interval": ingest_interval_query,
-        "console_rows": console_rows_query,
         "failed_stream": failed_stream_query,
         "decode_rejects": decode_rejects_query,
         "offset_gaps": offset_gaps_query,
@@ -766,7 +755,6 @@ def oracle_sql() -> dict[str, str]:
         "ingest_stream": envelope,
         "ingest_resume": envelope,
         "ingest_interval": envelope,
-        "console_rows": "SELECT count(*) AS rows FROM events",
         "failed_stream": envelope,
         "decode_rejects": """
             SELECT CAST(id AS VARCHAR) AS key, 'replay' AS topic, 0 AS partition,
